@@ -1,0 +1 @@
+"""Registered queries over the provided tables and the SQL they are compared with."""

@@ -1,0 +1,502 @@
+"""Registered queries: name -> function of (spark, sf_dir). Each runs library code over whole tables."""
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from checks import feed
+from forumlake.functions import day_string
+from forumlake.operators.threads import expand_threads
+from forumlake.operators.versions import latest_version
+from forumlake.plans import dashboard, dims, facts, marts, metrics, quality, staging
+from forumlake.plans.pipeline import parse_changed_days
+from forumlake.session import configure, new_dir
+from forumlake.sources import bronze, control, silver
+from forumlake.streaming import jobs
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(function):
+    """Register a query; times are shown as plain UTC times, means to six digits."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = function(configure(spark), sf_dir)
+        columns = []
+        for field in df.schema:
+            column = F.col(field.name)
+            if isinstance(field.dataType, T.TimestampType):
+                column = column.cast("timestamp_ntz")
+            elif isinstance(field.dataType, T.DoubleType):
+                column = F.round(column, 6)
+            columns.append(column.alias(field.name))
+        return df.select(*columns)
+
+    QUERIES[function.__name__] = run
+    return function
+
+
+def _staged(spark, sf_dir):
+    return staging.staged_items(feed.feed(spark, sf_dir))
+
+
+def _facts(spark, sf_dir):
+    return facts.fct_stories(_staged(spark, sf_dir))
+
+
+def _view(spark, sf_dir):
+    staged = _staged(spark, sf_dir)
+    return facts.story_analytics(facts.fct_stories(staged), dims.dim_items(staged), dims.dim_users(staged))
+
+
+# Staging, dimensions, fact, marts, view
+
+
+@query
+def staged_items(spark, sf_dir):
+    return _staged(spark, sf_dir)
+
+
+@query
+def staged_event_states(spark, sf_dir):
+    return staging.staged_items(feed.event_items(spark, sf_dir))
+
+
+@query
+def latest_event_per_user(spark, sf_dir):
+    events = feed.table(spark, sf_dir, "events")
+    return latest_version(events, ["user_id", "event_type"], ["ts", "event_id"])
+
+
+@query
+def latest_lineitem(spark, sf_dir):
+    lines = feed.table(spark, sf_dir, "lineitem")
+    return latest_version(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+@query
+def item_history(spark, sf_dir):
+    return staging.item_history(feed.feed(spark, sf_dir))
+
+
+@query
+def event_state_history(spark, sf_dir):
+    return staging.item_history(feed.event_items(spark, sf_dir))
+
+
+@query
+def comments_on_stories(spark, sf_dir):
+    comments = staging.comments_on(_staged(spark, sf_dir))
+    return comments.select("item_id", "parent_id", "author", "created_at", "score")
+
+
+@query
+def dim_items(spark, sf_dir):
+    return dims.dim_items(_staged(spark, sf_dir))
+
+
+@query
+def dim_users(spark, sf_dir):
+    return dims.dim_users(_staged(spark, sf_dir))
+
+
+@query
+def dim_dates(spark, sf_dir):
+    return dims.observed_dates(feed.feed(spark, sf_dir))
+
+
+@query
+def fct_stories(spark, sf_dir):
+    return _facts(spark, sf_dir)
+
+
+@query
+def fct_stories_joined(spark, sf_dir):
+    staged = _staged(spark, sf_dir)
+    return facts.fct_stories_joined(staged, dims.dim_items(staged), dims.dim_users(staged))
+
+
+@query
+def daily_story_metrics(spark, sf_dir):
+    return marts.daily_story_metrics(_facts(spark, sf_dir))
+
+
+@query
+def daily_active_authors(spark, sf_dir):
+    return marts.daily_active_authors(_facts(spark, sf_dir))
+
+
+@query
+def daily_median_score(spark, sf_dir):
+    return marts.daily_median_score(_facts(spark, sf_dir))
+
+
+@query
+def story_analytics(spark, sf_dir):
+    return _view(spark, sf_dir)
+
+
+# Dashboard
+
+
+@query
+def kpi_tiles(spark, sf_dir):
+    return dashboard.kpi_tiles(_view(spark, sf_dir))
+
+
+@query
+def kpi_tiles_1997(spark, sf_dir):
+    return dashboard.kpi_tiles(dashboard.in_date_range(_view(spark, sf_dir), "1997-01-01", "1997-12-31"))
+
+
+@query
+def activity_trend(spark, sf_dir):
+    return dashboard.activity_trend(_view(spark, sf_dir))
+
+
+@query
+def top_domains(spark, sf_dir):
+    return dashboard.top_domains(_view(spark, sf_dir))
+
+
+@query
+def top_stories(spark, sf_dir):
+    return dashboard.top_stories(_view(spark, sf_dir))
+
+
+@query
+def top_authors(spark, sf_dir):
+    return dashboard.top_authors(_view(spark, sf_dir))
+
+
+@query
+def drill_down(spark, sf_dir):
+    items = dashboard.drill_down(_staged(spark, sf_dir), day="1997-01-03", item_type="story", author="src1")
+    return items.select("item_id", "author", "created_at", "score")
+
+
+# Metrics
+
+
+@query
+def author_scores(spark, sf_dir):
+    return metrics.author_scores(_facts(spark, sf_dir))
+
+
+@query
+def story_with_author_score(spark, sf_dir):
+    scored = metrics.with_author_score(_facts(spark, sf_dir))
+    return scored.select("item_key", "user_key", "score", "author_score")
+
+
+@query
+def author_lifetimes(spark, sf_dir):
+    return metrics.author_lifetimes(dims.dim_users(_staged(spark, sf_dir)))
+
+
+@query
+def minutes_to_first_comment(spark, sf_dir):
+    return metrics.minutes_to_first_comment(_facts(spark, sf_dir))
+
+
+@query
+def first_comment_distribution(spark, sf_dir):
+    return metrics.first_comment_distribution(_facts(spark, sf_dir))
+
+
+@query
+def engagement_7d(spark, sf_dir):
+    return metrics.engagement(_staged(spark, sf_dir))
+
+
+@query
+def engagement_funnel(spark, sf_dir):
+    return metrics.engagement(_staged(spark, sf_dir), period="MONTH")
+
+
+@query
+def comment_rate(spark, sf_dir):
+    return metrics.comment_rate(_staged(spark, sf_dir))
+
+
+@query
+def comment_rate_per_day(spark, sf_dir):
+    return metrics.comment_rate(_staged(spark, sf_dir), period="DAY")
+
+
+@query
+def peak_hours(spark, sf_dir):
+    return metrics.peak_hours(_staged(spark, sf_dir))
+
+
+@query
+def comment_velocity(spark, sf_dir):
+    return metrics.comment_velocity(_staged(spark, sf_dir))
+
+
+@query
+def lifetime_curve(spark, sf_dir):
+    return metrics.lifetime_curve(_staged(spark, sf_dir))
+
+
+@query
+def author_cohorts(spark, sf_dir):
+    return metrics.author_cohorts(_staged(spark, sf_dir))
+
+
+@query
+def author_features(spark, sf_dir):
+    return metrics.author_features(_staged(spark, sf_dir))
+
+
+# Data quality
+
+
+@query
+def dq_not_null(spark, sf_dir):
+    return quality.not_null(_staged(spark, sf_dir), "author").select("item_id", "item_type", "created_at")
+
+
+@query
+def dq_unique(spark, sf_dir):
+    return quality.unique(feed.feed(spark, sf_dir), "item_id")
+
+
+@query
+def dq_unique_one_day(spark, sf_dir):
+    return quality.unique(feed.event_items(spark, sf_dir), "item_id", "ingest_date = '2024-01-05'")
+
+
+@query
+def dq_accepted_values(spark, sf_dir):
+    return quality.accepted_values(_staged(spark, sf_dir), "item_type", ["story", "comment"])
+
+
+@query
+def dq_relationships(spark, sf_dir):
+    staged = _staged(spark, sf_dir)
+    return quality.relationships(staged, "parent_id", staged.filter("item_type = 'story'"), "item_id")
+
+
+@query
+def dq_report(spark, sf_dir):
+    silver_items = feed.feed(spark, sf_dir)
+    staged = staging.staged_items(silver_items)
+    items, users, stories = dims.dim_items(staged), dims.dim_users(staged), facts.fct_stories(staged)
+    models = {"stg_items": staged, "dim_items": items, "dim_users": users, "fct_stories": stories}
+    # The parsed items before deduplication, against checks that do find something.
+    models["parsed_items"] = silver_items
+    raw_checks = {
+        "item_id": ["not_null", "unique"],
+        "author": ["not_null", ("in", "dim_users", "user_name")],
+        "item_type": [("accepted", ["story"])],
+    }
+    return quality.run_checks(models, {**quality.CHECKS, "parsed_items": raw_checks})
+
+
+@query
+def dq_missing_rates(spark, sf_dir):
+    return quality.missing_rates(feed.feed(spark, sf_dir))
+
+
+@query
+def dq_missing_days(spark, sf_dir):
+    items = feed.feed(spark, sf_dir)
+    return quality.missing_days(items.filter("item_type = 'job'"), dims.observed_dates(items))
+
+
+@query
+def dq_latency(spark, sf_dir):
+    events = feed.table(spark, sf_dir, "events").select(
+        day_string("ts").alias("ingest_date"), F.col("ts").cast("timestamp").alias("written_at")
+    )
+    return quality.ingestion_latency(events, events.agg(F.max("written_at")).scalar(), "ingest_date", "written_at")
+
+
+@query
+def dq_volumes(spark, sf_dir):
+    return quality.ingestion_volumes(feed.feed(spark, sf_dir))
+
+
+# Landing and parsing
+
+
+@query
+def id_chunks(spark, sf_dir):
+    orders = feed.table(spark, sf_dir, "orders")
+    last, newest = orders.agg(F.count_if(F.col("o_orderstatus") == "F"), F.max("o_orderkey")).first()
+    return bronze.id_chunks(spark, last, newest, chunk_size=1000, items_per_run=None)
+
+
+@query
+def run_ids_with_landed_lines(spark, sf_dir):
+    lines = feed.event_lines(spark, sf_dir)
+    landed = lines.select(F.get_json_object("value", "$.id").cast("bigint").alias("item_id"), "value")
+    newest = feed.table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    found = bronze.enrich_from_landed(bronze.run_ids(spark, -1, newest, items_per_run=None), landed)
+    return found.select("item_id", F.col("value").isNotNull().alias("landed"))
+
+
+@query
+def missing_ids(spark, sf_dir):
+    labels = feed.table(spark, sf_dir, "labels")
+    newest = feed.table(spark, sf_dir, "documents").agg(F.max("doc_id")).first()[0]
+    return bronze.missing_ids(spark, labels, 0, newest, "doc_id")
+
+
+@query
+def parse_lines(spark, sf_dir):
+    """Event lines, and whole document texts as lines that are no JSON."""
+    texts = feed.table(spark, sf_dir, "documents").select(
+        F.col("text").alias("value"),
+        F.concat(F.lit("documents-"), F.col("doc_id").cast("string")).alias("source_file"),
+        F.lit("1997-01-01").alias("ingest_date"),
+    )
+    return silver.parse_items(feed.event_lines(spark, sf_dir).unionByName(texts))
+
+
+@query
+def landing_roundtrip(spark, sf_dir):
+    root = new_dir(spark, "bronze")
+    bronze.land_items(feed.event_lines(spark, sf_dir), root)
+    items = silver.parse_items(bronze.landed_lines(spark, root))
+    return items.select("item_id", "author", "created_at", "score", "ingest_date")
+
+
+@query
+def landed_manifest(spark, sf_dir):
+    """File names differ from run to run, so the manifests are summed up per day."""
+    root = new_dir(spark, "bronze")
+    bronze.land_items(feed.event_lines(spark, sf_dir), root)
+    files = bronze.manifest(bronze.landed_lines(spark, root))
+    return files.groupBy(bronze.day_of_path(F.col("path")).alias("ingest_date")).agg(
+        F.sum("item_count").alias("item_count"),
+        F.min("id_range.start").alias("start_id"),
+        F.max("id_range.end").alias("end_id"),
+    )
+
+
+def _landed_days(spark, sf_dir):
+    """Events as files: one per event, its value in cents as size."""
+    return bronze.day_totals(
+        feed.table(spark, sf_dir, "events").select(
+            day_string("ts").alias("ingest_date"), F.round(F.col("value") * 100).cast("bigint").alias("length")
+        )
+    )
+
+
+@query
+def changed_days(spark, sf_dir):
+    """Against a state that lacks signups, has one day more, and agrees on days divisible by three."""
+    totals = _landed_days(spark, sf_dir)
+    day = F.dayofmonth(F.to_date("ingest_date"))
+    shift = F.when(day % 3 == 0, 0).when(day % 3 == 1, 5).otherwise(-5)
+    state = totals.filter(day % 7 != 0).withColumn("total_bytes", F.col("total_bytes") + shift)
+    return bronze.compare_days(totals, state)
+
+
+@query
+def replaced_days(spark, sf_dir):
+    """Days written once, then those of the errors again without the errors: others stay whole."""
+    path = new_dir(spark, "silver")
+    items = feed.event_items(spark, sf_dir)
+    silver.write_items(items, path)
+    late = items.filter("created_at >= '2024-01-10' AND created_at < '2024-01-20'")
+    silver.write_items(late.withColumn("score", F.col("score") + 1000), path)
+    stored = silver.read_items(spark, path)
+    return stored.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("score").alias("score"))
+
+
+@query
+def raw_to_daily_metrics(spark, sf_dir):
+    """Land, parse the changed days, deduplicate, build the fact and the daily mart."""
+    root, path, state = (new_dir(spark, name) for name in ("bronze", "silver", "state"))
+    bronze.land_items(feed.event_lines(spark, sf_dir), root)
+    parse_changed_days(spark, root, path, state, run_id=1)
+    staged = staging.staged_items(silver.read_items(spark, path))
+    return marts.daily_story_metrics(facts.fct_stories(staged))
+
+
+@query
+def day_state(spark, sf_dir):
+    """State of two runs: all days, then the days of the second half with other figures."""
+    path = new_dir(spark, "state")
+    totals = _landed_days(spark, sf_dir)
+    control.write_day_state(totals, path, run_id=1)
+    again = totals.filter("ingest_date >= '2024-01-16'").withColumn("file_count", F.col("file_count") + 1)
+    control.write_day_state(again, path, run_id=2)
+    return control.read_day_state(spark, path)
+
+
+# Threads
+
+
+@query
+def conversation_threads(spark, sf_dir):
+    turns = feed.table(spark, sf_dir, "conversations").select("conv_id", "turn").distinct()
+    items = turns.select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("item_id"),
+        F.when(F.col("turn") > 0, F.col("conv_id") * 1000 + F.col("turn") - 1).alias("parent_id"),
+        F.when(F.col("turn") == 0, "story").otherwise("comment").alias("item_type"),
+    )
+    return expand_threads(items)
+
+
+@query
+def event_threads(spark, sf_dir):
+    """Each event answers the one k + 1 places before it: deep, uneven trees."""
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    parent = F.col("event_id") - 1 - k
+    items = feed.table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("item_id"),
+        F.when(parent >= 0, parent).alias("parent_id"),
+        F.when(parent >= 0, "comment").when(k % 10 == 9, "poll").otherwise("story").alias("item_type"),
+    )
+    return expand_threads(items)
+
+
+# Streams
+
+
+@query
+def stream_landed_to_silver(spark, sf_dir):
+    root, path, checkpoint = (new_dir(spark, name) for name in ("bronze", "silver", "progress"))
+    bronze.land_items(feed.event_lines(spark, sf_dir), root)
+    jobs.append_parsed(jobs.landed_stream(spark, root), path, checkpoint).awaitTermination()
+    return silver.read_items(spark, path).select("item_id", "author", "created_at", "score", "ingest_date")
+
+
+@query
+def stream_late_days(spark, sf_dir):
+    """Signups land in a second delivery; their days are parsed again as a whole."""
+    root, path, checkpoint = (new_dir(spark, name) for name in ("bronze", "silver", "progress"))
+    lines = feed.event_lines(spark, sf_dir)
+    late = F.get_json_object("value", "$.title").startswith("[signup]")
+    for part in (~late, late):
+        bronze.land_items(lines.filter(part), root)
+        jobs.reload_touched_days(jobs.landed_stream(spark, root), root, path, checkpoint).awaitTermination()
+    return silver.read_items(spark, path).groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("score").alias("score")
+    )
+
+
+@query
+def stream_current_items(spark, sf_dir):
+    """Item states delivered in two parts, merged into a table of the newest state per item."""
+    path, checkpoint, arriving = (new_dir(spark, name) for name in ("current", "progress", "arriving"))
+    items = feed.event_items(spark, sf_dir)
+    for part in ("descendants >= 50", "descendants < 50"):
+        items.filter(part).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(items.schema).parquet(arriving)
+        jobs.maintain_current(stream, path, checkpoint, ids_per_bucket=1000).awaitTermination()
+    return jobs.read_current(spark, path).select("item_id", "author", "created_at", "score", "ingest_date")
+
+
+@query
+def stream_daily_metrics(spark, sf_dir):
+    path, checkpoint, arriving = (new_dir(spark, name) for name in ("daily", "progress", "arriving"))
+    _facts(spark, sf_dir).write.parquet(arriving)
+    stored = spark.read.parquet(arriving)
+    stream = spark.readStream.schema(stored.schema).parquet(arriving)
+    jobs.maintain_daily(stream, path, checkpoint).awaitTermination()
+    return spark.read.parquet(path).select("story_date", "stories_per_day", "avg_comments_per_story")
