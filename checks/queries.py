@@ -499,4 +499,4 @@ def stream_daily_metrics(spark, sf_dir):
     stored = spark.read.parquet(arriving)
     stream = spark.readStream.schema(stored.schema).parquet(arriving)
     jobs.maintain_daily(stream, path, checkpoint).awaitTermination()
-    return spark.read.parquet(path).select("story_date", "stories_per_day", "avg_comments_per_story")
+    return jobs.read_daily(spark, path).select("story_date", "stories_per_day", "avg_comments_per_story")

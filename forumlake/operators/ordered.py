@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window, functions as F
 
 from forumlake.operators.skew import hot_keys, salted_join
-from forumlake.session import checkpointed
+from forumlake.session import stored
 
 SLICES = 256
 
@@ -15,12 +15,12 @@ def running_weight(
 ) -> DataFrame:
     """Adds `below` (weight of the smaller values of the group) and `in_group` (weight of the group).
 
-    `histogram` must hold one row per group and value. It is checkpointed, then cut into
+    `histogram` must hold one row per group and value. It is stored once, then cut into
     `slices` value ranges of about equal row count; each window runs over one group and
     range, and the totals of the ranges (at most `slices` per group) are added on top. The
     limits come to the driver, `slices` numbers at most; where they lie affects speed only.
     """
-    rows = checkpointed(histogram)
+    rows = stored(histogram)
     shares = [i / slices for i in range(1, slices)]
     limits = rows.agg(F.approx_percentile(value, shares, 20 * slices)).first()[0] or []
     limits = sorted(set(limits))

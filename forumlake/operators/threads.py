@@ -1,9 +1,11 @@
 """Discussion trees from parent ids."""
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from forumlake.operators.skew import MAX_HOT_KEYS, MIN_HOT_ROWS, hot_keys, salted_join
-from forumlake.session import checkpointed
+from forumlake.session import stored
 
 
 def expand_threads(
@@ -18,49 +20,56 @@ def expand_threads(
 ) -> DataFrame:
     """Every story with all items below it: (root_id, key, depth), the root at depth 0.
 
-    Each item keeps a pointer `up` to an ancestor `hops` levels above. A round replaces the
-    pointer by the pointer of that ancestor, so the distance doubles and a thread of depth d
-    is done after about log2(d) joins instead of d. Items whose pointer has reached a root leave
-    the race. A round in which nobody arrives ends it: what is left hangs below a missing
-    parent, below a root that is no story, or in a cycle, and belongs to no thread.
+    Each item points to an ancestor `hops` levels above it, at first to its parent. A round
+    moves the pointer to where that ancestor points, so the distance doubles: a thread of depth
+    d takes about log2(d) joins, one shuffle of the unfinished items each. An item whose
+    ancestor is finished is finished too, and only looked up from then on. Items below a
+    missing parent drop out. A round that finishes nobody ends the loop: what then remains hangs
+    below an item that is no story, or in a cycle. An item many others point to is salted.
 
-    An item that is itself of `root_kind` starts its own thread; the feed gives such items no
-    parent. `roots` (one column, the key) restricts the result to some threads; the expansion
-    stays a whole-table job, since a thread cannot be told from its ids alone.
+    Every item of `root_kind` starts its own thread; the feed gives such items no parent.
+    `roots` (one column of ids) restricts the result.
     """
     is_root = F.coalesce(F.col(kind) == root_kind, F.lit(False))
     nodes = items.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("node"), F.col(parent).alias("up"), is_root.alias("is_root")
-    )
-    starts = nodes.filter("is_root").select(F.col("node").alias("root_id"), "node", F.lit(0).cast("bigint").alias("depth"))
-    active = checkpointed(
-        nodes.filter("NOT is_root AND up IS NOT NULL").select("node", "up", F.lit(1).cast("bigint").alias("hops"))
+        F.col(key).alias("node"),
+        F.when(is_root, F.col(key)).otherwise(F.col(parent)).alias("up"),
+        F.when(is_root, 0).otherwise(1).cast("bigint").alias("hops"),
+        is_root.alias("done"),
     )
-    found = [starts]
-    root_ids = checkpointed(starts.select(F.col("root_id").alias("up"), F.lit(True).alias("arrived")))
-    while True:
-        many = hot_keys(active, "up", min_rows=min_hot_rows, max_keys=max_hot_keys)
-        flagged = checkpointed(salted_join(active, root_ids, "up", "left", many, ["node"]))
-        arrived = flagged.filter("arrived").select(F.col("up").alias("root_id"), "node", F.col("hops").alias("depth"))
-        if arrived.isEmpty():
-            break
-        found.append(arrived)
-        waiting = flagged.filter("arrived IS NULL").drop("arrived")
-        # The pointers of items that are still waiting; one that has arrived points at its root.
-        pointers = flagged.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("hops").alias("more"))
-        done = [f.select(F.col("node").alias("up"), F.col("root_id").alias("next"), F.col("depth").alias("more")) for f in found[1:-1]]
-        for d in done:
-            pointers = pointers.unionByName(d)
-        many = hot_keys(waiting, "up", min_rows=min_hot_rows, max_keys=max_hot_keys)
-        active = checkpointed(
-            salted_join(waiting, pointers, "up", "inner", many, ["node"]).select(
-                "node", F.col("next").alias("up"), (F.col("hops") + F.col("more")).alias("hops")
+
+    def store_round(step: DataFrame) -> tuple[DataFrame, int, int]:
+        counts = Observation()
+        saved = stored(
+            step.observe(
+                counts, F.count_if(F.col("done")).alias("done"), F.count_if(~F.col("done")).alias("waiting")
             )
         )
-    threads = found[0]
-    for part in found[1:]:
-        threads = threads.unionByName(part)
+        return saved, counts.get["done"], counts.get["waiting"]
+
+    current, arrived, waiting = store_round(nodes.filter("up IS NOT NULL"))
+    finished = [current.filter("done")]
+    while arrived and waiting:
+        active = current.filter("NOT done")
+        targets = reduce(DataFrame.unionByName, [*finished, active]).select(
+            F.col("node").alias("up"), F.col("up").alias("next"), F.col("hops").alias("more"), F.col("done").alias("end")
+        )
+        active = active.select("node", "up", "hops")
+        if waiting >= min_hot_rows:
+            hot = hot_keys(active, "up", min_rows=min_hot_rows, max_keys=max_hot_keys)
+            moved = salted_join(active, targets, "up", "inner", hot, ["node"])
+        else:
+            moved = active.join(targets, "up")
+        step = moved.select(
+            "node", F.col("next").alias("up"), (F.col("hops") + F.col("more")).alias("hops"), F.col("end").alias("done")
+        )
+        current, arrived, waiting = store_round(step)
+        finished.append(current.filter("done"))
+
+    threads = reduce(DataFrame.unionByName, finished).select(
+        F.col("up").alias("root_id"), F.col("node").alias(key), F.col("hops").alias("depth")
+    )
     if roots is not None:
-        wanted = roots.select(F.col(roots.columns[0]).alias("root_id")).distinct()
+        wanted = roots.select(F.col(roots.columns[0]).alias("root_id"))
         threads = threads.join(wanted, "root_id", "left_semi")
-    return threads.select("root_id", F.col("node").alias(key), "depth")
+    return threads

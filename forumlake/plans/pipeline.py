@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from forumlake.constants import ITEMS_PER_CHUNK, ITEMS_PER_RUN
 from forumlake.plans import dashboard, dims, facts, marts, quality, staging
-from forumlake.session import checkpointed
+from forumlake.session import stored
 from forumlake.sources import bronze, control, silver
 
 
@@ -25,12 +25,12 @@ def land_new_items(
     """Look up the ids after the high-water mark, land them, then move the mark.
 
     Returns the number of landed items and the ids whose look-up failed. Items are looked
-    up once: the result is checkpointed before it is landed. A run that dies before the mark
+    up once: the result is stored before it is landed. A run that dies before the mark
     moved lands the same ids again; staging keeps one version.
     """
     last_id = control.read_mark(spark, mark_path)
     ids = bronze.run_ids(spark, last_id, max_id, chunk_size, items_per_run)
-    fetched = checkpointed(bronze.fetch_items(ids, lookup))
+    fetched = stored(bronze.fetch_items(ids, lookup))
     landed = bronze.land_items(fetched.filter("status = 'ok'"), root, day, chunk_size)
     if bronze.run_bounds(last_id, max_id, items_per_run):
         control.write_mark(spark, mark_path, max_id)
@@ -56,7 +56,7 @@ def parse_changed_days(
     task per 128 MB of listed files, so their number is limited for that job.
     """
     with _setting(spark, "spark.sql.files.maxPartitionNum", "512"):
-        totals = checkpointed(bronze.day_totals(bronze.landed_files(spark, root)))
+        totals = stored(bronze.day_totals(bronze.landed_files(spark, root)))
     compared = bronze.compare_days(totals, control.read_day_state(spark, state_path))
     days = [row.ingest_date for row in bronze.days_to_process(compared, reload_shrunk).collect()]
     if days:

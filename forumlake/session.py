@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings results depend on (UTC days, strict casts) and settings that keep skewed shuffles spread.
 SQL_SETTINGS = {
@@ -65,7 +65,12 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Cut the lineage of a DataFrame with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a DataFrame: write it to the shared folder and read it back.
+
+    Unlike checkpoint() this keeps the true size for later join decisions and starts from
+    a clean plan, which matters in loops.
+    """
+    path = new_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

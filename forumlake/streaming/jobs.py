@@ -1,11 +1,11 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DateType, DoubleType, LongType, StructField, StructType
 
 from forumlake.operators.versions import latest_version
 from forumlake.schemas import SILVER
-from forumlake.session import checkpointed
+from forumlake.session import stored
 from forumlake.sources import bronze, silver
 
 
@@ -64,14 +64,14 @@ def read_current(
     spark: SparkSession, path: str, buckets: list[int] | None = None, before: int | None = None
 ) -> DataFrame:
     """Newest version of every item from the snapshots maintain_current keeps."""
-    stored = spark.read.schema(_CURRENT).parquet(path)
+    snapshots = spark.read.schema(_CURRENT).parquet(path)
     if buckets is not None:
-        stored = stored.filter(F.col("bucket").isin(buckets))
+        snapshots = snapshots.filter(F.col("bucket").isin(buckets))
     if before is not None:
-        stored = stored.filter(F.col("version") < before)
+        snapshots = snapshots.filter(F.col("version") < before)
     # One row per bucket, from folder names and file footers: bounded by ids / ids_per_bucket.
-    newest = stored.groupBy("bucket").agg(F.max("version").alias("version"))
-    return stored.join(F.broadcast(newest), ["bucket", "version"], "left_semi").select(*SILVER.names)
+    newest = snapshots.groupBy("bucket").agg(F.max("version").alias("version"))
+    return snapshots.join(F.broadcast(newest), ["bucket", "version"], "left_semi").select(*SILVER.names)
 
 
 def maintain_current(items: DataFrame, path: str, checkpoint: str, ids_per_bucket: int = 1_000_000) -> StreamingQuery:
@@ -89,7 +89,7 @@ def maintain_current(items: DataFrame, path: str, checkpoint: str, ids_per_bucke
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         bucket = F.coalesce(F.floor(F.col("item_id") / ids_per_bucket), F.lit(-(2**62))).alias("bucket")
-        new = checkpointed(newest(batch))
+        new = stored(newest(batch))
         touched = [r.bucket for r in new.select(bucket).distinct().collect()]
         try:
             new = newest(new.unionByName(read_current(spark, path, touched, before=batch_id)))
@@ -113,33 +113,43 @@ def maintain_daily(stories: DataFrame, path: str, checkpoint: str, lateness: str
 
     State is one row per day inside the watermark. Exact distinct counts would need every
     author of every open day as state, so authors are approximate here (1 % error); the daily
-    mart has the exact figure. Each changed day replaces its own folder.
+    mart has the exact figure. Each batch writes the days it changed to a folder of its own,
+    which a repeated batch replaces; read_daily takes the newest row per day.
     """
     daily = (
         stories.withWatermark("created_at", lateness)
         .groupBy(F.window("created_at", "1 day").alias("day"))
         .agg(
-            F.count(F.lit(1)).alias("stories_per_day"),
+            F.count("item_key").alias("stories_per_day"),
             F.avg("total_comments").alias("avg_comments_per_story"),
             F.approx_count_distinct("user_key", 0.01).alias("active_authors_approx"),
         )
-        .select(F.col("day.start").cast("date").alias("story_date"), "stories_per_day", "avg_comments_per_story",
-                "active_authors_approx")
-    )
+        .select(F.col("day.start").cast("date").alias("story_date"), *_DAILY.names[1:-1])
+    )
 
-    def replace(batch: DataFrame, _: int) -> None:
-        (
-            batch.coalesce(1)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("story_date")
-            .parquet(path)
-        )
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
         daily.writeStream.outputMode("update")
-        .foreachBatch(replace)
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+_DAILY = StructType(
+    [
+        StructField("story_date", DateType()),
+        StructField("stories_per_day", LongType()),
+        StructField("avg_comments_per_story", DoubleType()),
+        StructField("active_authors_approx", LongType()),
+        StructField("batch", LongType()),
+    ]
+)
+
+
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """Newest row per day of what maintain_daily keeps."""
+    return latest_version(spark.read.schema(_DAILY).parquet(path), ["story_date"], ["batch"]).drop("batch")
