@@ -10,7 +10,7 @@ from forumlake.operators.threads import expand_threads
 from forumlake.operators.versions import latest_version
 from forumlake.plans import dashboard, dims, facts, marts, metrics, quality, staging
 from forumlake.plans.pipeline import parse_changed_days
-from forumlake.session import configure, new_dir
+from forumlake.session import configure, new_dir, stored
 from forumlake.sources import bronze, control, silver
 from forumlake.streaming import jobs
 
@@ -40,13 +40,19 @@ def _staged(spark, sf_dir):
     return staging.staged_items(feed.feed(spark, sf_dir))
 
 
+def _stored_staged(spark, sf_dir):
+    """Staged items for queries that read them more than once, stored as build_models stores them."""
+    return stored(_staged(spark, sf_dir))
+
+
 def _facts(spark, sf_dir):
-    return facts.fct_stories(_staged(spark, sf_dir))
+    return facts.fct_stories(_stored_staged(spark, sf_dir))
 
 
 def _view(spark, sf_dir):
-    staged = _staged(spark, sf_dir)
-    return facts.story_analytics(facts.fct_stories(staged), dims.dim_items(staged), dims.dim_users(staged))
+    staged = _stored_staged(spark, sf_dir)
+    users = stored(dims.dim_users(staged))
+    return facts.story_analytics(facts.fct_stories(staged), dims.dim_items(staged), users)
 
 
 # Staging, dimensions, fact, marts, view
@@ -86,7 +92,7 @@ def event_state_history(spark, sf_dir):
 
 @query
 def comments_on_stories(spark, sf_dir):
-    comments = staging.comments_on(_staged(spark, sf_dir))
+    comments = staging.comments_on(_stored_staged(spark, sf_dir))
     return comments.select("item_id", "parent_id", "author", "created_at", "score")
 
 
@@ -112,8 +118,8 @@ def fct_stories(spark, sf_dir):
 
 @query
 def fct_stories_joined(spark, sf_dir):
-    staged = _staged(spark, sf_dir)
-    return facts.fct_stories_joined(staged, dims.dim_items(staged), dims.dim_users(staged))
+    staged = _stored_staged(spark, sf_dir)
+    return facts.fct_stories_joined(staged, dims.dim_items(staged), stored(dims.dim_users(staged)))
 
 
 @query
@@ -206,12 +212,12 @@ def first_comment_distribution(spark, sf_dir):
 
 @query
 def engagement_7d(spark, sf_dir):
-    return metrics.engagement(_staged(spark, sf_dir))
+    return metrics.engagement(_stored_staged(spark, sf_dir))
 
 
 @query
 def engagement_funnel(spark, sf_dir):
-    return metrics.engagement(_staged(spark, sf_dir), period="MONTH")
+    return metrics.engagement(_stored_staged(spark, sf_dir), period="MONTH")
 
 
 @query
@@ -231,12 +237,12 @@ def peak_hours(spark, sf_dir):
 
 @query
 def comment_velocity(spark, sf_dir):
-    return metrics.comment_velocity(_staged(spark, sf_dir))
+    return metrics.comment_velocity(_stored_staged(spark, sf_dir))
 
 
 @query
 def lifetime_curve(spark, sf_dir):
-    return metrics.lifetime_curve(_staged(spark, sf_dir))
+    return metrics.lifetime_curve(_stored_staged(spark, sf_dir))
 
 
 @query
@@ -246,7 +252,7 @@ def author_cohorts(spark, sf_dir):
 
 @query
 def author_features(spark, sf_dir):
-    return metrics.author_features(_staged(spark, sf_dir))
+    return metrics.author_features(_stored_staged(spark, sf_dir))
 
 
 # Data quality
@@ -274,15 +280,15 @@ def dq_accepted_values(spark, sf_dir):
 
 @query
 def dq_relationships(spark, sf_dir):
-    staged = _staged(spark, sf_dir)
+    staged = _stored_staged(spark, sf_dir)
     return quality.relationships(staged, "parent_id", staged.filter("item_type = 'story'"), "item_id")
 
 
 @query
 def dq_report(spark, sf_dir):
     silver_items = feed.feed(spark, sf_dir)
-    staged = staging.staged_items(silver_items)
-    items, users, stories = dims.dim_items(staged), dims.dim_users(staged), facts.fct_stories(staged)
+    staged = stored(staging.staged_items(silver_items))
+    items, users, stories = dims.dim_items(staged), stored(dims.dim_users(staged)), stored(facts.fct_stories(staged))
     models = {"stg_items": staged, "dim_items": items, "dim_users": users, "fct_stories": stories}
     # The parsed items before deduplication, against checks that do find something.
     models["parsed_items"] = silver_items
@@ -413,7 +419,7 @@ def raw_to_daily_metrics(spark, sf_dir):
     root, path, state = (new_dir(spark, name) for name in ("bronze", "silver", "state"))
     bronze.land_items(feed.event_lines(spark, sf_dir), root)
     parse_changed_days(spark, root, path, state, run_id=1)
-    staged = staging.staged_items(silver.read_items(spark, path))
+    staged = stored(staging.staged_items(silver.read_items(spark, path)))
     return marts.daily_story_metrics(facts.fct_stories(staged))
 
 

@@ -69,11 +69,15 @@ def exact_quantiles(
 
 
 def ranked(df: DataFrame, value: str, spread_by: list[str], rank: str = "rank", slices: int = SLICES, **hot) -> DataFrame:
-    """Adds the rank of each row by descending `value`; equal values share a rank, NULLs come last."""
-    rows = df.withColumn("_order", -F.col(value))
+    """Adds the rank of each row by descending `value`; equal values share a rank, NULLs come last.
+
+    The rows are stored once; distinct values are ranked by running weight and joined back,
+    salted, since very many rows may share one value.
+    """
+    rows = stored(df.withColumn("_order", -F.col(value)))
     histogram = rows.groupBy("_order").agg(F.count(F.lit(1)).alias("_n"))
     known = running_weight(histogram.filter("_order IS NOT NULL"), "_order", "_n", slices=slices)
     many = hot_keys(histogram, "_order", rows="_n", **hot)
     joined = salted_join(rows, known.select("_order", "below", "in_group"), "_order", "left", many, spread_by)
-    total = histogram.filter("_order IS NOT NULL").agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+    total = rows.agg(F.count("_order")).scalar()
     return joined.withColumn(rank, (F.coalesce("below", total) + 1).cast("bigint")).drop("_order", "below", "in_group")

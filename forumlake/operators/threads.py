@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from forumlake.operators.skew import MAX_HOT_KEYS, MIN_HOT_ROWS, hot_keys, salted_join
 from forumlake.session import stored
@@ -39,13 +39,9 @@ def expand_threads(
     )
 
     def store_round(step: DataFrame) -> tuple[DataFrame, int, int]:
-        counts = Observation()
-        saved = stored(
-            step.observe(
-                counts, F.count_if(F.col("done")).alias("done"), F.count_if(~F.col("done")).alias("waiting")
-            )
-        )
-        return saved, counts.get["done"], counts.get["waiting"]
+        saved = stored(step)
+        counts = saved.agg(F.count_if(F.col("done")), F.count_if(~F.col("done"))).first()
+        return saved, counts[0], counts[1]
 
     current, arrived, waiting = store_round(nodes.filter("up IS NOT NULL"))
     finished = [current.filter("done")]

@@ -31,10 +31,11 @@ def land_new_items(
     last_id = control.read_mark(spark, mark_path)
     ids = bronze.run_ids(spark, last_id, max_id, chunk_size, items_per_run)
     fetched = stored(bronze.fetch_items(ids, lookup))
-    landed = bronze.land_items(fetched.filter("status = 'ok'"), root, day, chunk_size)
+    found = bronze.landable(fetched.filter("status = 'ok'"))
     if bronze.run_bounds(last_id, max_id, items_per_run):
+        bronze.land_items(found, root, day, chunk_size)
         control.write_mark(spark, mark_path, max_id)
-    return landed, fetched.filter("status = 'failed'").select("item_id", "error")
+    return found.count(), fetched.filter("status = 'failed'").select("item_id", "error")
 
 
 @contextmanager

@@ -5,7 +5,7 @@ import json
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from forumlake.constants import ITEMS_PER_CHUNK, ITEMS_PER_RUN
 from forumlake.schemas import FETCHED
@@ -92,25 +92,25 @@ def missing_ids(spark: SparkSession, landed: DataFrame, first: int, last: int, k
     return expected.join(landed.select(key), key, "left_anti")
 
 
-def land_items(
-    items: DataFrame, root: str, day: dt.date | None = None, items_per_file: int = ITEMS_PER_CHUNK
-) -> int:
-    """Append the JSON lines in `value` below `root` as gzipped text and return how many there were.
+def landable(items: DataFrame) -> DataFrame:
+    """Items worth landing: neither missing nor empty."""
+    return items.filter(F.col("value").isNotNull() & ~F.trim("value").isin("", "null", "{}"))
 
-    Empty items are left out. With `day` the files go to root/YYYY/MM/DD, else to one folder
-    per `ingest_date`. Spark's committer publishes the files together and writes _SUCCESS last.
-    The rebalance hint lets adaptive execution split a busy day and join quiet ones.
+
+def land_items(items: DataFrame, root: str, day: dt.date | None = None, items_per_file: int = ITEMS_PER_CHUNK) -> None:
+    """Append the JSON lines in `value` below `root` as gzipped text, empty items left out.
+
+    With `day` the files go to root/YYYY/MM/DD, else to one folder per `ingest_date`. Spark's
+    committer publishes the files together and writes _SUCCESS last. The rebalance hint lets
+    adaptive execution split a busy day and join quiet ones.
     """
-    landed = Observation()
-    kept = items.filter(F.col("value").isNotNull() & ~F.trim("value").isin("", "null", "{}"))
-    kept = kept.observe(landed, F.count(F.lit(1)).alias("items"))
+    kept = landable(items)
     if day is not None:
         writer, path = kept.select("value").write, f"{root}/{day:%Y/%m/%d}"
     else:
         writer, path = kept.select("value", "ingest_date").hint("rebalance", "ingest_date").write, root
         writer = writer.partitionBy("ingest_date")
     writer.mode("append").option("compression", "gzip").option("maxRecordsPerFile", items_per_file).text(path)
-    return landed.get["items"]
 
 
 def day_of_path(path: Column) -> Column:
