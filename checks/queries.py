@@ -337,7 +337,7 @@ def id_chunks(spark, sf_dir):
 @query
 def run_ids_with_landed_lines(spark, sf_dir):
     lines = feed.event_lines(spark, sf_dir)
-    landed = lines.select(F.get_json_object("value", "$.id").cast("bigint").alias("item_id"), "value")
+    landed = lines.withColumn("item_id", F.get_json_object("value", "$.id").cast("bigint"))
     newest = feed.table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
     found = bronze.enrich_from_landed(bronze.run_ids(spark, -1, newest, items_per_run=None), landed)
     return found.select("item_id", F.col("value").isNotNull().alias("landed"))

@@ -28,7 +28,8 @@ def expand_threads(
     below an item that is no story, or in a cycle. An item many others point to is salted.
 
     Every item of `root_kind` starts its own thread; the feed gives such items no parent.
-    `roots` (one column of ids) restricts the result.
+    `roots` (one column of ids) keeps only those threads: other roots are left out at the
+    start, and what hangs below them drops out like items below a missing parent.
     """
     is_root = F.coalesce(F.col(kind) == root_kind, F.lit(False))
     nodes = items.filter(F.col(key).isNotNull()).select(
@@ -38,6 +39,10 @@ def expand_threads(
         is_root.alias("done"),
     )
 
+    if roots is not None:
+        wanted = roots.select(F.col(roots.columns[0]).alias("node")).distinct()
+        nodes = nodes.filter("done").join(wanted, "node", "left_semi").unionByName(nodes.filter("NOT done"))
+
     def store_round(step: DataFrame) -> tuple[DataFrame, int, int]:
         saved = stored(step)
         counts = saved.agg(F.count_if(F.col("done")), F.count_if(~F.col("done"))).first()
@@ -62,10 +67,6 @@ def expand_threads(
         current, arrived, waiting = store_round(step)
         finished.append(current.filter("done"))
 
-    threads = reduce(DataFrame.unionByName, finished).select(
+    return reduce(DataFrame.unionByName, finished).select(
         F.col("up").alias("root_id"), F.col("node").alias(key), F.col("hops").alias("depth")
     )
-    if roots is not None:
-        wanted = roots.select(F.col(roots.columns[0]).alias("root_id"))
-        threads = threads.join(wanted, "root_id", "left_semi")
-    return threads

@@ -61,7 +61,10 @@ def parse_changed_days(
     compared = bronze.compare_days(totals, control.read_day_state(spark, state_path))
     days = [row.ingest_date for row in bronze.days_to_process(compared, reload_shrunk).collect()]
     if days:
-        silver.write_items(silver.parse_items(bronze.landed_lines(spark, root, days)), silver_path)
+        # The first run takes every day: then the whole folder is listed instead of each day.
+        everything = len(days) == totals.count()
+        lines = bronze.landed_lines(spark, root, None if everything else days).filter("ingest_date IS NOT NULL")
+        silver.write_items(silver.parse_items(lines), silver_path)
         control.write_day_state(totals.filter(F.col("ingest_date").isin(days)), state_path, run_id)
     return days
 

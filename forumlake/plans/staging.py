@@ -1,5 +1,6 @@
 from pyspark.sql import DataFrame, functions as F
 
+from forumlake.operators.skew import MAX_HOT_KEYS, MIN_HOT_ROWS, hot_keys, salted_join
 from forumlake.operators.versions import latest_version, version_history
 
 STAGED_COLUMNS = [
@@ -20,7 +21,11 @@ def item_history(silver: DataFrame) -> DataFrame:
                            ["score", "descendants"])
 
 
-def comments_on(items: DataFrame, parent_type: str = "story") -> DataFrame:
-    """Comments whose direct parent is an item of the given type."""
+def comments_on(
+    items: DataFrame, parent_type: str = "story", min_rows: int = MIN_HOT_ROWS, max_keys: int = MAX_HOT_KEYS
+) -> DataFrame:
+    """Comments whose direct parent is an item of the given type; much discussed parents are salted."""
     parents = items.filter(F.col("item_type") == parent_type).select(F.col("item_id").alias("parent_id"))
-    return items.filter(F.col("item_type") == "comment").join(parents, "parent_id", "left_semi")
+    comments = items.filter((F.col("item_type") == "comment") & F.col("parent_id").isNotNull())
+    hot = hot_keys(comments, "parent_id", min_rows=min_rows, max_keys=max_keys)
+    return salted_join(comments, parents, "parent_id", "left_semi", hot, ["item_id"])

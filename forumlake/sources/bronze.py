@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from forumlake.constants import ITEMS_PER_CHUNK, ITEMS_PER_RUN
+from forumlake.operators.versions import latest_version
 from forumlake.schemas import FETCHED
 
 LANDED_FILES = "*.gz"
@@ -81,15 +82,18 @@ def fetch_items(ids: DataFrame, lookup: Callable[[int], dict | None]) -> DataFra
     return ids.select("item_id").mapInPandas(run, FETCHED)
 
 
-def enrich_from_landed(ids: DataFrame, landed: DataFrame) -> DataFrame:
-    """Ids with the raw line already landed for them, NULL where there is none."""
-    return ids.join(landed.select("item_id", "value"), "item_id", "left")
+def enrich_from_landed(
+    ids: DataFrame, landed: DataFrame, newest_first: tuple[str, ...] = ("ingest_date", "source_file")
+) -> DataFrame:
+    """Ids with the newest raw line already landed for them, NULL where there is none."""
+    lines = latest_version(landed.select("item_id", "value", *newest_first), ["item_id"], list(newest_first))
+    return ids.join(lines.select("item_id", "value"), "item_id", "left")
 
 
 def missing_ids(spark: SparkSession, landed: DataFrame, first: int, last: int, key: str = "item_id") -> DataFrame:
     """Ids of a range that never arrived: failed look-ups the high-water mark has passed."""
     expected = spark.range(first, last + 1).select(F.col("id").alias(key))
-    return expected.join(landed.select(key), key, "left_anti")
+    return expected.join(landed.select(key).distinct(), key, "left_anti")
 
 
 def landable(items: DataFrame) -> DataFrame:

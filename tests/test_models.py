@@ -56,6 +56,7 @@ def test_staging(staged):
 
 def test_comments_on_stories(staged, rows):
     assert rows(staging.comments_on(staged), "item_id") == [(11,), (12,), (13,), (15,)]
+    assert rows(staging.comments_on(staged, min_rows=1, max_keys=50), "item_id") == [(11,), (12,), (13,), (15,)]
 
 
 def test_fact(spark, staged):

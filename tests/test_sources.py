@@ -71,7 +71,10 @@ def test_land_and_read_back(spark, tmp_path, rows):
 
 
 def test_missing_and_enriched_ids(spark, rows):
-    landed = spark.createDataFrame([(1, "a"), (3, "c")], "item_id long, value string")
+    landed = spark.createDataFrame(
+        [(1, "a", "d1", "f"), (3, "b", "d1", "f"), (3, "c", "d2", "f")],
+        "item_id long, value string, ingest_date string, source_file string",
+    )
     assert rows(bronze.missing_ids(spark, landed, 1, 4)) == [(2,), (4,)]
     ids = bronze.run_ids(spark, 0, 3, items_per_run=None)
     assert rows(bronze.enrich_from_landed(ids, landed)) == [(1, "a"), (2, None), (3, "c")]
