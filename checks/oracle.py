@@ -2,7 +2,7 @@
 
 from checks.feed import EVENT_SILVER_SQL, SILVER_SQL
 
-_TIES = "item_type, author, created_at, title, text_content, url, parent_id, score, descendants, ingest_date_str"
+_TIES = "created_at, item_type, author, parent_id, score, descendants, ingest_date_str, title, url, text_content"
 _STAGED = f"""
 dated AS (
     SELECT *, strftime(created_at, '%Y-%m-%d') AS ingest_date, strftime(created_at, '%Y-%m-%d') AS ingest_date_str
@@ -343,6 +343,7 @@ ORACLE: dict[str, str] = {
     "landed_manifest": f"""
         SELECT {_DAY} AS ingest_date, count(*) AS item_count, min(event_id) AS start_id, max(event_id) AS end_id
         FROM events GROUP BY 1""",
+    "landed_days": f"SELECT DISTINCT {_DAY} AS ingest_date FROM events",
     "changed_days": _with(_TOTALS, """
         state AS (
             SELECT ingest_date, file_count AS old_file_count, total_bytes +

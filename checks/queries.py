@@ -36,13 +36,13 @@ def query(function):
     return function
 
 
-def _staged(spark, sf_dir):
-    return staging.staged_items(feed.feed(spark, sf_dir))
+def _staged(spark, sf_dir, texts=()):
+    return staging.staged_items(feed.feed(spark, sf_dir), list(texts))
 
 
-def _stored_staged(spark, sf_dir):
+def _stored_staged(spark, sf_dir, texts=()):
     """Staged items for queries that read them more than once, stored as build_models stores them."""
-    return stored(_staged(spark, sf_dir))
+    return stored(_staged(spark, sf_dir, texts))
 
 
 def _facts(spark, sf_dir):
@@ -50,9 +50,9 @@ def _facts(spark, sf_dir):
 
 
 def _view(spark, sf_dir):
-    staged = _stored_staged(spark, sf_dir)
+    staged = _stored_staged(spark, sf_dir, ["title", "url"])
     users = stored(dims.dim_users(staged))
-    return facts.story_analytics(facts.fct_stories(staged), dims.dim_items(staged), users)
+    return facts.story_analytics(facts.fct_stories(staged), dims.dim_items(staged, with_text=False), users)
 
 
 # Staging, dimensions, fact, marts, view
@@ -60,7 +60,7 @@ def _view(spark, sf_dir):
 
 @query
 def staged_items(spark, sf_dir):
-    return _staged(spark, sf_dir)
+    return _staged(spark, sf_dir, staging.TEXTS)
 
 
 @query
@@ -98,7 +98,7 @@ def comments_on_stories(spark, sf_dir):
 
 @query
 def dim_items(spark, sf_dir):
-    return dims.dim_items(_staged(spark, sf_dir))
+    return dims.dim_items(_staged(spark, sf_dir, staging.TEXTS))
 
 
 @query
@@ -118,8 +118,9 @@ def fct_stories(spark, sf_dir):
 
 @query
 def fct_stories_joined(spark, sf_dir):
-    staged = _stored_staged(spark, sf_dir)
-    return facts.fct_stories_joined(staged, dims.dim_items(staged), stored(dims.dim_users(staged)))
+    staged = _stored_staged(spark, sf_dir, ["title", "url"])
+    items, users = dims.dim_items(staged, with_text=False), stored(dims.dim_users(staged))
+    return facts.fct_stories_joined(staged, items, users)
 
 
 @query
@@ -287,8 +288,9 @@ def dq_relationships(spark, sf_dir):
 @query
 def dq_report(spark, sf_dir):
     silver_items = feed.feed(spark, sf_dir)
-    staged = stored(staging.staged_items(silver_items))
-    items, users, stories = dims.dim_items(staged), stored(dims.dim_users(staged)), stored(facts.fct_stories(staged))
+    staged = stored(staging.staged_items(silver_items, ["title", "url"]))
+    items = dims.dim_items(staged, with_text=False)
+    users, stories = stored(dims.dim_users(staged)), stored(facts.fct_stories(staged))
     models = {"stg_items": staged, "dim_items": items, "dim_users": users, "fct_stories": stories}
     # The parsed items before deduplication, against checks that do find something.
     models["parsed_items"] = silver_items
@@ -374,7 +376,7 @@ def landed_manifest(spark, sf_dir):
     """File names differ from run to run, so the manifests are summed up per day."""
     root = new_dir(spark, "bronze")
     bronze.land_items(feed.event_lines(spark, sf_dir), root)
-    files = bronze.manifest(bronze.landed_lines(spark, root))
+    files = bronze.manifest(bronze.landed_lines(spark, root), "events")
     return files.groupBy(bronze.day_of_path(F.col("path")).alias("ingest_date")).agg(
         F.sum("item_count").alias("item_count"),
         F.min("id_range.start").alias("start_id"),
@@ -382,6 +384,13 @@ def landed_manifest(spark, sf_dir):
     )
 
 
+@query
+def landed_days(spark, sf_dir):
+    root = new_dir(spark, "bronze")
+    bronze.land_items(feed.event_lines(spark, sf_dir), root)
+    return bronze.landed_days(bronze.landed_files(spark, root))
+
+
 def _landed_days(spark, sf_dir):
     """Events as files: one per event, its value in cents as size."""
     return bronze.day_totals(
@@ -419,7 +428,7 @@ def raw_to_daily_metrics(spark, sf_dir):
     root, path, state = (new_dir(spark, name) for name in ("bronze", "silver", "state"))
     bronze.land_items(feed.event_lines(spark, sf_dir), root)
     parse_changed_days(spark, root, path, state, run_id=1)
-    staged = stored(staging.staged_items(silver.read_items(spark, path)))
+    staged = stored(staging.staged_items(silver.read_items(spark, path), []))
     return marts.daily_story_metrics(facts.fct_stories(staged))
 
 

@@ -8,19 +8,19 @@ from forumlake.operators.rollups import author_activity
 from forumlake.operators.skew import MAX_HOT_KEYS, MIN_HOT_ROWS, hot_keys
 
 
-def dim_items(staged: DataFrame) -> DataFrame:
-    """One row per item with its key, url host and text length."""
-    return staged.select(
+def dim_items(staged: DataFrame, with_text: bool = True) -> DataFrame:
+    """One row per item with its key, url host and text length; without text for readers of the view."""
+    items = staged.select(
         surrogate_key("item_id").alias("item_key"),
         "item_id",
         "item_type",
         "title",
-        "text_content",
+        *(["text_content"] if with_text else []),
         "url",
         url_host("url").alias("domain"),
         F.col("url").isNotNull().alias("has_url"),
-        F.length("text_content").cast("bigint").alias("text_length"),
     )
+    return items.withColumn("text_length", F.length("text_content").cast("bigint")) if with_text else items
 
 
 def dim_users(staged: DataFrame) -> DataFrame:

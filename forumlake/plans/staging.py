@@ -8,10 +8,22 @@ STAGED_COLUMNS = [
     "text_content", "url", "score", "descendants", "source_file", "ingest_date",
 ]
 
-
-def staged_items(silver: DataFrame) -> DataFrame:
-    """Newest version of every item: latest ingest day, then source file, then the content itself."""
-    return latest_version(silver, ["item_id"], ["ingest_date", "source_file"]).select(*STAGED_COLUMNS)
+# Compared in this order where two versions came in the same file; the long texts come last.
+_TIES = ["created_at", "item_type", "author", "parent_id", "score", "descendants", "ingest_date_str"]
+TEXTS = ["title", "url", "text_content"]
+
+
+def staged_items(silver: DataFrame, texts: list[str] = TEXTS) -> DataFrame:
+    """Newest version of every item: latest ingest day, then source file, then the content itself.
+
+    `texts` may leave out the last or all of TEXTS for readers that do not need them. Versions
+    that differ in nothing else are then the same row, so the other columns come out the same,
+    but the texts, most of the bytes, are neither scanned nor shuffled.
+    """
+    if texts != TEXTS[: len(texts)]:
+        raise ValueError(f"texts must be the beginning of {TEXTS}")
+    columns = [c for c in STAGED_COLUMNS if c in texts or c not in TEXTS]
+    return latest_version(silver.select(*columns), ["item_id"], ["ingest_date", "source_file"], _TIES + texts)
 
 
 def item_history(silver: DataFrame) -> DataFrame:

@@ -142,8 +142,8 @@ def landed_lines(spark: SparkSession, root: str, days: list[str] | None = None)
     )
 
 
-def manifest(lines: DataFrame) -> DataFrame:
-    """Per landed file: time written, format, items, id range and path.
+def manifest(lines: DataFrame, source: str) -> DataFrame:
+    """Per landed file: path, time written, items, id range, source and format.
 
     A gzipped file is read by one task, so its lines are summed up before the shuffle.
     """
@@ -156,7 +156,7 @@ def manifest(lines: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("item_count"),
             F.struct(F.min("_id").alias("start"), F.max("_id").alias("end")).alias("id_range"),
         )
-        .withColumn("file_format", F.lit("NDJSON_GZ"))
+        .withColumns({"source": F.lit(source), "file_format": F.lit("NDJSON_GZ")})
     )
 
 

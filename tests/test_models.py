@@ -54,6 +54,22 @@ def test_staging(staged):
     assert {r.item_id: r.score for r in staged.filter("item_type = 'story'").collect()} == {1: 1, 2: 2, 3: 3, 4: 10}
 
 
+def test_staging_without_texts(spark, rows):
+    """Versions of one file that differ in texts, or in more than texts."""
+    data = [
+        item(1, "story", score=2, title="b"), item(1, "story", score=2, title="a"), item(1, "story", score=1, title="z"),
+        item(2, "story", score=5, url="x"), item(2, "story", score=5, url="y"), item(None, None), item(None, "job"),
+    ]
+    silver = spark.createDataFrame(data, SILVER)
+    whole = staging.staged_items(silver)
+    assert rows(whole, "item_id", "title", "url") == sorted([(1, "b", None), (2, None, "y"), (None, None, None)], key=str)
+    for texts in ([], ["title"], ["title", "url"]):
+        narrow = staging.staged_items(silver, texts)
+        assert rows(narrow) == rows(whole, *narrow.columns)
+    with pytest.raises(ValueError):
+        staging.staged_items(silver, ["url"])
+
+
 def test_comments_on_stories(staged, rows):
     assert rows(staging.comments_on(staged), "item_id") == [(11,), (12,), (13,), (15,)]
     assert rows(staging.comments_on(staged, min_rows=1, max_keys=50), "item_id") == [(11,), (12,), (13,), (15,)]

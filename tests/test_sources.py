@@ -64,7 +64,7 @@ def test_land_and_read_back(spark, tmp_path, rows):
     assert os.path.exists(f"{root}/2025/10/05/_SUCCESS")
     lines = bronze.landed_lines(spark, root)
     assert rows(lines, "value", "ingest_date") == sorted([(v, "2025-10-05") for v in values[:2]], key=str)
-    entry = bronze.manifest(lines).agg(F.sum("item_count"), F.min("id_range.start"), F.max("id_range.end")).first()
+    entry = bronze.manifest(lines, "feed").agg(F.sum("item_count"), F.min("id_range.start"), F.max("id_range.end")).first()
     assert tuple(entry) == (2, 8863, 8864)
     bronze.land_items(df.filter("value IS NULL"), root, DAY)
     assert bronze.landed_lines(spark, root).count() == 2
