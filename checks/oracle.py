@@ -347,8 +347,9 @@ ORACLE: dict[str, str] = {
     "changed_days": _with(_TOTALS, """
         state AS (
             SELECT ingest_date, file_count AS old_file_count, total_bytes +
-                   CASE day(CAST(ingest_date AS DATE)) % 3 WHEN 0 THEN 0 WHEN 1 THEN 5 ELSE -5 END AS old_total_bytes
-            FROM totals WHERE day(CAST(ingest_date AS DATE)) % 7 <> 0
+                   CASE WHEN ingest_date < '2024-01-06' THEN 5 WHEN ingest_date >= '2024-01-16' THEN -5 ELSE 0 END
+                       AS old_total_bytes
+            FROM totals WHERE ingest_date < '2024-01-26'
         )""", then="""
         SELECT ingest_date, file_count, total_bytes, old_file_count, old_total_bytes,
                CASE WHEN old_file_count IS NULL THEN 'new' WHEN total_bytes = old_total_bytes THEN 'unchanged'
@@ -375,7 +376,7 @@ ORACLE: dict[str, str] = {
         FROM conversations"""),
     "event_threads": _threads("""
         SELECT event_id AS item_id, CASE WHEN event_id - 1 - k >= 0 THEN event_id - 1 - k END AS parent_id,
-               CASE WHEN event_id - 1 - k >= 0 THEN 'comment' WHEN k % 10 = 9 THEN 'poll' ELSE 'story' END AS item_type
+               CASE WHEN event_id - 1 - k >= 0 THEN 'comment' WHEN k > 60 THEN 'poll' ELSE 'story' END AS item_type
         FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"""),
     "stream_landed_to_silver": f"SELECT {_EVENT_ROW} FROM events",
     "stream_late_days": f"""

@@ -402,11 +402,11 @@ def _landed_days(spark, sf_dir):
 
 @query
 def changed_days(spark, sf_dir):
-    """Against a state that lacks signups, has one day more, and agrees on days divisible by three."""
+    """Against a state that knew more of the first days, less of the middle, and nothing of the last."""
     totals = _landed_days(spark, sf_dir)
-    day = F.dayofmonth(F.to_date("ingest_date"))
-    shift = F.when(day % 3 == 0, 0).when(day % 3 == 1, 5).otherwise(-5)
-    state = totals.filter(day % 7 != 0).withColumn("total_bytes", F.col("total_bytes") + shift)
+    day = F.col("ingest_date")
+    shift = F.when(day < "2024-01-06", 5).when(day >= "2024-01-16", -5).otherwise(0)
+    state = totals.filter(day < "2024-01-26").withColumn("total_bytes", F.col("total_bytes") + shift)
     return bronze.compare_days(totals, state)
 
 
@@ -465,7 +465,7 @@ def event_threads(spark, sf_dir):
     items = feed.table(spark, sf_dir, "events").select(
         F.col("event_id").alias("item_id"),
         F.when(parent >= 0, parent).alias("parent_id"),
-        F.when(parent >= 0, "comment").when(k % 10 == 9, "poll").otherwise("story").alias("item_type"),
+        F.when(parent >= 0, "comment").when(k > 60, "poll").otherwise("story").alias("item_type"),
     )
     return expand_threads(items)
 

@@ -41,7 +41,7 @@ def parsed_fields(
     """
     fields = fields or RAW_FIELDS
     names = [f"_{name}" for name, _ in fields.values()]
-    whole = F.when(F.col(line).rlike(r"\}\s*$"), F.col(line))
+    whole = F.when(F.rtrim(F.col(line), F.lit(" \t\r\n")).endswith("}"), F.col(line))
     texts = lines.select(*keep, line, F.json_tuple(whole, *fields).alias(*names))
     return texts.select(
         *[

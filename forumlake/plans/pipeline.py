@@ -89,7 +89,8 @@ def build_models(
     """Rebuild all models from parsed items; each is stored once and read back by the next.
 
     Staging is stored although it is only a view of the parsed items: five models read it, and
-    each would repeat the whole deduplication.
+    each would repeat the whole deduplication. So is the reporting view: dashboards read it
+    often, and it changes only when the models do.
     """
     spark = items.sparkSession
     for name in (staging_schema, schema):
@@ -106,8 +107,8 @@ def build_models(
     store("fct_stories", facts.fct_stories(staged), "item_key")
     store("daily_story_metrics", marts.daily_story_metrics(models["fct_stories"]))
     store("daily_active_authors", marts.daily_active_authors(models["fct_stories"]))
-    models["story_analytics"] = facts.story_analytics(models["fct_stories"], models["dim_items"], models["dim_users"])
-    models["story_analytics"].createOrReplaceTempView("story_analytics")
+    wide = facts.story_analytics(models["fct_stories"], models["dim_items"], models["dim_users"])
+    store("story_analytics", wide, "item_key")
     return models
 
 

@@ -190,7 +190,7 @@ def test_build_models(spark, silver, rows):
     models = build_models(silver, "t_silver", "t_gold", buckets=4)
     assert check_models(models).count() == 0
     assert spark.table("t_gold.daily_story_metrics").count() == 1
-    assert spark.table("story_analytics").count() == 4
+    assert spark.table("t_gold.story_analytics").count() == 4
     assert spark.table("t_gold.dim_dates").count() == 7669
     again = rows(models["fct_stories"])
     build_models(silver, "t_silver", "t_gold", buckets=4)
