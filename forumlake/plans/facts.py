@@ -29,8 +29,8 @@ def fct_stories(staged: DataFrame) -> DataFrame:
     Both dimension keys are functions of columns the story already has, and both dimensions
     are built from the same staged items, so looking them up cannot change the result. Only
     an author who bears the name of the missing-author member would make the lookup ambiguous;
-    the uniqueness check on dim_users.user_name reports that, and fct_stories_joined keeps
-    the lookup.
+    the uniqueness check on dim_users.user_name reports that, and fct_stories_joined, which
+    build_models then takes, keeps the lookup.
     """
     return _stories_with_comments(staged).select(
         F.when(F.col("item_id").isNotNull(), surrogate_key("item_id")).alias("item_key"),

@@ -6,7 +6,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from forumlake.constants import ITEMS_PER_CHUNK, ITEMS_PER_RUN
+from forumlake.constants import ITEMS_PER_CHUNK, ITEMS_PER_RUN, UNKNOWN_USER_NAME
 from forumlake.plans import dashboard, dims, facts, marts, quality, staging
 from forumlake.session import stored
 from forumlake.sources import bronze, control, silver
@@ -104,7 +104,12 @@ def build_models(
     store("dim_items", dims.dim_items(staged), "item_key")
     store("dim_users", dims.dim_users(staged), "user_key")
     store("dim_dates", dims.dim_dates(spark))
-    store("fct_stories", facts.fct_stories(staged), "item_key")
+    # Keys are computed unless an author bears the unknown author's name and only a look-up tells both.
+    if models["dim_users"].filter(F.col("user_name") == UNKNOWN_USER_NAME).count() == 1:
+        stories = facts.fct_stories(staged)
+    else:
+        stories = facts.fct_stories_joined(staged, models["dim_items"], models["dim_users"])
+    store("fct_stories", stories, "item_key")
     store("daily_story_metrics", marts.daily_story_metrics(models["fct_stories"]))
     store("daily_active_authors", marts.daily_active_authors(models["fct_stories"]))
     wide = facts.story_analytics(models["fct_stories"], models["dim_items"], models["dim_users"])

@@ -160,6 +160,11 @@ def manifest(lines: DataFrame, source: str) -> DataFrame:
     )
 
 
+def write_manifest(entries: DataFrame, path: str) -> None:
+    """Append manifest entries as JSON lines."""
+    entries.write.mode("append").json(path)
+
+
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
     """Landed files with their size and day; file contents are not read."""
     return (

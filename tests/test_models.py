@@ -101,6 +101,12 @@ def test_author_named_like_the_unknown_member(spark, staged):
     assert [r.value for r in quality.unique(users, "user_name").collect()] == [UNKNOWN_USER_NAME]
     joined = facts.fct_stories_joined(more, dims.dim_items(more), users)
     assert joined.count() == facts.fct_stories(more).count() + 2
+    # The models then keep the look-up, and the checks report it.
+    silver = more.select(*SILVER.names)
+    models = build_models(silver, "o_silver", "o_gold")
+    assert models["fct_stories"].count() == joined.count()
+    reported = {(r.model, r["column"], r.check) for r in check_models(models).collect()}
+    assert ("dim_users", "user_name", "unique") in reported and ("fct_stories", "item_key", "unique") in reported
 
 
 def test_users(spark):

@@ -66,6 +66,11 @@ def test_land_and_read_back(spark, tmp_path, rows):
     assert rows(lines, "value", "ingest_date") == sorted([(v, "2025-10-05") for v in values[:2]], key=str)
     entry = bronze.manifest(lines, "feed").agg(F.sum("item_count"), F.min("id_range.start"), F.max("id_range.end")).first()
     assert tuple(entry) == (2, 8863, 8864)
+    written = str(tmp_path / "manifest")
+    bronze.write_manifest(bronze.manifest(lines, "feed"), written)
+    known = spark.read.json(written)
+    assert rows(known, "source", "file_format") == [("feed", "NDJSON_GZ")] * known.count()
+    assert {r.path for r in known.collect()} == {r.source_file for r in lines.select("source_file").collect()}
     bronze.land_items(df.filter("value IS NULL"), root, DAY)
     assert bronze.landed_lines(spark, root).count() == 2
 
