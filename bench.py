@@ -10,9 +10,9 @@ import os
 import sys
 import time
 
-from checks.compare import database
-from checks.oracle import ORACLE
-from checks.queries import QUERIES
+from forumlake_checks.compare import database
+from forumlake_checks.oracle import ORACLE
+from forumlake_checks.queries import QUERIES
 from forumlake.session import local_session
 
 HEADLINE = [

@@ -1,4 +1,4 @@
-"""Run registered queries against their SQL: python -m checks.compare [sf_dir] [query ...]"""
+"""Run registered queries against their SQL: python -m forumlake_checks.compare [sf_dir] [query ...]"""
 
 import sys
 import time
@@ -6,8 +6,8 @@ import time
 import duckdb
 import pandas as pd
 
-from checks.oracle import ORACLE
-from checks.queries import QUERIES
+from forumlake_checks.oracle import ORACLE
+from forumlake_checks.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "

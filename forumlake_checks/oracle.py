@@ -1,6 +1,6 @@
 """The same results as plain SQL over the provided tables."""
 
-from checks.feed import EVENT_SILVER_SQL, SILVER_SQL
+from forumlake_checks.feed import EVENT_SILVER_SQL, SILVER_SQL
 
 _TIES = "created_at, item_type, author, parent_id, score, descendants, ingest_date_str, title, url, text_content"
 _STAGED = f"""

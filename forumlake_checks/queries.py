@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from checks import feed
+from forumlake_checks import feed
 from forumlake.functions import day_string
 from forumlake.operators.threads import expand_threads
 from forumlake.operators.versions import latest_version

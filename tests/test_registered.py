@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
-from checks.compare import database, differences
+from forumlake_checks.compare import database, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
