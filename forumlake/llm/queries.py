@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from forumlake.llm import simhash
+from forumlake.llm import simhash, substrings
 from forumlake.llm.docs import table
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeats(table(spark, sf_dir, "documents"), min_words=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
 
 
 QUERIES = {
+    "op6_substrings": op6_substrings,
     "op10_simhash": op10_simhash,
 }
 

@@ -125,3 +125,28 @@ def windows(words: Words, size: int) -> np.ndarray:
     n = np.maximum(words.counts - size + 1, 0)
     before = np.cumsum(n) - n
     return np.repeat(words.first[:-1] - before, n) + np.arange(n.sum())
+
+
+def gathered(batches: Iterator[pa.RecordBatch], most_bytes: int, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches of about most_bytes of text each: small ones are put together, large ones cut."""
+    waiting: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for at, end in slices(batch[text], most_bytes):
+            part = batch.slice(at, end - at)
+            n = int(text_bytes(part[text]).sum())
+            if waiting and size + n > most_bytes:
+                yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+                waiting, size = [], 0
+            waiting.append(part)
+            size += n
+    if waiting and sum(b.num_rows for b in waiting):
+        yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+
+
+def free_name(columns: list[str], wanted: str) -> str:
+    """A column name that the table does not have, in any case of its letters."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
