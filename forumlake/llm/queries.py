@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlake.llm import simhash, substrings
+from forumlake.llm import decontaminate, simhash, substrings
 from forumlake.llm.docs import table
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.repeats(table(spark, sf_dir, "documents"), min_words=13)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -19,6 +23,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_decontaminate": op4_decontaminate,
     "op6_substrings": op6_substrings,
     "op10_simhash": op10_simhash,
 }
