@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlake.llm import decontaminate, simhash, substrings
+from forumlake.llm import decontaminate, langid, simhash, substrings
 from forumlake.llm.docs import table
+from forumlake.llm.sampling import remainder
+
+
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(remainder("doc_id", 3) != 1))
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return langid.languages(docs, model).select("doc_id", held_out, "lang_pred", "score", "switches")
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +31,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_langid": op1_langid,
     "op4_decontaminate": op4_decontaminate,
     "op6_substrings": op6_substrings,
     "op10_simhash": op10_simhash,
