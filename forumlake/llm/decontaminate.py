@@ -9,6 +9,7 @@ from itertools import batched
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +31,7 @@ _SEPARATOR = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def _words(column: pa.Array) -> tuple[Words, np.ndarray]:
-    words = split_words(pa.compute.utf8_lower(column.cast(pa.large_string())), _SEPARATOR)
+    words = split_words(pc.utf8_lower(column.cast(pa.large_string())), _SEPARATOR)
     return words, word_hashes(words)
 
 

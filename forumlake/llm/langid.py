@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from forumlake.llm.sampling import per_label
@@ -47,7 +48,7 @@ def _bucket(parts: list[np.ndarray], kind: int) -> np.ndarray:
 
 def features(column: pa.Array) -> Features:
     """Letter trigrams with word borders, first and last two and three bytes, and the whole word, in lower case."""
-    spaced = pa.compute.binary_join_element_wise(pa.compute.utf8_lower(column.fill_null("")), "", " ")
+    spaced = pc.binary_join_element_wise(pc.utf8_lower(column.fill_null("")), "", " ")
     words = split_words(spaced, _SEPARATOR)
     data = np.where(_SEPARATOR[words.data], np.uint8(32), words.data).astype(np.uint32)
     data = np.concatenate([[32, 32], data, [32, 32, 32]]).astype(np.uint32)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlake.llm import decontaminate, langid, simhash, substrings
+from forumlake.llm import decontaminate, langid, packing, simhash, substrings, token_files
 from forumlake.llm.docs import table
 from forumlake.llm.sampling import remainder
+from forumlake.session import new_dir
 
 
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +19,12 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(docs, model).select("doc_id", held_out, "lang_pred", "score", "switches")
 
 
+def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), new_dir(spark, "tokens")
+    token_files.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"), keeps_space=True, end_id=0)
+    return token_files.checksums(token_files.read_tokens(spark, path))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -26,14 +34,21 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), path, keeps_space=False, end_id=1, window=2048)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
 
 
 QUERIES = {
     "op1_langid": op1_langid,
+    "op3_tokens": op3_tokens,
     "op4_decontaminate": op4_decontaminate,
     "op6_substrings": op6_substrings,
+    "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # The bytes between words: space, and tab to carriage return.
 SPACE = np.zeros(256, dtype=bool)
@@ -48,7 +49,7 @@ def slices(column: pa.Array, most_bytes: int = SLICE_BYTES) -> Iterator[tuple[in
 
 def text_bytes(column: pa.Array) -> np.ndarray:
     """Bytes of each text, 0 for null."""
-    lengths = pa.compute.binary_length(column.cast(pa.large_binary()))
+    lengths = pc.binary_length(column.cast(pa.large_binary()))
     return np.asarray(lengths.fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
 
 
