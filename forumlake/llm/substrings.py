@@ -2,8 +2,9 @@
 
 A suffix starts at every word that has min_words - 1 words after it in its document, and is cut after min_words
 words, so a tree's nodes at that depth are the deep ones and the further extent of a repeat is a run of neighbouring
-suffixes. A suffix travels as a key that sorts like the tree: a few hash bits of each word in order, then
-check bits of the whole. Suffixes with equal keys and check bits (28 bits beyond the codes of the words) are one node.
+suffixes. A suffix travels as a 64-bit key that sorts like the tree: three hash bits of each of 13 words in order,
+then 25 check bits of the whole. Equal keys are one node. Two suffixes that differ in one word have equal keys with
+probability 2^-28, unrelated ones with 2^-64.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,13 +23,13 @@ from forumlake.llm.words import free_name, gathered, mixed, split_words, windows
 
 MIN_WORDS = 13
 #: Suffixes of a group, unless that makes more than MOST_GROUPS groups.
-GROUP_SUFFIXES = 1 << 18
+GROUP_SUFFIXES = 3 << 20
 MOST_GROUPS = 1 << 20
 #: Documents that are put together again in one step.
 GROUP_DOCUMENTS = 1000
 SLICE_BYTES = 8 << 20
-_CODE_BITS = 52
-_FIRST_BITS = 16
+_CODE_BITS = 39
+_FIRST_BITS = 15
 _MORE_BITS = 8
 
 
@@ -49,30 +51,27 @@ def _suffixes(batch: pa.RecordBatch, min_words: int) -> dict[str, np.ndarray]:
         if k < coded:
             key |= (word >> np.uint64(64 - bits)) << np.uint64(64 - bits * (k + 1))
         whole = whole * np.uint64(0x5851F42D4C957F2D) + word
-    whole = mixed(whole)
-    key |= whole >> np.uint64(_CODE_BITS)
-    check = (whole & np.uint64(0xFFFF)).astype(np.uint16)
+    key |= mixed(whole) >> np.uint64(_CODE_BITS)
     ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-    order = np.lexsort((ids[doc], check, key))
-    key, check, doc = key[order], check[order], doc[order]
-    start = (at - words.first[:-1][np.searchsorted(words.first, at, "right") - 1])[order]
-    node = _nodes(key, check)
-    lead = ids[doc] == ids[doc][np.flatnonzero(np.diff(node, prepend=-1))][node] if len(node) else np.zeros(0, bool)
-    return {"key": key, "check": check, "doc": doc, "start": start.astype(np.int32), "lead": lead, "ids": ids}
+    order = np.argsort(key, kind="stable")  # documents stand in order of doc_id
+    key, doc = key[order], doc[order]
+    start = at[order] - words.first[doc]
+    node, first = _nodes(key)
+    return {"key": key, "doc": doc, "start": start, "lead": ids[doc] == ids[doc[first]][node], "ids": ids}
 
 
-def _nodes(key: np.ndarray, check: np.ndarray) -> np.ndarray:
-    """Number of the node at full depth each suffix of a sorted subtree belongs to."""
+def _nodes(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the node at full depth of each suffix of a sorted subtree, and the first suffix of each node."""
     new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
-    return np.cumsum(new) - 1
+    new[1:] = key[1:] != key[:-1]
+    return np.cumsum(new) - 1, np.flatnonzero(new)
 
 
 def _with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in gathered(batches, SLICE_BYTES):
-        batch = batch.filter(pa.compute.is_valid(batch["doc_id"]))
+        batch = batch.filter(pc.is_valid(batch["doc_id"]))
         if batch.num_rows:
-            yield batch
+            yield batch.take(pc.sort_indices(batch["doc_id"]))
 
 
 def _prefix_counts(docs: DataFrame, min_words: int, bits: int, parents: np.ndarray) -> pd.DataFrame:
@@ -99,9 +98,9 @@ def _prefix_counts(docs: DataFrame, min_words: int, bits: int, parents: np.ndarr
 def group_starts(docs: DataFrame, min_words: int = MIN_WORDS) -> np.ndarray:
     """The first key of each group of suffixes.
 
-    Prefixes of 16 bits (four words) are counted over all documents. A prefix with more suffixes than a group may
-    hold is made longer by eight bits (two words) at a time; neighbouring short ones share a group. So the driver sees
-    at most 65,536 counts, and 256 for each prefix that is too large, of which there are at most MOST_GROUPS.
+    Prefixes of 15 bits (five words) are counted over all documents. A prefix with more suffixes than a group may
+    hold is made longer by eight bits at a time; neighbouring short ones share a group. So the driver sees
+    at most 32,768 counts, and 256 for each prefix that is too large, of which there are at most MOST_GROUPS.
     """
     counts = _prefix_counts(docs, min_words, _FIRST_BITS, np.zeros(0, np.uint64))
     most = max(GROUP_SUFFIXES, int(counts["n"].sum()) // MOST_GROUPS)
@@ -147,9 +146,9 @@ def repeat_starts(docs: DataFrame, homes: int, min_words: int = MIN_WORDS) -> Da
     sent on, so a passage that a third of all documents share sends one row for each slice to its group.
     """
     bounds = group_starts(docs, min_words)
-    kinds = (("key", np.uint64), ("check", np.uint16), ("ids", np.int64), ("rows", np.int64), ("starts", np.int32))
-
-    names = "key", "check", "ids", "rows", "starts", "counts"
+    per_run = {"ids": np.int64, "rows": np.int64, "counts": np.int32, "base": np.int32}
+    per_suffix = {"key": np.uint64, "low": np.uint8, "high": np.uint8}
+    names = [*per_run, *per_suffix, "starts"]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _with_ids(batches):
@@ -159,33 +158,42 @@ def repeat_starts(docs: DataFrame, homes: int, min_words: int = MIN_WORDS) -> Da
             # What is a repeat within the slice is known here; it takes part under a negative number.
             own = _marks(row[doc[~lead]], found["start"][~lead], homes)
             columns = {n: own[n] if n in ("rows", "starts") else pa.nulls(own.num_rows, pa.binary()) for n in names}
-            yield pa.record_batch({"grp": pa.compute.subtract(-1, own["home"])} | columns)
-            # Within a group by document and position, so a document's number is sent once for all its suffixes.
-            key, check, start, doc = found["key"][lead], found["check"][lead], found["start"][lead], doc[lead]
+            yield pa.record_batch({"grp": pc.subtract(-1, own["home"])} | columns)
+            # Within a group by document and position. A run of one document's suffixes has its number and first
+            # position once, and each suffix the step from the one before, in two planes of bytes that compress well.
+            key, start, doc = found["key"][lead], found["start"][lead], doc[lead]
             group = np.searchsorted(bounds, key, "right") - 1
             order = np.lexsort((start, doc, group))
-            group, doc = group[order], doc[order]
-            first = np.flatnonzero((np.diff(group, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
+            key, start, doc, group = key[order], start[order], doc[order], group[order]
+            step = np.diff(start, prepend=0)
+            new = (np.diff(group, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0) | (step > 0xFFFF)
+            first = np.flatnonzero(new)
+            step[first] = 0
             counts = np.diff(np.append(first, len(doc))).astype(np.int32)
             head = {"ids": found["ids"][doc[first]], "rows": row[doc[first]], "counts": counts}
-            head = _pack(group[first], head, "grp")
-            each = _pack(group, {"key": key[order], "check": check[order], "starts": start[order]}, "grp")
-            columns = {n: (head if n in head.schema.names else each)[n] for n in names}
+            head = _pack(group[first], head | {"base": start[first].astype(np.int32)}, "grp")
+            each = {"key": key, "low": (step & 0xFF).astype(np.uint8), "high": (step >> 8).astype(np.uint8)}
+            each = _pack(group, each, "grp")
+            columns = {n: head[n] for n in per_run} | {n: each[n] for n in per_suffix}
+            columns["starts"] = pa.nulls(each.num_rows, pa.binary())
             yield pa.record_batch({"grp": each["grp"]} | columns)
 
-    def subtree(key, rows):
-        if key[0].as_py() < 0:
-            home = pa.array(np.full(rows.num_rows, -1 - key[0].as_py()))
-            return pa.table({"home": home, "rows": rows["rows"], "starts": rows["starts"]})
-        parts = {name: np.frombuffer(b"".join(rows[name].to_pylist()), kind) for name, kind in kinds}
-        counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), np.int32)
-        ids, row = np.repeat(parts["ids"], counts), np.repeat(parts["rows"], counts)
-        order = np.lexsort((ids, parts["check"], parts["key"]))
-        ids = ids[order]
-        node = _nodes(parts["key"][order], parts["check"][order])
-        least = ids[np.flatnonzero(np.diff(node, prepend=-1))][node]
-        later = ids > least
-        return pa.Table.from_batches([_marks(row[order][later], parts["starts"][order][later], homes)])
+    def subtree(group, table):
+        if group[0].as_py() < 0:
+            home = pa.array(np.full(table.num_rows, -1 - group[0].as_py()))
+            return pa.table({"home": home, "rows": table["rows"], "starts": table["starts"]})
+        columns = per_run | per_suffix
+        part = {n: np.frombuffer(b"".join(table[n].to_pylist()), kind) for n, kind in columns.items()}
+        step = part["low"].astype(np.int32) | part["high"].astype(np.int32) << 8
+        order = np.argsort(part["key"])
+        run = np.repeat(np.arange(len(part["counts"]), dtype=np.int32), part["counts"])
+        ids = part["ids"][run[order]]
+        node, first = _nodes(part["key"][order])
+        least = np.minimum.reduceat(ids, first) if len(first) else ids
+        later = order[ids > least[node]]
+        moved = np.cumsum(step, dtype=np.int64)
+        start = part["base"][run] + moved - moved[np.cumsum(part["counts"]) - part["counts"]][run]
+        return pa.Table.from_batches([_marks(part["rows"][run[later]], start[later], homes)])
 
     dealt = docs.mapInArrow(deal, "grp long, " + ", ".join(f"{n} binary" for n in names))
     return dealt.groupBy("grp").applyInArrow(subtree, "home long, rows binary, starts binary")
