@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from forumlake.llm.sampling import per_label
 from forumlake.llm.words import Words, gathered, split_words, word_hashes
@@ -198,8 +199,8 @@ def train(texts: list[str], langs: list[str]) -> Model:
 
 def learn(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Model:
     """A model of the languages in docs (doc_id, text, lang), from at most so many documents of each language."""
-    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-    sample = per_label(rows, "lang", sample_documents)
+    labels = docs.where("lang IS NOT NULL").groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    sample, _ = per_label(docs, labels, "lang", sample_documents)
     return train(sample["text"].tolist(), sample["lang"].tolist())
 
 

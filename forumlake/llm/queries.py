@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlake.llm import decontaminate, langid, packing, simhash, substrings, token_files
+from forumlake.llm import decontaminate, langid, licenses, packing, quality, simhash, substrings, token_files, toxicity
 from forumlake.llm.docs import table
 from forumlake.llm.sampling import remainder
 from forumlake.session import new_dir
 
 
+def _held_out(divisor: int, remains: int) -> Column:
+    return F.coalesce(remainder("doc_id", divisor) == remains, F.lit(False)).alias("held_out")
+
+
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.learn(docs.where(remainder("doc_id", 3) != 1))
-    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out")
-    return langid.languages(docs, model).select("doc_id", held_out, "lang_pred", "score", "switches")
+    return langid.languages(docs, model).select("doc_id", _held_out(3, 1), "lang_pred", "score", "switches")
 
 
 def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,11 +32,27 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs.where(remainder("doc_id", 5) != 0), table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(docs, model).select("doc_id", _held_out(5, 0), "score", "predicted")
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.repeats(table(spark, sf_dir, "documents"), min_words=13)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.learn(docs.where(remainder("doc_id", 5) != 0), table(spark, sf_dir, "labels"))
+    return quality.quality(docs, model).select("doc_id", _held_out(5, 0), "score", "predicted")
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path, keeps_space=False, end_id=1, window=2048)
@@ -47,10 +66,13 @@ QUERIES = {
     "op1_langid": op1_langid,
     "op3_tokens": op3_tokens,
     "op4_decontaminate": op4_decontaminate,
+    "op5_toxicity": op5_toxicity,
     "op6_substrings": op6_substrings,
+    "op7_quality": op7_quality,
+    "op8_licenses": op8_licenses,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
 
 #: SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_licenses": licenses.oracle()}
