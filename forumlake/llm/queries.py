@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlake.llm import decontaminate, langid, licenses, packing, quality, simhash, substrings, token_files, toxicity
+from forumlake.llm import ann, decontaminate, langid, licenses, packing, quality, simhash, substrings, token_files, toxicity
 from forumlake.llm.docs import table
 from forumlake.llm.sampling import remainder
 from forumlake.session import new_dir
@@ -22,6 +22,11 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(docs, model).select("doc_id", _held_out(3, 1), "lang_pred", "score", "switches")
 
 
+def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors.where("vec_id % 100 = 0"), vectors, k=10)
+
+
 def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents"), new_dir(spark, "tokens")
     token_files.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"), keeps_space=True, end_id=0)
@@ -64,6 +69,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_langid": op1_langid,
+    "op2_vectors": op2_vectors,
     "op3_tokens": op3_tokens,
     "op4_decontaminate": op4_decontaminate,
     "op5_toxicity": op5_toxicity,
