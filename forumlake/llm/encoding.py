@@ -1,27 +1,74 @@
-"""Token ids of whole texts by the tokenizers library, with each distinct stretch of text encoded once per worker."""
+"""Token ids of whole texts by the tokenizers library, with each distinct stretch of text encoded once per worker.
+
+Texts are cut where the tokenizer starts a new piece in any case, so stretches can be encoded on their own.
+"""
 
 from __future__ import annotations
 
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+
+from forumlake.llm.words import Words, lowered, raw, word_hashes
 
-#: Stretches a worker remembers before it starts anew.
-MOST_KNOWN = 400_000
+#: Stretches a worker remembers. When there are more, those it has met once only are forgotten, if need be all.
+MOST_KNOWN = 1_000_000
 _AT_ONCE = 20_000
-_INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 32]
+# Kinds of bytes. No cut is made beside one whose kind is open: it may be a part of any character, or of white space.
+_OPEN, _SPACE, _BREAK, _LETTER, _DIGIT, _SIGN, _BEYOND = range(7)
+_KIND = np.full(256, _SIGN, np.uint8)
+_KIND[[ord("'"), *range(0x1C, 0x20)]] = _OPEN
+_KIND[0x20] = _SPACE
+_KIND[0x09:0x0E] = _BREAK
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KIND[0x80:] = _BEYOND
+# White space beyond ASCII in UTF-8.
+_WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+
+
+def stretches(column: pa.Array, keeps_space: bool) -> Words:
+    """Stretches of texts that are encoded alike wherever they stand.
+
+    A cut is made between ASCII letters, digits and signs (apostrophes aside). keeps_space: white space begins a
+    stretch together with what follows, and a single line break or tab stands alone (byte-level pieces with a space
+    before a word). Otherwise ASCII white space is left out and A-Z are put in lower case (lower-case word pieces).
+    """
+    data, offsets = raw(column)
+    if not keeps_space:
+        data = lowered(data)
+    n = len(data)
+    kind = _KIND[data]
+    for match in _WIDE_SPACE.finditer(data):
+        kind[match.start() : match.end()] = _OPEN
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    before = np.concatenate([[_OPEN], kind[:-1]]) if n else kind
+    plain = (kind >= _LETTER) & (kind <= _SIGN)
+    cut = plain & (before >= _LETTER) & (before <= _SIGN) & (kind != before)
+    blank = (kind == _SPACE) | (kind == _BREAK)
+    if keeps_space:
+        cut |= blank & (before >= _LETTER)
+        alone = np.zeros(n, bool)  # after a line break that has no white space on either side
+        if n > 2:
+            alone[2:] = (before[2:] == _BREAK) & (before[1:-1] >= _LETTER) & (kind[2:] >= _LETTER)
+            alone[2:] &= ~edge[1 : n - 1]
+        start = np.flatnonzero(cut | alone | edge[:n])
+        end = np.append(start[1:], n) if n else start
+    else:
+        gap = np.concatenate([[True], blank[:-1]]) if n else blank
+        start = np.flatnonzero(~blank & (cut | gap | edge[:n]))
+        stop = np.concatenate([cut[1:] | blank[1:], [True]]) | edge[1:] if n else blank
+        end = np.flatnonzero(~blank & stop) + 1
+    return Words(data, offsets, start, end, np.searchsorted(start, offsets))
 
 
 class Encoder:
-    """Encodes texts in stretches that the tokenizer would never join.
-
-    keeps_space: the tokenizer puts a single space between two characters that are no white space at the start of
-    the token after it (byte-level pieces), so a text is cut before each of those. Otherwise it drops white
-    space (lower-case word pieces), so a text is cut at every space.
-    """
+    """A tokenizer and the ids of the stretches it has met, by their 64-bit hash."""
 
     def __init__(self, path: str, keeps_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -30,59 +77,57 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.keeps_space = keeps_space
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.first = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def stretches(self, text: str) -> list[str]:
-        if not self.keeps_space:
-            return text.split(" ")
-        near = ("  " in text or text[:1] == " " or text[-1:] == " ") or any(
-            c in text and (f" {c}" in text or f"{c} " in text) for c in _OTHER_SPACE
-        )
-        found = _INNER_SPACE.split(text) if near else text.split(" ")
-        found[0] = " " + found[0]  # marks a stretch without a space before it; no other begins with one
-        return found
-
-    def _spelled(self, stretch: str) -> str:
-        if not self.keeps_space:
-            return stretch
-        return stretch[1:] if stretch[:1] == " " else " " + stretch
-
-    def _learn(self, stretches: list[str]) -> None:
-        if len(self.known) + len(stretches) > MOST_KNOWN:
-            self.clear()
+        self._set(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32))
+
+    def _set(self, hashes: np.ndarray, first: np.ndarray, ids: np.ndarray) -> None:
+        self.hashes, self.first, self.ids = hashes, first, ids
+        self.met = np.ones(len(hashes), np.int32)
+        self.known = dict(zip(hashes.tolist(), range(len(hashes)), strict=True))
+
+    def forget(self) -> None:
+        kept = np.flatnonzero(self.met > 1)
+        kept = kept if len(kept) <= MOST_KNOWN // 2 else kept[:0]
+        size = np.diff(self.first)[kept]
+        begin = np.cumsum(size) - size
+        ids = self.ids[np.repeat(self.first[kept] - begin, size) + np.arange(size.sum())]
+        self._set(self.hashes[kept], np.concatenate([[0], np.cumsum(size)]), ids)
+
+    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
         sizes, ids = [], [self.ids]
-        for at in range(0, len(stretches), _AT_ONCE):
-            texts = [self._spelled(s) for s in stretches[at : at + _AT_ONCE]]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        for at in range(0, len(texts), _AT_ONCE):
+            encoded = self.tokenizer.encode_batch_fast(texts[at : at + _AT_ONCE], add_special_tokens=False)
+            found = [e.ids for e in encoded]
             sizes += map(len, found)
-            ids.append(np.fromiter((i for f in found for i in f), np.uint32))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
         before = len(self.known)
-        self.known.update(zip(stretches, range(before, before + len(stretches)), strict=True))
+        self.known.update(zip(hashes.tolist(), range(before, before + len(texts)), strict=True))
+        self.hashes = np.concatenate([self.hashes, hashes])
+        self.met = np.concatenate([self.met, np.zeros(len(texts), np.int32)])
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes, dtype=np.int64)])
         self.ids = np.concatenate(ids)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and the number of ids of each text."""
-        parts = [self.stretches(t) for t in texts]
-        flat = [p for part in parts for p in part]
-        wanted = set(flat)
-        missing = wanted - self.known.keys()
-        if missing and len(self.known) + len(missing) > MOST_KNOWN:
-            missing = wanted
-            self.clear()
-        if missing:
-            self._learn(sorted(missing))
-        row = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after the other, and the number of ids of each text; null is an empty text."""
+        parts = stretches(column, self.keeps_space)
+        found, at, which = np.unique(word_hashes(parts), return_index=True, return_inverse=True)
+        place = list(map(self.known.get, found.tolist()))
+        new = [k for k, p in enumerate(place) if p is None]
+        if len(self.known) + len(new) > MOST_KNOWN:
+            self.forget()
+            place = list(map(self.known.get, found.tolist()))
+            new = [k for k, p in enumerate(place) if p is None]
+        if new:
+            body = parts.data.tobytes()
+            begin, end = parts.start[at[new]].tolist(), parts.end[at[new]].tolist()
+            self._learn(found[new], [body[a:b].decode() for a, b in zip(begin, end, strict=True)])
+            place = list(map(self.known.__getitem__, found.tolist()))
+        place = np.array(place, np.int64)
+        self.met[place] += np.minimum(np.bincount(which, minlength=len(place)), 2).astype(np.int32)
+        row = place[which]
         size = self.first[row + 1] - self.first[row]
         ends = np.cumsum(size)
         ids = self.ids[np.repeat(self.first[row] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, parts)])]
-        return ids, np.diff(bounds)
+        return ids, np.diff(np.concatenate([[0], ends])[parts.first])
 
 
 @lru_cache(maxsize=4)

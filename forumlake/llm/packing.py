@@ -36,14 +36,15 @@ def shards(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int) -> D
             ids = np.array([d or 0 for d, _ in held], np.int64)
             null = np.array([d is None for d, _ in held], bool)
             sizes = np.array([len(t) for _, t in held], np.int64)
-            text = np.concatenate([t for _, t in held]).astype("<u4")
-            values = [ids.tobytes(), null.tobytes(), sizes.tobytes(), zlib.compress(text.tobytes(), 1)]
+            text = np.concatenate([t for _, t in held])
+            text = text.astype("<u4" if text.max() > 0xFFFF else "<u2")
+            values = [ids.tobytes(), null.tobytes(), sizes.tobytes(), text.tobytes()]
             names = ("doc_ids", "nulls", "sizes", "ids")
             arrays = {n: pa.array([v], pa.binary()) for n, v in zip(names, values, strict=True)}
             return pa.record_batch({"shard": pa.array([number], pa.int64())} | arrays)
 
         for batch in gathered(batches, SLICE_BYTES):
-            ids, sizes = known.encode(batch["text"].fill_null("").to_pylist())
+            ids, sizes = known.encode(batch["text"])
             ends = np.cumsum(sizes)
             for doc, a, b in zip(batch["doc_id"].to_pylist(), ends - sizes, ends, strict=True):
                 n = int(b - a) + 1
@@ -62,7 +63,9 @@ def _unpacked(row: dict) -> tuple[list, np.ndarray, np.ndarray]:
     ids = np.frombuffer(row["doc_ids"], np.int64).tolist()
     null = np.frombuffer(row["nulls"], bool).tolist()
     sizes = np.frombuffer(row["sizes"], np.int64)
-    return [None if n else d for d, n in zip(ids, null, strict=True)], sizes, np.frombuffer(zlib.decompress(row["ids"]), "<u4")
+    kind = "<u4" if len(row["ids"]) == 4 * sizes.sum() else "<u2"
+    tokens = np.frombuffer(row["ids"], kind).astype("<u4")
+    return [None if n else d for d, n in zip(ids, null, strict=True)], sizes, tokens
 
 
 def _postings(sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -33,7 +33,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, keeps_space: bool,
         shard = TaskContext.get().partitionId()
         known, before = encoder(tokenizer, keeps_space), 0
         for batch in gathered(batches, SLICE_BYTES):
-            ids, sizes = known.encode(batch["text"].fill_null("").to_pylist())
+            ids, sizes = known.encode(batch["text"])
             ends = np.cumsum(sizes)
             ids = np.insert(ids, ends, end_id).astype(np.int32)
             offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
