@@ -18,6 +18,8 @@ def _arguments() -> argparse.Namespace:
     land.add_argument("--bronze", required=True)
     land.add_argument("--mark", required=True, help="folder of the high-water mark")
     land.add_argument("--newest-id", type=int, required=True)
+    land.add_argument("--items-per-run", type=int, help="take at most so many ids, oldest first; all by default")
+    land.add_argument("--manifest", help="folder of the manifest of landed files")
     land.add_argument("--lookup", required=True, help="module:function from an id to an item")
     parse = runs.add_parser("parse", help="parse new and changed days")
     parse.add_argument("--bronze", required=True)
@@ -41,12 +43,22 @@ def main() -> None:
     if args.run == "land":
         module, function = args.lookup.split(":")
         lookup = getattr(importlib.import_module(module), function)
-        landed, failed = pipeline.land_new_items(spark, args.bronze, args.mark, args.newest_id, lookup, now.date())
-        print(f"{landed} items landed, {failed.count()} look-ups failed")
+        landed, failed = pipeline.land_new_items(
+            spark,
+            args.bronze,
+            args.mark,
+            args.newest_id,
+            lookup,
+            now.date(),
+            items_per_run=args.items_per_run,
+            manifest_path=args.manifest,
+        )
+        print(f"{landed} items landed, {failed.count()} look-ups failed and are kept for the next run")
     elif args.run == "parse":
         run_id = int(now.timestamp())
-        days = pipeline.parse_changed_days(spark, args.bronze, args.silver, args.state, run_id, args.reload_shrunk)
-        print(f"{len(days)} days parsed", *days)
+        run = pipeline.parse_changed_days(spark, args.bronze, args.silver, args.state, run_id, args.reload_shrunk)
+        print(f"{len(run.parsed)} days parsed", *run.parsed)
+        print(f"{len(run.shrunk)} days lost files and were left alone", *run.shrunk)
     elif args.run == "build":
         models = pipeline.build_models(silver.read_items(spark, args.silver), buckets=args.buckets)
         pipeline.check_models(models).show(truncate=False)

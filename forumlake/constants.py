@@ -20,8 +20,7 @@ NO_DOMAIN = "N/A"
 CALENDAR_START = "2006-01-01"
 CALENDAR_END = "2026-12-31"
 
-# Id ranges taken per run and per landed file.
-ITEMS_PER_RUN = 100_000
+# Ids looked up by one task and landed in one file.
 ITEMS_PER_CHUNK = 10_000
 
 # Raw JSON field -> (silver column, type).

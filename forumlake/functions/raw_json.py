@@ -4,8 +4,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from forumlake.constants import RAW_FIELDS
 
-# Last second of the year 9999; later epoch values are no timestamps.
-_MAX_EPOCH_SECOND = 253402300799
+# First second of year 1 and last of 9999; other epoch values are no timestamps.
+_EPOCH_SECONDS = (-62135596800, 253402300799)
 
 
 def _scalar_or_null(text: Column, line: Column, field: str) -> Column:
@@ -27,22 +27,35 @@ def _typed(text: Column, line: Column, field: str, kind: str) -> Column:
     number = text.try_cast("bigint")
     if kind == "bigint":
         return number
-    in_range = number.between(-_MAX_EPOCH_SECOND, _MAX_EPOCH_SECOND)
+    in_range = number.between(*_EPOCH_SECONDS)
     return F.when(in_range, F.timestamp_seconds(F.when(in_range, number)))
 
 
+def whole_object(line: Column) -> Column:
+    """The line if it is exactly one JSON object, else NULL.
+
+    As an array of one, the line must be one element, and as the value of a field it must be complete: so text
+    or another object after it, single quotes and unbalanced braces are all refused.
+    """
+    strict = {"allowSingleQuotes": "false"}
+    one = F.size(F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>", strict)) == 1
+    complete = F.from_json(F.concat(F.lit('{"v":'), line, F.lit("}")), "v string", strict)["v"].isNotNull()
+    # White space as JSON has it.
+    begins = F.ltrim(line, F.lit(" \t\r\n")).startswith("{")
+    return F.when(begins & F.coalesce(one & complete, F.lit(False)), line)
+
+
 def parsed_fields(
     lines: DataFrame, keep: list[str], line: str = "value", fields: dict[str, tuple[str, str]] | None = None
 ) -> DataFrame:
     """The `keep` columns and one typed column per JSON field; one output row per line.
 
-    json_tuple reads all fields in one pass over the line. A line that is no JSON
-    object, or is followed by other text, gives a row of NULLs instead of being lost.
+    json_tuple reads all fields in one pass over the line. A line that is not exactly one JSON object gives a row
+    of NULLs instead of being lost. Of a repeated key the last value counts.
     """
     fields = fields or RAW_FIELDS
     names = [f"_{name}" for name, _ in fields.values()]
-    whole = F.when(F.rtrim(F.col(line), F.lit(" \t\r\n")).endswith("}"), F.col(line))
-    texts = lines.select(*keep, line, F.json_tuple(whole, *fields).alias(*names))
+    texts = lines.select(*keep, line, F.json_tuple(whole_object(F.col(line)), *fields).alias(*names))
     return texts.select(
         *[
             _typed(F.col(f"_{name}"), F.col(line), field, kind).alias(name)

@@ -62,6 +62,8 @@ def dim_dates(
 
 
 def observed_dates(items: DataFrame, ts: str = "created_at") -> DataFrame:
-    """Calendar from the first to the last day that occurs in the items."""
+    """Calendar from the first to the last day that occurs in the items; no day if none has a time."""
     first, last = items.agg(F.to_date(F.min(ts)), F.to_date(F.max(ts))).first()
+    if first is None:
+        return dim_dates(items.sparkSession).limit(0)
     return dim_dates(items.sparkSession, first, last + dt.timedelta(days=1))

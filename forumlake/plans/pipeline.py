@@ -3,10 +3,12 @@
 import datetime as dt
 from collections.abc import Callable
 from contextlib import contextmanager
+from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from forumlake.constants import ITEMS_PER_CHUNK, ITEMS_PER_RUN, UNKNOWN_USER_NAME
+from forumlake.constants import CALENDAR_END, ITEMS_PER_CHUNK, UNKNOWN_USER_NAME
 from forumlake.plans import dashboard, dims, facts, marts, quality, staging
 from forumlake.session import stored
 from forumlake.sources import bronze, control, silver
@@ -20,24 +22,49 @@ def land_new_items(
     lookup: Callable[[int], dict | None],
     day: dt.date,
     chunk_size: int = ITEMS_PER_CHUNK,
-    items_per_run: int | None = ITEMS_PER_RUN,
+    items_per_run: int | None = None,
+    manifest_path: str | None = None,
+    source: str = "feed",
 ) -> tuple[int, DataFrame]:
-    """Look up the ids after the high-water mark, land them, then move the mark.
+    """Look up the ids after the high-water mark and those that failed before, land them, then move the mark.
 
-    Returns the number of landed items and the ids whose look-up failed. Items are looked
-    up once: the result is stored before it is landed. A run that dies before the mark
-    moved lands the same ids again; staging keeps one version.
+    Returns the number of landed items and the ids whose look-up failed in this run. Failed ids are kept beside the mark
+    and taken up again by the next run, so the mark never passes an id for good. With `items_per_run` the oldest ids of
+    a backlog are taken and the mark moves to the last of them. Items are looked up once: the result is stored before
+    it is landed. A run that dies before the mark moved lands the same ids again; staging keeps one version.
+    With `manifest_path` the files landed in this run are added to the manifest.
     """
-    last_id = control.read_mark(spark, mark_path)
+    last_id, lookups = control.read_mark(spark, mark_path), f"{mark_path.rstrip('/')}-lookups"
+    bounds = bronze.run_bounds(last_id, max_id, items_per_run)
+    before = stored(control.failed_lookups(spark, lookups))
     ids = bronze.run_ids(spark, last_id, max_id, chunk_size, items_per_run)
-    fetched = stored(bronze.fetch_items(ids, lookup))
+    again = before.select("item_id").repartition(max(1, -(-before.count() // chunk_size)))
+    fetched = stored(bronze.fetch_items(ids.unionByName(again), lookup))
     found = bronze.landable(fetched.filter("status = 'ok'"))
-    if bronze.run_bounds(last_id, max_id, items_per_run):
-        bronze.land_items(found, root, day, chunk_size)
-        control.write_mark(spark, mark_path, max_id)
+    known_files = _day_files(spark, root, day)
+    bronze.land_items(found, root, day, chunk_size)
+    tried = fetched.join(before.select("item_id", "attempt"), "item_id", "left")
+    tried = tried.filter("status = 'failed' OR attempt IS NOT NULL")
+    control.write_lookups(tried.withColumn("attempt", F.coalesce("attempt", F.lit(0)) + 1), lookups)
+    if manifest_path:
+        lines = bronze.landed_lines(spark, root, [f"{day:%Y-%m-%d}"])
+        added = lines.join(known_files.select(F.col("path").alias("source_file")), "source_file", "left_anti")
+        bronze.write_manifest(bronze.manifest(added, source), manifest_path)
+    if bounds:
+        control.write_mark(spark, mark_path, bounds[1])
     return found.count(), fetched.filter("status = 'failed'").select("item_id", "error")
 
 
+def _day_files(spark: SparkSession, root: str, day: dt.date) -> DataFrame:
+    """Files already landed for a day; none if nothing has been landed yet."""
+    try:
+        return stored(bronze.landed_files(spark, f"{root}/{day:%Y/%m/%d}"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string")
+
+
 @contextmanager
 def _setting(spark: SparkSession, key: str, value: str):
     before = spark.conf.get(key, None)
@@ -48,25 +75,40 @@ def _setting(spark: SparkSession, key: str, value: str):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+class DayRun(NamedTuple):
+    """Days a run has parsed, and days that lost files and were left alone."""
+
+    parsed: list[str]
+    shrunk: list[str]
+
+
 def parse_changed_days(
     spark: SparkSession, root: str, silver_path: str, state_path: str, run_id: int, reload_shrunk: bool = False
-) -> list[str]:
-    """Parse every new or changed day in one job, replace it in silver, then record its state.
+) -> DayRun:
+    """Parse every day with a new or changed file in one job, replace it in silver, then record its files.
 
-    Only day names come to the driver. Listing reads no contents, but Spark would plan one
-    task per 128 MB of listed files, so their number is limited for that job.
+    A day that only lost files is left alone and reported, unless asked for: reloading it would lose items. Only day
+    names come to the driver. Listing reads no contents, but Spark would plan one task per 128 MB of listed files, so
+    their number is limited for that job.
     """
+    state, files_state = state_path.rstrip("/"), f"{state_path.rstrip('/')}-files"
     with _setting(spark, "spark.sql.files.maxPartitionNum", "512"):
-        totals = stored(bronze.day_totals(bronze.landed_files(spark, root)))
-    compared = bronze.compare_days(totals, control.read_day_state(spark, state_path))
-    days = [row.ingest_date for row in bronze.days_to_process(compared, reload_shrunk).collect()]
+        files = stored(bronze.landed_files(spark, root))
+    compared = bronze.compare_files(files, control.read_file_state(spark, files_state))
+    status = {r.ingest_date: r.status for r in compared.filter("status <> 'unchanged'").collect()}
+    shrunk = sorted(d for d, s in status.items() if s == "shrunk")
+    days = sorted(d for d, s in status.items() if s != "shrunk" or reload_shrunk)
+    landed = {r.ingest_date for r in files.select("ingest_date").distinct().collect()}
+    days = [d for d in days if d in landed]  # a day without any file left has nothing to read
     if days:
         # The first run takes every day: then the whole folder is listed instead of each day.
-        everything = len(days) == totals.count()
+        everything = len(days) == len(landed)
         lines = bronze.landed_lines(spark, root, None if everything else days).filter("ingest_date IS NOT NULL")
         silver.write_items(silver.parse_items(lines), silver_path)
-        control.write_day_state(totals.filter(F.col("ingest_date").isin(days)), state_path, run_id)
-    return days
+        parsed = files.filter(F.col("ingest_date").isin(days))
+        control.write_file_state(parsed, files_state, run_id)
+        control.write_day_state(bronze.day_totals(parsed), state, run_id)
+    return DayRun(days, [d for d in shrunk if d not in days])
 
 
 def save_table(df: DataFrame, name: str, key: str | None = None, buckets: int | None = None) -> DataFrame:
@@ -103,7 +145,9 @@ def build_models(
 
     store("dim_items", dims.dim_items(staged), "item_key")
     store("dim_users", dims.dim_users(staged), "user_key")
-    store("dim_dates", dims.dim_dates(spark))
+    # The calendar goes on to the last day an item was created, if that is later than its usual end.
+    newest = staged.agg(F.date_add(F.to_date(F.max("created_at")), 1)).first()[0]
+    store("dim_dates", dims.dim_dates(spark, end=max(newest or dt.date.min, dt.date.fromisoformat(CALENDAR_END))))
     # Keys are computed unless an author bears the unknown author's name and only a look-up tells both.
     if models["dim_users"].filter(F.col("user_name") == UNKNOWN_USER_NAME).count() == 1:
         stories = facts.fct_stories(staged)

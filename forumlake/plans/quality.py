@@ -18,7 +18,7 @@ CHECKS = {
     "fct_stories": {
         "item_key": ["not_null", "unique", ("in", "dim_items", "item_key")],
         "user_key": ["not_null", ("in", "dim_users", "user_key")],
-        "created_date_key": ["not_null"],
+        "created_date_key": ["not_null", ("in", "dim_dates", "date_key")],
         "created_at": ["not_null"],
     },
     "daily_story_metrics": {"story_date": ["not_null"]},
@@ -81,9 +81,7 @@ def run_checks(models: dict[str, DataFrame], checks: dict = CHECKS) -> DataFrame
     """
     results = []
     for model, columns in checks.items():
-        if model not in models:
-            continue
-        df = models[model]
+        df = models[model]  # a check of a model that is not there is an error, not a pass
         counted, grouped = [], []
         for column, tests in columns.items():
             for test in tests:

@@ -26,6 +26,26 @@ DAY_STATE = T.StructType(
     ]
 )
 
+# Landed files a run has parsed; all files of a day per run.
+FILE_STATE = T.StructType(
+    [
+        T.StructField("ingest_date", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("run_id", T.LongType()),
+    ]
+)
+
+# Look-ups that failed, and later look-ups of the same ids; one row per id and attempt.
+LOOKUP_STATE = T.StructType(
+    [
+        T.StructField("item_id", T.LongType()),
+        T.StructField("attempt", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
+
 # Highest item id landed; one row per run.
 HIGH_WATER_MARK = T.StructType([T.StructField("last_id", T.LongType())])
 

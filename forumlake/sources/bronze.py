@@ -7,7 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from forumlake.constants import ITEMS_PER_CHUNK, ITEMS_PER_RUN
+from forumlake.constants import ITEMS_PER_CHUNK
 from forumlake.operators.versions import latest_version
 from forumlake.schemas import FETCHED
 
@@ -17,15 +17,15 @@ LANDED_FILES = "*.gz"
 _DAY_IN_PATH = r"(\d{4})[-/](\d{2})[-/](\d{2})/[^/]*$"
 
 
-def run_bounds(last_id: int, max_id: int, items_per_run: int | None = ITEMS_PER_RUN) -> tuple[int, int] | None:
+def run_bounds(last_id: int, max_id: int, items_per_run: int | None = None) -> tuple[int, int] | None:
     """First and last id of the next run, or None if there is nothing new.
 
-    With `items_per_run` only the newest ids of a longer backlog are taken; with None all of them.
+    With `items_per_run` the oldest ids of a longer backlog are taken, and later runs take the rest.
     """
-    first = last_id + 1
+    first, last = last_id + 1, max_id
     if items_per_run is not None:
-        first = max(first, max_id - items_per_run + 1)
-    return (first, max_id) if first <= max_id else None
+        last = min(last, last_id + items_per_run)
+    return (first, last) if first <= last else None
 
 
 def id_chunks(
@@ -33,7 +33,7 @@ def id_chunks(
     last_id: int,
     max_id: int,
     chunk_size: int = ITEMS_PER_CHUNK,
-    items_per_run: int | None = ITEMS_PER_RUN,
+    items_per_run: int | None = None,
 ) -> DataFrame:
     """The run as inclusive id ranges: chunk, start_id, end_id. Computed without a shuffle."""
     first, last = run_bounds(last_id, max_id, items_per_run) or (0, -1)
@@ -51,7 +51,7 @@ def run_ids(
     last_id: int,
     max_id: int,
     chunk_size: int = ITEMS_PER_CHUNK,
-    items_per_run: int | None = ITEMS_PER_RUN,
+    items_per_run: int | None = None,
 ) -> DataFrame:
     """All ids of the run in item_id, one partition per chunk."""
     first, last = run_bounds(last_id, max_id, items_per_run) or (0, -1)
@@ -189,11 +189,34 @@ def landed_days(files: DataFrame) -> DataFrame:
     return files.select("ingest_date").distinct().orderBy("ingest_date")
 
 
+def compare_files(files: DataFrame, known: DataFrame) -> DataFrame:
+    """Days by what happened to their files since the last run: new, changed, lost files and a status.
+
+    new: a day without known files; changed: some file is new or has another length, whatever else happened; shrunk: files
+    are gone and no other has changed, as after raw files expired; unchanged: the same files.
+    """
+    old = known.select("ingest_date", "path", F.col("length").alias("old_length"))
+    both = files.select("ingest_date", "path", "length").join(old, ["ingest_date", "path"], "full")
+    counts = both.groupBy("ingest_date").agg(
+        F.count("old_length").alias("known_files"),
+        F.count_if(F.col("old_length").isNull()).alias("new_files"),
+        F.count_if(F.col("length") != F.col("old_length")).alias("changed_files"),
+        F.count_if(F.col("length").isNull()).alias("lost_files"),
+    )
+    status = (
+        F.when(F.col("known_files") == 0, "new")
+        .when(F.col("new_files") + F.col("changed_files") > 0, "changed")
+        .when(F.col("lost_files") > 0, "shrunk")
+        .otherwise("unchanged")
+    )
+    return counts.withColumn("status", status)
+
+
 def compare_days(totals: DataFrame, state: DataFrame) -> DataFrame:
     """Landed days against the state of the last run, with a status.
 
-    new: not in the state; changed: more files or bytes, or as many in another mix; shrunk: a
-    day that lost files or bytes, as after raw files expired; unchanged: both figures as before.
+    new: not in the state; shrunk: fewer files and fewer bytes; unchanged: both figures as before; changed: anything
+    else. Totals cannot tell a day that lost files from one that lost some and got others; compare_files can.
     """
     old = state.select(
         "ingest_date", F.col("file_count").alias("old_file_count"), F.col("total_bytes").alias("old_total_bytes")
@@ -201,7 +224,7 @@ def compare_days(totals: DataFrame, state: DataFrame) -> DataFrame:
     same = F.col("file_count").eqNullSafe(F.col("old_file_count")) & F.col("total_bytes").eqNullSafe(
         F.col("old_total_bytes")
     )
-    less = (F.col("file_count") < F.col("old_file_count")) | (F.col("total_bytes") < F.col("old_total_bytes"))
+    less = (F.col("file_count") < F.col("old_file_count")) & (F.col("total_bytes") < F.col("old_total_bytes"))
     status = (
         F.when(F.col("old_file_count").isNull(), "new").when(same, "unchanged").when(less, "shrunk").otherwise("changed")
     )

@@ -1,7 +1,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
 from forumlake.operators.versions import latest_version
 from forumlake.schemas import SILVER
@@ -108,48 +108,78 @@ def maintain_current(items: DataFrame, path: str, checkpoint: str, ids_per_bucke
     return items.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def maintain_daily(stories: DataFrame, path: str, checkpoint: str, lateness: str = "7 days") -> StreamingQuery:
-    """Daily story counts, mean comments and approximate active authors, kept up to date per day.
+_STORIES = StructType(
+    [
+        StructField("item_key", StringType()),
+        StructField("user_key", StringType()),
+        StructField("total_comments", LongType()),
+        StructField("story_day", StringType()),
+        StructField("version", LongType()),
+    ]
+)
+_DAILY = StructType(
+    [
+        StructField("story_date", DateType()),
+        StructField("stories_per_day", LongType()),
+        StructField("avg_comments_per_story", DoubleType()),
+        StructField("active_authors", LongType()),
+        StructField("batch", LongType()),
+    ]
+)
+_NO_DAY = "none"
+
+
+def _stories_of(spark: SparkSession, path: str, days: list[str], before: int) -> DataFrame:
+    """Stories of the given days as the newest batch before this one left them."""
+    try:
+        kept = spark.read.schema(_STORIES).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _STORIES)
+    kept = kept.filter(F.col("story_day").isin(days) & (F.col("version") < before))
+    newest = kept.groupBy("story_day").agg(F.max("version").alias("version"))
+    return kept.join(newest, ["story_day", "version"], "left_semi")
+
 
-    State is one row per day inside the watermark. Exact distinct counts would need every
-    author of every open day as state, so authors are approximate here (2 % error); the daily
-    mart has the exact figure. Each batch writes the days it changed to a folder of its own,
-    which a repeated batch replaces; read_daily takes the newest row per day.
+def maintain_daily(stories: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Daily story counts, mean comments and active authors, kept up to date per day and equal to the daily marts.
+
+    A batch reads the stories known for the days it touches, however old, takes the newest delivery of each, and computes
+    those days anew: late stories are never dropped and repeated ones count once. A story's day is the day it
+    was created, which does not change. Each batch writes its days under its own number, so a repeated batch starts
+    from the same state and replaces what it wrote. Only day names reach the driver.
     """
-    daily = (
-        stories.withWatermark("created_at", lateness)
-        .groupBy(F.window("created_at", "1 day").alias("day"))
-        .agg(
+
+    def recompute(batch: DataFrame, batch_id: int) -> None:
+        day = F.coalesce(F.date_format("created_at", "yyyy-MM-dd"), F.lit(_NO_DAY)).alias("story_day")
+        version = F.lit(batch_id).cast("bigint").alias("version")
+        new = stored(batch.select("item_key", "user_key", "total_comments", day, version))
+        days = [r.story_day for r in new.select("story_day").distinct().collect()]
+        known = _stories_of(batch.sparkSession, f"{path}/stories", days, batch_id)
+        merged = latest_version(new.unionByName(known.select(*new.columns)), ["item_key"], ["version"])
+        merged = stored(merged.withColumn("version", version))
+        writer = merged.hint("rebalance", "story_day").write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("story_day", "version")
+        writer.parquet(f"{path}/stories")
+        daily = merged.groupBy("story_day").agg(
             F.count("item_key").alias("stories_per_day"),
             F.avg("total_comments").alias("avg_comments_per_story"),
-            F.approx_count_distinct("user_key", 0.02).alias("active_authors_approx"),
+            F.count_distinct("user_key").alias("active_authors"),
         )
-        .select(F.col("day.start").cast("date").alias("story_date"), *_DAILY.names[1:-1])
-    )
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        story_date = F.to_date(F.nullif("story_day", F.lit(_NO_DAY))).alias("story_date")
+        daily = daily.select(story_date, *_DAILY.names[1:-1])
+        daily.coalesce(1).write.mode("overwrite").parquet(f"{path}/daily/batch={batch_id}")
 
     return (
-        daily.writeStream.outputMode("update")
-        .foreachBatch(write)
+        stories.writeStream.foreachBatch(recompute)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-_DAILY = StructType(
-    [
-        StructField("story_date", DateType()),
-        StructField("stories_per_day", LongType()),
-        StructField("avg_comments_per_story", DoubleType()),
-        StructField("active_authors_approx", LongType()),
-        StructField("batch", LongType()),
-    ]
-)
-
-
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
     """Newest row per day of what maintain_daily keeps."""
-    return latest_version(spark.read.schema(_DAILY).parquet(path), ["story_date"], ["batch"]).drop("batch")
+    kept = spark.read.schema(_DAILY).parquet(f"{path}/daily")
+    return latest_version(kept, ["story_date"], ["batch"]).drop("batch")

@@ -70,6 +70,14 @@ def test_parse_is_strict_and_keeps_every_line(spark):
         "delimiter": '{"id":7,"title":"a § b"}',
         "text after": '{"id":8} trailing',
         "array line": '[{"id":9}]',
+        "two objects": '{"id":11} {"id":12}',
+        "text with brace after": '{"id":13} x}',
+        "brace too many": '{"id":14}}',
+        "two with comma": '{"id":15},{"id":16}',
+        "closed field": '{"id":17},"w":{"id":18}',
+        "single quotes": "{'id':19}",
+        "white space": ' \t{"id":20 } ',
+        "repeated key": '{"id":21,"id":22}',
         "absurd time": '{"id":10,"time":99999999999999999}',
     }
     df = spark.createDataFrame([(v, k, "2025-10-05") for k, v in lines.items()], "value string, source_file string, ingest_date string")
@@ -80,6 +88,8 @@ def test_parse_is_strict_and_keeps_every_line(spark):
         "story": 1, "comment": 2, "broken": None, "cut off": None, "blank": None, "none": None, "text id": 12,
         "fraction id": None, "boolean id": None, "exponent id": None, "huge id": None, "object title": 4,
         "array title": 5, "text like object": 6, "delimiter": 7, "text after": None, "array line": None, "absurd time": 10,
+        "two objects": None, "text with brace after": None, "brace too many": None, "two with comma": None,
+        "closed field": None, "single quotes": None, "white space": 20, "repeated key": 22,
     }
     story = parsed["story"]
     assert (story.title, story.text_content, story.created_at) == ("[pdf] x", None, story.created_at)

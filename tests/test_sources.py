@@ -25,7 +25,7 @@ def item(i, **more):
 
 @pytest.mark.parametrize(
     "last, newest, per_run, expected",
-    [(0, 100, 1000, (1, 100)), (100, 100, 10, None), (5, 100, 10, (91, 100)), (5, 100, None, (6, 100)), (95, 100, 10, (96, 100))],
+    [(0, 100, 1000, (1, 100)), (100, 100, 10, None), (5, 100, 10, (6, 15)), (5, 100, None, (6, 100)), (95, 100, 10, (96, 100))],
 )
 def test_run_bounds(last, newest, per_run, expected):
     assert bronze.run_bounds(last, newest, per_run) == expected
@@ -99,11 +99,25 @@ def test_land_new_items(spark, tmp_path):
     assert landed == 8 and [r.item_id for r in failed.collect()] == [7]
     assert asked.value == 10
     assert control.read_mark(spark, mark) == 10
-    landed, _ = land_new_items(spark, root, mark, 10, lookup, DAY)
-    assert landed == 0 and asked.value == 10
-    landed, _ = land_new_items(spark, root, mark, 12, lookup, DAY)
-    assert landed == 2 and control.read_mark(spark, mark) == 12
-    assert bronze.landed_lines(spark, root).count() == 10
+    landed, failed = land_new_items(spark, root, mark, 10, lookup, DAY)
+    assert landed == 0 and asked.value == 11 and failed.count() == 1  # the failed id alone, once more
+    landed, _ = land_new_items(spark, root, mark, 12, lambda i: {"id": i}, DAY, manifest_path=str(tmp_path / "files"))
+    assert landed == 3 and control.read_mark(spark, mark) == 12
+    assert control.failed_lookups(spark, f"{mark}-lookups").count() == 0
+    assert bronze.landed_lines(spark, root).count() == 11
+    entries = spark.read.json(str(tmp_path / "files"))
+    assert entries.agg(F.sum("item_count")).first()[0] == 3
+
+
+def test_a_backlog_is_taken_oldest_first_and_whole(spark, tmp_path):
+    root, mark = str(tmp_path / "bronze"), str(tmp_path / "mark")
+    marks = []
+    for _ in range(4):
+        land_new_items(spark, root, mark, 25, lambda i: {"id": i}, DAY, items_per_run=10)
+        marks.append(control.read_mark(spark, mark))
+    assert marks == [10, 20, 25, 25]
+    ids = bronze.landed_lines(spark, root).select(F.get_json_object("value", "$.id").cast("int")).collect()
+    assert sorted(r[0] for r in ids) == list(range(1, 26))
 
 
 def test_marks_and_day_state(spark, tmp_path, rows):
@@ -123,7 +137,8 @@ def test_changed_days_are_parsed_again(spark, tmp_path, rows):
     root, path, state = (str(tmp_path / n) for n in ("bronze", "silver", "state"))
     write_lines(root, "2025-10-04", "a.jsonl.gz", [item(1), "{bad", ""])
     write_lines(root, "2025-10-05", "a.jsonl.gz", [item(2), item(3)])
-    write_lines(root, "2025-10-06", "a.jsonl.gz", [item(4), item(5, title="long " * 50)])
+    write_lines(root, "2025-10-06", "a.jsonl.gz", [item(4)])
+    write_lines(root, "2025-10-06", "b.jsonl.gz", [item(5, title="long " * 50)])
     for name in ("a_manifest.json", "_SUCCESS"):
         with open(f"{root}/2025/10/04/{name}", "w") as f:
             f.write("{}")
@@ -131,29 +146,35 @@ def test_changed_days_are_parsed_again(spark, tmp_path, rows):
     def stored():
         return rows(silver.read_items(spark, path), "ingest_date", "item_id")
 
-    assert parse_changed_days(spark, root, path, state, 1) == ["2025-10-04", "2025-10-05", "2025-10-06"]
+    assert parse_changed_days(spark, root, path, state, 1).parsed == ["2025-10-04", "2025-10-05", "2025-10-06"]
     first = stored()
     assert first == sorted(
         [("2025-10-04", 1), ("2025-10-04", None), ("2025-10-04", None), ("2025-10-05", 2), ("2025-10-05", 3),
          ("2025-10-06", 4), ("2025-10-06", 5)], key=str
     )
-    assert parse_changed_days(spark, root, path, state, 2) == []
-    # One day grows, one is new, one loses items as expired raw files do.
+    assert parse_changed_days(spark, root, path, state, 2) == ([], [])
+    # One day grows, one is new, one loses a file as expired raw files do.
     write_lines(root, "2025-10-05", "b.jsonl.gz", [item(6)])
     write_lines(root, "2025-10-07", "a.jsonl.gz", [item(7)])
-    write_lines(root, "2025-10-06", "a.jsonl.gz", [item(4)])
-    compared = bronze.compare_days(bronze.day_totals(bronze.landed_files(spark, root)), control.read_day_state(spark, state))
+    os.remove(f"{root}/2025/10/06/b.jsonl.gz")
+    known = control.read_file_state(spark, f"{state}-files")
+    compared = bronze.compare_files(bronze.landed_files(spark, root), known)
     assert rows(compared, "ingest_date", "status") == [
         ("2025-10-04", "unchanged"), ("2025-10-05", "changed"), ("2025-10-06", "shrunk"), ("2025-10-07", "new")
     ]
-    assert parse_changed_days(spark, root, path, state, 3) == ["2025-10-05", "2025-10-07"]
+    assert parse_changed_days(spark, root, path, state, 3) == (["2025-10-05", "2025-10-07"], ["2025-10-06"])
     assert stored() == sorted(first + [("2025-10-05", 6), ("2025-10-07", 7)], key=str)
-    assert parse_changed_days(spark, root, path, state, 4, reload_shrunk=True) == ["2025-10-06"]
+    assert parse_changed_days(spark, root, path, state, 4, reload_shrunk=True) == (["2025-10-06"], [])
     assert ("2025-10-06", 5) not in stored()
     # Both layouts of landed days are found.
     extra = spark.createDataFrame([(item(8), "2025-10-08")], "value string, ingest_date string")
     bronze.land_items(extra, root)
-    assert parse_changed_days(spark, root, path, state, 5) == ["2025-10-08"]
+    assert parse_changed_days(spark, root, path, state, 5) == (["2025-10-08"], [])
+    # A file landed again with less in it and another one added: fewer bytes, yet every new id arrives.
+    write_lines(root, "2025-10-05", "a.jsonl.gz", [item(2)])
+    write_lines(root, "2025-10-05", "c.jsonl.gz", [item(9)])
+    assert parse_changed_days(spark, root, path, state, 6) == (["2025-10-05"], [])
+    assert {i for d, i in stored() if d == "2025-10-05"} == {2, 6, 9}
     days = [r.ingest_date for r in bronze.landed_days(bronze.landed_files(spark, root)).collect()]
     assert days == sorted(days) and len(days) == 5
 

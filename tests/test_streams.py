@@ -51,9 +51,23 @@ def test_daily_stream_equals_the_mart(spark, tmp_path, rows):
     path, checkpoint, arriving = (str(tmp_path / n) for n in ("daily", "progress", "arriving"))
     fact = facts.fct_stories(staging.staged_items(spark.createDataFrame(ITEMS, SILVER)))
     later = fact.withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 1 DAY"))
+    later = later.withColumn("item_key", F.concat(F.lit("later"), "item_key"))
     for part in (fact, later, fact):
         part.coalesce(1).write.mode("append").parquet(arriving)
         stream = spark.readStream.schema(fact.schema).parquet(arriving)
         jobs.maintain_daily(stream, path, checkpoint).awaitTermination()
-    got = rows(jobs.read_daily(spark, path), "stories_per_day", "avg_comments_per_story", "active_authors_approx")
-    assert got == [(4, 4 / 3, 3), (8, 4 / 3, 3)]
+    got = rows(jobs.read_daily(spark, path), "stories_per_day", "avg_comments_per_story", "active_authors")
+    assert got == [(4, 4 / 3, 3), (4, 4 / 3, 3)]
+
+
+def test_daily_stream_keeps_late_stories(spark, tmp_path, rows):
+    path, checkpoint, arriving = (str(tmp_path / n) for n in ("daily", "progress", "arriving"))
+    fact = facts.fct_stories(staging.staged_items(spark.createDataFrame(ITEMS, SILVER)))
+    moved = lambda days, key: fact.withColumns(
+        {"created_at": F.col("created_at") + F.expr(f"INTERVAL {days} DAY"), "item_key": F.concat(F.lit(key), "item_key")}
+    )
+    for part in (fact, moved(90, "new"), moved(0, "late"), moved(0, "late")):
+        part.coalesce(1).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(fact.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+        jobs.maintain_daily(stream, path, checkpoint).awaitTermination()
+    assert rows(jobs.read_daily(spark, path), "stories_per_day", "active_authors") == [(4, 3), (8, 3)]
