@@ -111,9 +111,10 @@ def maintain_current(items: DataFrame, path: str, checkpoint: str, ids_per_bucke
 _STORIES = StructType(
     [
         StructField("item_key", StringType()),
+        StructField("story_date", DateType()),
         StructField("user_key", StringType()),
         StructField("total_comments", LongType()),
-        StructField("story_day", StringType()),
+        StructField("story_month", StringType()),
         StructField("version", LongType()),
     ]
 )
@@ -126,49 +127,47 @@ _DAILY = StructType(
         StructField("batch", LongType()),
     ]
 )
-_NO_DAY = "none"
+_NO_MONTH = "none"
 
 
-def _stories_of(spark: SparkSession, path: str, days: list[str], before: int) -> DataFrame:
-    """Stories of the given days as the newest batch before this one left them."""
+def _stories_of(spark: SparkSession, path: str, months: list[str], before: int) -> DataFrame:
+    """Stories of the given months as the newest batch before this one left them."""
     try:
         kept = spark.read.schema(_STORIES).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], _STORIES)
-    kept = kept.filter(F.col("story_day").isin(days) & (F.col("version") < before))
-    newest = kept.groupBy("story_day").agg(F.max("version").alias("version"))
-    return kept.join(newest, ["story_day", "version"], "left_semi")
+    kept = kept.filter(F.col("story_month").isin(months) & (F.col("version") < before))
+    newest = kept.groupBy("story_month").agg(F.max("version").alias("version"))
+    return kept.join(newest, ["story_month", "version"], "left_semi")
 
 
 def maintain_daily(stories: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Daily story counts, mean comments and active authors, kept up to date per day and equal to the daily marts.
 
-    A batch reads the stories known for the days it touches, however old, takes the newest delivery of each, and computes
-    those days anew: late stories are never dropped and repeated ones count once. A story's day is the day it
-    was created, which does not change. Each batch writes its days under its own number, so a repeated batch starts
-    from the same state and replaces what it wrote. Only day names reach the driver.
+    A batch reads the stories known for the months it touches, however old, takes the newest delivery of each, and
+    computes their days anew: late stories are never dropped and repeated ones count once. A story's day is the day it
+    was created, which does not change. Each batch writes its months under its own number, so a repeated batch starts
+    from the same state and replaces what it wrote. Only names of months reach the driver.
     """
 
     def recompute(batch: DataFrame, batch_id: int) -> None:
-        day = F.coalesce(F.date_format("created_at", "yyyy-MM-dd"), F.lit(_NO_DAY)).alias("story_day")
-        version = F.lit(batch_id).cast("bigint").alias("version")
-        new = stored(batch.select("item_key", "user_key", "total_comments", day, version))
-        days = [r.story_day for r in new.select("story_day").distinct().collect()]
-        known = _stories_of(batch.sparkSession, f"{path}/stories", days, batch_id)
+        month = F.coalesce(F.date_format("created_at", "yyyy-MM"), F.lit(_NO_MONTH)).alias("story_month")
+        date, version = F.to_date("created_at").alias("story_date"), F.lit(batch_id).cast("bigint").alias("version")
+        new = stored(batch.select("item_key", date, "user_key", "total_comments", month, version))
+        months = [r.story_month for r in new.select("story_month").distinct().collect()]
+        known = _stories_of(batch.sparkSession, f"{path}/stories", months, batch_id)
         merged = latest_version(new.unionByName(known.select(*new.columns)), ["item_key"], ["version"])
         merged = stored(merged.withColumn("version", version))
-        writer = merged.hint("rebalance", "story_day").write.mode("overwrite")
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("story_day", "version")
+        writer = merged.hint("rebalance", "story_month").write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("story_month", "version")
         writer.parquet(f"{path}/stories")
-        daily = merged.groupBy("story_day").agg(
+        daily = merged.groupBy("story_date").agg(
             F.count("item_key").alias("stories_per_day"),
             F.avg("total_comments").alias("avg_comments_per_story"),
             F.count_distinct("user_key").alias("active_authors"),
         )
-        story_date = F.to_date(F.nullif("story_day", F.lit(_NO_DAY))).alias("story_date")
-        daily = daily.select(story_date, *_DAILY.names[1:-1])
         daily.coalesce(1).write.mode("overwrite").parquet(f"{path}/daily/batch={batch_id}")
 
     return (

@@ -167,6 +167,9 @@ def _accepted(model: str, table: str, column: str, values: str) -> str:
     )
 
 
+_CALENDAR = """(SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key FROM (
+    SELECT unnest(generate_series(TIMESTAMP '2006-01-01', TIMESTAMP '2026-12-30', INTERVAL 1 DAY)) AS d))"""
+_STORY_DAYS = "(SELECT DISTINCT CAST(created_at AS DATE) AS story_date FROM fct)"
 _REPORT = "\nUNION ALL\n".join(
     [
         _not_null("stg_items", "stg", "item_id"), _unique("stg_items", "stg", "item_id"),
@@ -180,6 +183,11 @@ _REPORT = "\nUNION ALL\n".join(
         _in("fct_stories", "fct", "item_key", "dim_items", "item_key"),
         _not_null("fct_stories", "fct", "user_key"), _in("fct_stories", "fct", "user_key", "dim_users", "user_key"),
         _not_null("fct_stories", "fct", "created_date_key"), _not_null("fct_stories", "fct", "created_at"),
+        _in("fct_stories", "fct", "created_date_key", _CALENDAR, "date_key"),
+        _not_null("daily_story_metrics", _STORY_DAYS, "story_date"),
+        _not_null("daily_active_authors", _STORY_DAYS, "story_date"),
+        _not_null("story_analytics", "vw", "item_key"), _unique("story_analytics", "vw", "item_key"),
+        _not_null("story_analytics", "vw", "item_id"), _unique("story_analytics", "vw", "item_id"),
         _not_null("parsed_items", "dated", "item_id"), _unique("parsed_items", "dated", "item_id"),
         _not_null("parsed_items", "dated", "author"),
         _in("parsed_items", "dated", "author", "dim_users", "user_name"),
@@ -298,7 +306,7 @@ ORACLE: dict[str, str] = {
     "dq_relationships": _parsed("""
         SELECT parent_id AS value, count(*) AS n_rows FROM stg
         WHERE parent_id IS NOT NULL AND parent_id NOT IN (SELECT item_id FROM stg WHERE item_type = 'story') GROUP BY 1"""),
-    "dq_report": _fact(_REPORT),
+    "dq_report": _view(_REPORT),
     "dq_missing_rates": _parsed("""
         SELECT ingest_date, count(*) AS n_rows,
                round(avg(CAST(item_id IS NULL AS INT)), 6) AS item_id_missing_rate,
@@ -323,8 +331,8 @@ ORACLE: dict[str, str] = {
         ids AS (SELECT unnest(generate_series(lo, hi)) AS id, lo FROM bounds)
         SELECT (id - lo) // 1000 AS chunk, min(id) AS start_id, max(id) AS end_id FROM ids GROUP BY 1""",
     "run_ids_with_landed_lines": """
-        SELECT id AS item_id, id IN (SELECT event_id FROM events) AS landed
-        FROM (SELECT unnest(generate_series(0, max(o_orderkey))) AS id FROM orders)""",
+        SELECT id AS item_id, event_id IS NOT NULL AS landed, '[' || event_type || '] § {x}' AS title
+        FROM (SELECT unnest(generate_series(0, max(o_orderkey))) AS id FROM orders) LEFT JOIN events ON id = event_id""",
     "missing_ids": """
         SELECT id AS doc_id FROM (SELECT unnest(generate_series(0, max(doc_id))) AS id FROM documents)
         WHERE id NOT IN (SELECT doc_id FROM labels)""",
@@ -344,17 +352,39 @@ ORACLE: dict[str, str] = {
         SELECT {_DAY} AS ingest_date, count(*) AS item_count, min(event_id) AS start_id, max(event_id) AS end_id
         FROM events GROUP BY 1""",
     "landed_days": f"SELECT DISTINCT {_DAY} AS ingest_date FROM events",
-    "changed_days": _with(_TOTALS, """
-        state AS (
-            SELECT ingest_date, file_count AS old_file_count, total_bytes +
-                   CASE WHEN ingest_date < '2024-01-06' THEN 5 WHEN ingest_date >= '2024-01-16' THEN -5 ELSE 0 END
-                       AS old_total_bytes
-            FROM totals WHERE ingest_date < '2024-01-26'
-        )""", then="""
-        SELECT ingest_date, file_count, total_bytes, old_file_count, old_total_bytes,
-               CASE WHEN old_file_count IS NULL THEN 'new' WHEN total_bytes = old_total_bytes THEN 'unchanged'
-                    WHEN total_bytes < old_total_bytes THEN 'shrunk' ELSE 'changed' END AS status
-        FROM totals LEFT JOIN state USING (ingest_date)"""),
+    "changed_days": f"""
+        WITH files AS (
+            SELECT {_DAY} AS ingest_date, event_id AS n, CAST(event_id AS VARCHAR) AS path,
+                   CAST(round(value * 100) AS BIGINT) AS length
+            FROM events),
+        known AS (
+            SELECT ingest_date, path,
+                   length + CASE WHEN ingest_date < '2024-01-06' AND n % 7 = 1 THEN 5000 ELSE 0 END AS old_length
+            FROM files WHERE ingest_date < '2024-01-26' AND NOT (ingest_date < '2024-01-06' AND n % 7 = 0)
+            UNION ALL
+            SELECT ingest_date, 'gone-' || path, length FROM files
+            WHERE ingest_date >= '2024-01-16' AND ingest_date < '2024-01-26' AND n % 5 = 0),
+        counts AS (
+            SELECT ingest_date, count(old_length) AS known_files, count(*) FILTER (old_length IS NULL) AS new_files,
+                   count(*) FILTER (length <> old_length) AS changed_files, count(*) FILTER (length IS NULL) AS lost_files
+            FROM files FULL JOIN known USING (ingest_date, path) GROUP BY 1)
+        SELECT *, CASE WHEN known_files = 0 THEN 'new' WHEN new_files + changed_files > 0 THEN 'changed'
+                       WHEN lost_files > 0 THEN 'shrunk' ELSE 'unchanged' END AS status FROM counts""",
+    "landed_backlog": """
+        WITH n AS (SELECT 2 * count(*) AS newest FROM lineitem),
+        ids AS (SELECT unnest(generate_series(1, newest)) AS id, newest FROM n)
+        SELECT id // 1000 AS thousand, count(*) AS n_lines, count(*) AS n_ids, max(newest) AS mark FROM ids GROUP BY 1""",
+    "high_water_mark": "SELECT max(o_orderkey) AS last_id FROM orders",
+    "landed_without_empty": f"""
+        SELECT {_DAY} AS ingest_date, count(*) AS n_lines FROM events WHERE event_id % 10 >= 5 GROUP BY 1""",
+    "built_models": _view("""
+        SELECT 'stg_items' AS model, count(*) AS n_rows FROM stg
+        UNION ALL SELECT 'dim_items', count(*) FROM dim_items
+        UNION ALL SELECT 'dim_users', count(*) FROM dim_users
+        UNION ALL SELECT 'fct_stories', count(*) FROM fct
+        UNION ALL SELECT 'daily_story_metrics', count(DISTINCT CAST(created_at AS DATE)) FROM fct
+        UNION ALL SELECT 'daily_active_authors', count(DISTINCT CAST(created_at AS DATE)) FROM fct
+        UNION ALL SELECT 'story_analytics', count(*) FROM vw"""),
     "replaced_days": f"""
         SELECT {_DAY} AS ingest_date, count(*) AS n_rows,
                CAST(sum(floor(value) + CASE WHEN ts >= '2024-01-10' AND ts < '2024-01-20' THEN 1000 ELSE 0 END) AS BIGINT)
@@ -386,6 +416,6 @@ ORACLE: dict[str, str] = {
     "stream_current_items": _event_states("SELECT item_id, author, created_at, score, ingest_date FROM stg"),
     "stream_daily_metrics": _fact("""
         SELECT CAST(created_at AS DATE) AS story_date, count(*) AS stories_per_day,
-               round(avg(total_comments), 6) AS avg_comments_per_story
+               round(avg(total_comments), 6) AS avg_comments_per_story, count(DISTINCT user_key) AS active_authors
         FROM fct GROUP BY 1"""),
 }

@@ -1,6 +1,9 @@
 """Registered queries: name -> function of (spark, sf_dir). Each runs library code over whole tables."""
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -9,7 +12,7 @@ from forumlake.functions import day_string
 from forumlake.operators.threads import expand_threads
 from forumlake.operators.versions import latest_version
 from forumlake.plans import dashboard, dims, facts, marts, metrics, quality, staging
-from forumlake.plans.pipeline import parse_changed_days
+from forumlake.plans.pipeline import build_models, land_new_items, parse_changed_days
 from forumlake.session import configure, new_dir, stored
 from forumlake.sources import bronze, control, silver
 from forumlake.streaming import jobs
@@ -289,9 +292,14 @@ def dq_relationships(spark, sf_dir):
 def dq_report(spark, sf_dir):
     silver_items = feed.feed(spark, sf_dir)
     staged = stored(staging.staged_items(silver_items, ["title", "url"]))
-    items = dims.dim_items(staged, with_text=False)
-    users, stories = stored(dims.dim_users(staged)), stored(facts.fct_stories(staged))
+    items, users, stories = (
+        stored(df) for df in (dims.dim_items(staged, with_text=False), dims.dim_users(staged), facts.fct_stories(staged))
+    )
     models = {"stg_items": staged, "dim_items": items, "dim_users": users, "fct_stories": stories}
+    models["dim_dates"] = dims.dim_dates(spark)  # begins after the first orders, which the report shows
+    models["daily_story_metrics"] = marts.daily_story_metrics(stories)
+    models["daily_active_authors"] = marts.daily_active_authors(stories)
+    models["story_analytics"] = stored(facts.story_analytics(stories, items, users))
     # The parsed items before deduplication, against checks that do find something.
     models["parsed_items"] = silver_items
     raw_checks = {
@@ -342,7 +350,8 @@ def run_ids_with_landed_lines(spark, sf_dir):
     landed = lines.withColumn("item_id", F.get_json_object("value", "$.id").cast("bigint"))
     newest = feed.table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
     found = bronze.enrich_from_landed(bronze.run_ids(spark, -1, newest, items_per_run=None), landed)
-    return found.select("item_id", F.col("value").isNotNull().alias("landed"))
+    event = F.get_json_object("value", "$.title")
+    return found.select("item_id", F.col("value").isNotNull().alias("landed"), event.alias("title"))
 
 
 @query
@@ -402,12 +411,75 @@ def _landed_days(spark, sf_dir):
 
 @query
 def changed_days(spark, sf_dir):
-    """Against a state that knew more of the first days, less of the middle, and nothing of the last."""
-    totals = _landed_days(spark, sf_dir)
-    day = F.col("ingest_date")
-    shift = F.when(day < "2024-01-06", 5).when(day >= "2024-01-16", -5).otherwise(0)
-    state = totals.filter(day < "2024-01-26").withColumn("total_bytes", F.col("total_bytes") + shift)
-    return bronze.compare_days(totals, state)
+    """Events as files against files known before: some new, some of another length, some gone, some days unknown."""
+    day, number = F.col("ingest_date"), F.col("event_id")
+    events = feed.table(spark, sf_dir, "events").withColumn("ingest_date", day_string("ts"))
+    length = F.round(F.col("value") * 100).cast("bigint")
+    files = events.select("ingest_date", "event_id", number.cast("string").alias("path"), length.alias("length"))
+    known = files.filter((day < "2024-01-26") & ~((day < "2024-01-06") & (number % 7 == 0)))
+    known = known.withColumn("length", F.col("length") + F.when((day < "2024-01-06") & (number % 7 == 1), 5000).otherwise(0))
+    gone = files.filter((day >= "2024-01-16") & (day < "2024-01-26") & (number % 5 == 0))
+    known = known.unionByName(gone.withColumn("path", F.concat(F.lit("gone-"), "path")))
+    return bronze.compare_files(files, known)
+
+
+@query
+def landed_backlog(spark, sf_dir):
+    """A backlog of twice as many ids as line items, taken in bounded runs; look-ups fail and succeed the next time."""
+    root, mark = new_dir(spark, "bronze"), new_dir(spark, "mark")
+    newest = 2 * feed.table(spark, sf_dir, "lineitem").count()
+
+    def down(item_id):
+        if item_id % 97 == 0:
+            raise OSError("down")
+        return {"id": item_id}
+
+    def up(item_id):
+        return {"id": item_id}
+
+    per_run = -(-newest // 3)
+    for lookup in (down, up, down, up):
+        land_new_items(spark, root, mark, newest, lookup, dt.date(2024, 1, 1), items_per_run=per_run)
+    item_id = F.get_json_object("value", "$.id").cast("bigint")
+    return (
+        bronze.landed_lines(spark, root)
+        .groupBy(F.floor(item_id / 1000).cast("bigint").alias("thousand"))
+        .agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct(item_id).alias("n_ids"))
+        .withColumn("mark", F.lit(control.read_mark(spark, mark)).cast("bigint"))
+    )
+
+
+@query
+def high_water_mark(spark, sf_dir):
+    """The newest order of each status as the mark of one run after the other, in any order."""
+    path = new_dir(spark, "mark")
+    newest = feed.table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.max("o_orderkey").alias("m"))
+    for row in newest.orderBy("o_orderstatus").collect():
+        control.write_mark(spark, path, row.m)
+    return spark.range(1).select(F.lit(control.read_mark(spark, path)).cast("bigint").alias("last_id"))
+
+
+@query
+def landed_without_empty(spark, sf_dir):
+    """Lines of which every other one is empty in one of five ways: none of those is landed."""
+    root, number = new_dir(spark, "bronze"), F.get_json_object("value", "$.id").cast("bigint") % 10
+    empty = F.element_at(F.array(F.lit(None), F.lit(""), F.lit("null"), F.lit("{}"), F.lit("  ")), (number + 1).cast("int"))
+    lines = feed.event_lines(spark, sf_dir).withColumn("value", F.when(number >= 5, F.col("value")).otherwise(empty))
+    bronze.land_items(lines, root)
+    return bronze.landed_lines(spark, root).groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@query
+def built_models(spark, sf_dir):
+    """All models stored as tables of two schemas and read back by name."""
+    schemas = [f"{name}_{uuid.uuid4().hex}" for name in ("silver", "gold")]
+    for name in schemas:
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{new_dir(spark, 'tables')}'")
+    build_models(feed.feed(spark, sf_dir), *schemas)
+    names = ["dim_items", "dim_users", "fct_stories", "daily_story_metrics", "daily_active_authors", "story_analytics"]
+    tables = {"stg_items": f"{schemas[0]}.stg_items"} | {n: f"{schemas[1]}.{n}" for n in names}
+    counts = [spark.table(t).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("model", F.lit(n)) for n, t in tables.items()]
+    return reduce(DataFrame.unionByName, counts).select("model", "n_rows")
 
 
 @query
@@ -509,9 +581,11 @@ def stream_current_items(spark, sf_dir):
 
 @query
 def stream_daily_metrics(spark, sf_dir):
+    """Stories delivered in two parts, the older ones last, and some twice."""
     path, checkpoint, arriving = (new_dir(spark, name) for name in ("daily", "progress", "arriving"))
-    _facts(spark, sf_dir).write.parquet(arriving)
-    stored = spark.read.parquet(arriving)
-    stream = spark.readStream.schema(stored.schema).parquet(arriving)
-    jobs.maintain_daily(stream, path, checkpoint).awaitTermination()
-    return jobs.read_daily(spark, path).select("story_date", "stories_per_day", "avg_comments_per_story")
+    stories = stored(_facts(spark, sf_dir))
+    for part in ("created_at >= '1996-01-01' OR score % 3 = 0", "created_at < '1996-01-01' OR score % 5 = 0"):
+        stories.filter(part).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(stories.schema).parquet(arriving)
+        jobs.maintain_daily(stream, path, checkpoint).awaitTermination()
+    return jobs.read_daily(spark, path)
