@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from forumlake.session import stored
+
 # A key counts as hot from this many rows on, and only if it holds more than
 # 1/MAX_HOT_KEYS of all rows: there can never be more hot keys than that.
 MIN_HOT_ROWS = 1_000_000
@@ -49,7 +51,8 @@ def salted_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join cannot do a {how} join")
-    marked = F.broadcast(hot.select(F.col(key).alias("_hot_key"), F.lit(True).alias("_hot")))
+    # Both sides read the list; stored, it is found once.
+    marked = F.broadcast(stored(hot.select(F.col(key).alias("_hot_key"), F.lit(True).alias("_hot"))))
 
     def mark(df: DataFrame) -> DataFrame:
         return df.join(marked, F.col(key).eqNullSafe(F.col("_hot_key")), "left").drop("_hot_key")

@@ -22,8 +22,8 @@ def expand_threads(
 
     Each item points to an ancestor `hops` levels above it, at first to its parent. A round
     moves the pointer to where that ancestor points, so the distance doubles: a thread of depth
-    d takes about log2(d) joins, one shuffle of the unfinished items each. An item whose
-    ancestor is finished is finished too, and only looked up from then on. Items below a
+    d takes about log2(d) joins, each of the unfinished items with all items an ancestor may be, finished ones
+    included. An item whose ancestor is finished is finished too, and only looked up from then on. Items below a
     missing parent drop out. A round that finishes nobody ends the loop: what then remains hangs
     below an item that is no story, or in a cycle. An item many others point to is salted.
 
