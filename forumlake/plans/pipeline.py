@@ -115,14 +115,18 @@ def save_table(df: DataFrame, name: str, key: str | None = None, buckets: int |
     """Store a model as a table, replacing it, and return the stored table.
 
     With `buckets` the rows are hashed by `key` once, at write time; joins and aggregations
-    on that key then need no shuffle. Choose buckets of a few hundred megabytes.
+    on that key then need no shuffle. Choose buckets of a few hundred megabytes. The rows are written under another
+    name first, so a build that fails leaves the table as it was.
     """
     if buckets:
         writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
     else:
         writer = df.write
-    writer.mode("overwrite").format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+    writer.mode("overwrite").format("parquet").saveAsTable(f"{name}__next")
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {name}__next RENAME TO {name}")
+    return spark.table(name)
 
 
 def build_models(

@@ -69,9 +69,9 @@ def read_current(
         snapshots = snapshots.filter(F.col("bucket").isin(buckets))
     if before is not None:
         snapshots = snapshots.filter(F.col("version") < before)
-    # One row per bucket, from folder names and file footers: bounded by ids / ids_per_bucket.
+    # One row per bucket; its size decides whether it is broadcast.
     newest = snapshots.groupBy("bucket").agg(F.max("version").alias("version"))
-    return snapshots.join(F.broadcast(newest), ["bucket", "version"], "left_semi").select(*SILVER.names)
+    return snapshots.join(newest, ["bucket", "version"], "left_semi").select(*SILVER.names)
 
 
 def maintain_current(items: DataFrame, path: str, checkpoint: str, ids_per_bucket: int = 1_000_000) -> StreamingQuery:
