@@ -76,18 +76,18 @@ class Model:
 
 def _telling(column: pa.Array, n: int) -> np.ndarray:
     """Entries whose share among the first n texts, the examples, is far from that among the others."""
-    counts = np.zeros((2, 1 << TABLE_BITS), np.int64)
+    counts = np.zeros((2, 1 << TABLE_BITS), np.int32)
     for at, end in slices(column, SLICE_BYTES):
         row, entry = _features(column.slice(at, end - at))
         pair = np.unique(row << TABLE_BITS | entry)
-        example = (pair >> TABLE_BITS) + at < n
-        for kind, part in ((0, pair[example]), (1, pair[~example])):
-            counts[kind] += np.bincount(part & ((1 << TABLE_BITS) - 1), minlength=1 << TABLE_BITS)
+        kind = ((pair >> TABLE_BITS) + at >= n).astype(np.int64)
+        np.add.at(counts, (kind, pair & ((1 << TABLE_BITS) - 1)), 1)
     m = len(column)
+    common = np.flatnonzero(counts.sum(axis=0) >= LEAST_DOCUMENTS)
+    counts = counts[:, common]
     share = counts.sum(axis=0) / m
     error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n + 1 / (m - n)))
-    apart = counts[0] / n - counts[1] / (m - n) >= LEAST_Z * error
-    return np.flatnonzero(apart & (counts.sum(axis=0) >= LEAST_DOCUMENTS))
+    return common[counts[0] / n - counts[1] / (m - n) >= LEAST_Z * error]
 
 
 def train(positive: list[str], unlabelled: list[str], prior: float) -> Model:
