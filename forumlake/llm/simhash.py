@@ -199,7 +199,8 @@ def near_duplicates(
     most max_bits bits. Documents with equal fingerprints are linked; documents without words (null, empty, white
     space only) have fingerprint zero and are linked like any other. Repeated rows give repeated rows. An empty
     table gives an empty result. Other columns are not read. doc_id must not be null for a row to take part:
-    rows with a null doc_id keep a null component unless their fingerprint is that of another document.
+    rows with a null doc_id keep a null component unless their fingerprint is that of another document. Rows with
+    the same doc_id count as one document, whose texts are linked.
     """
     prints = stored(fingerprints(docs, shingle_words))
     nodes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("node")))

@@ -22,12 +22,13 @@ from pyspark.sql import types as T
 from forumlake.llm.words import free_name, gathered, mixed, split_words, windows, word_hashes
 
 MIN_WORDS = 13
-#: Suffixes of a group, unless that makes more than MOST_GROUPS groups.
-GROUP_SUFFIXES = 3 << 20
-MOST_GROUPS = 1 << 20
+#: Most suffixes of a group, unless that makes more than MOST_GROUPS groups. Fewer where that leaves
+#: too few groups, down to LEAST_SUFFIXES.
+GROUP_SUFFIXES = 2 << 20
+LEAST_GROUPS, MOST_GROUPS, LEAST_SUFFIXES = 40, 1 << 20, 1 << 14
 #: Documents that are put together again in one step.
 GROUP_DOCUMENTS = 1000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 _CODE_BITS = 39
 _FIRST_BITS = 15
 _MORE_BITS = 8
@@ -103,7 +104,8 @@ def group_starts(docs: DataFrame, min_words: int = MIN_WORDS) -> np.ndarray:
     at most 32,768 counts, and 256 for each prefix that is too large, of which there are at most MOST_GROUPS.
     """
     counts = _prefix_counts(docs, min_words, _FIRST_BITS, np.zeros(0, np.uint64))
-    most = max(GROUP_SUFFIXES, int(counts["n"].sum()) // MOST_GROUPS)
+    total = int(counts["n"].sum())
+    most = max(min(GROUP_SUFFIXES, max(total // LEAST_GROUPS, LEAST_SUFFIXES)), total // MOST_GROUPS)
     bits, ranges = _FIRST_BITS, []
     while True:
         heavy = (counts["n"] > most) & (bits < _CODE_BITS)
@@ -123,14 +125,26 @@ def group_starts(docs: DataFrame, min_words: int = MIN_WORDS) -> np.ndarray:
     return np.array(starts, np.uint64)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as bytes, all first bytes first: what the numbers have in common compresses well."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _numbers(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The numbers of all rows of a column of planes, one row after the other."""
+    size = np.dtype(kind).itemsize
+    parts = [np.frombuffer(b, np.uint8).reshape(size, -1).T for b in column.to_pylist()]
+    return np.ascontiguousarray(np.concatenate(parts)).view(kind).ravel() if parts else np.zeros(0, kind)
+
+
 def _pack(keys: np.ndarray, columns: dict[str, np.ndarray], name: str) -> pa.RecordBatch:
-    """One row for each key, with the values of each column as bytes."""
+    """One row for each key, with the values of each column as planes of bytes."""
     order = np.argsort(keys, kind="stable")
     found, first = np.unique(keys[order], return_index=True)
     out = {name: pa.array(found.astype(np.int64))}
     for column, values in columns.items():
         parts = np.split(values[order], first[1:]) if len(found) else []
-        out[column] = pa.array([p.tobytes() for p in parts], pa.binary())
+        out[column] = pa.array([_planes(p) for p in parts], pa.binary())
     return pa.record_batch(out)
 
 
@@ -147,7 +161,7 @@ def repeat_starts(docs: DataFrame, homes: int, min_words: int = MIN_WORDS) -> Da
     """
     bounds = group_starts(docs, min_words)
     per_run = {"ids": np.int64, "rows": np.int64, "counts": np.int32, "base": np.int32}
-    per_suffix = {"key": np.uint64, "low": np.uint8, "high": np.uint8}
+    per_suffix = {"key": np.uint64, "step": np.uint16}
     names = [*per_run, *per_suffix, "starts"]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +174,7 @@ def repeat_starts(docs: DataFrame, homes: int, min_words: int = MIN_WORDS) -> Da
             columns = {n: own[n] if n in ("rows", "starts") else pa.nulls(own.num_rows, pa.binary()) for n in names}
             yield pa.record_batch({"grp": pc.subtract(-1, own["home"])} | columns)
             # Within a group by document and position. A run of one document's suffixes has its number and first
-            # position once, and each suffix the step from the one before, in two planes of bytes that compress well.
+            # position once, and each suffix the step from the one before.
             key, start, doc = found["key"][lead], found["start"][lead], doc[lead]
             group = np.searchsorted(bounds, key, "right") - 1
             order = np.lexsort((start, doc, group))
@@ -172,8 +186,7 @@ def repeat_starts(docs: DataFrame, homes: int, min_words: int = MIN_WORDS) -> Da
             counts = np.diff(np.append(first, len(doc))).astype(np.int32)
             head = {"ids": found["ids"][doc[first]], "rows": row[doc[first]], "counts": counts}
             head = _pack(group[first], head | {"base": start[first].astype(np.int32)}, "grp")
-            each = {"key": key, "low": (step & 0xFF).astype(np.uint8), "high": (step >> 8).astype(np.uint8)}
-            each = _pack(group, each, "grp")
+            each = _pack(group, {"key": key, "step": step.astype(np.uint16)}, "grp")
             columns = {n: head[n] for n in per_run} | {n: each[n] for n in per_suffix}
             columns["starts"] = pa.nulls(each.num_rows, pa.binary())
             yield pa.record_batch({"grp": each["grp"]} | columns)
@@ -183,15 +196,14 @@ def repeat_starts(docs: DataFrame, homes: int, min_words: int = MIN_WORDS) -> Da
             home = pa.array(np.full(table.num_rows, -1 - group[0].as_py()))
             return pa.table({"home": home, "rows": table["rows"], "starts": table["starts"]})
         columns = per_run | per_suffix
-        part = {n: np.frombuffer(b"".join(table[n].to_pylist()), kind) for n, kind in columns.items()}
-        step = part["low"].astype(np.int32) | part["high"].astype(np.int32) << 8
+        part = {n: _numbers(table[n], kind) for n, kind in columns.items()}
         order = np.argsort(part["key"])
         run = np.repeat(np.arange(len(part["counts"]), dtype=np.int32), part["counts"])
         ids = part["ids"][run[order]]
         node, first = _nodes(part["key"][order])
         least = np.minimum.reduceat(ids, first) if len(first) else ids
         later = order[ids > least[node]]
-        moved = np.cumsum(step, dtype=np.int64)
+        moved = np.cumsum(part["step"], dtype=np.int64)
         start = part["base"][run] + moved - moved[np.cumsum(part["counts"]) - part["counts"]][run]
         return pa.Table.from_batches([_marks(part["rows"][run[later]], start[later], homes)])
 
@@ -222,8 +234,7 @@ def _apply(docs: DataFrame, min_words: int, build, schema: T.StructType) -> Data
     marks = repeat_starts(narrow, homes, min_words)
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(right["rows"].to_pylist()), np.int64)
-        starts = np.frombuffer(b"".join(right["starts"].to_pylist()), np.int32)
+        rows, starts = _numbers(right["rows"], np.int64), _numbers(right["starts"], np.int32)
         order = np.argsort(rows, kind="stable")
         found, first = np.unique(rows[order], return_index=True)
         by_row = dict(zip(found.tolist(), np.split(starts[order], first[1:]), strict=False)) if len(found) else {}
