@@ -16,7 +16,7 @@ import pyarrow as pa
 from forumlake.llm.words import Words, lowered, raw, word_hashes
 
 #: Stretches a worker remembers. When there are more, those it has met once only are forgotten, if need be all.
-MOST_KNOWN = 1_000_000
+MOST_KNOWN = 800_000
 _AT_ONCE = 20_000
 # Kinds of bytes. No cut is made beside one whose kind is open: it may be a part of any character, or of white space.
 _OPEN, _SPACE, _BREAK, _LETTER, _DIGIT, _SIGN, _BEYOND = range(7)
@@ -80,49 +80,56 @@ class Encoder:
         self._set(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32))
 
     def _set(self, hashes: np.ndarray, first: np.ndarray, ids: np.ndarray) -> None:
+        """Entries by hash in order. Sorted arrays need a tenth of a dictionary's memory."""
         self.hashes, self.first, self.ids = hashes, first, ids
-        self.met = np.ones(len(hashes), np.int32)
-        self.known = dict(zip(hashes.tolist(), range(len(hashes)), strict=True))
+        self.entry = np.arange(len(hashes), dtype=np.int32)
+        self.met = np.ones(len(hashes), np.int8)
 
     def forget(self) -> None:
-        kept = np.flatnonzero(self.met > 1)
-        kept = kept if len(kept) <= MOST_KNOWN // 2 else kept[:0]
+        again = self.met[self.entry] > 1
+        again &= again.sum() <= MOST_KNOWN // 2
+        kept = self.entry[again]
         size = np.diff(self.first)[kept]
         begin = np.cumsum(size) - size
         ids = self.ids[np.repeat(self.first[kept] - begin, size) + np.arange(size.sum())]
-        self._set(self.hashes[kept], np.concatenate([[0], np.cumsum(size)]), ids)
+        self._set(self.hashes[again], np.concatenate([[0], np.cumsum(size)]), ids)
 
-    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+    def _missing(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the hashes stand or belong among the known ones, and which are not there."""
+        at = np.searchsorted(self.hashes, hashes)
+        there = at < len(self.hashes)
+        there[there] = self.hashes[at[there]] == hashes[there]
+        return at, np.flatnonzero(~there)
+
+    def _learn(self, hashes: np.ndarray, at: np.ndarray, texts: list[str]) -> None:
         sizes, ids = [], [self.ids]
-        for at in range(0, len(texts), _AT_ONCE):
-            encoded = self.tokenizer.encode_batch_fast(texts[at : at + _AT_ONCE], add_special_tokens=False)
+        for k in range(0, len(texts), _AT_ONCE):
+            encoded = self.tokenizer.encode_batch_fast(texts[k : k + _AT_ONCE], add_special_tokens=False)
             found = [e.ids for e in encoded]
             sizes += map(len, found)
             ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
-        before = len(self.known)
-        self.known.update(zip(hashes.tolist(), range(before, before + len(texts)), strict=True))
-        self.hashes = np.concatenate([self.hashes, hashes])
-        self.met = np.concatenate([self.met, np.zeros(len(texts), np.int32)])
+        before = len(self.hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.entry = np.insert(self.entry, at, np.arange(before, before + len(texts), dtype=np.int32))
+        self.met = np.concatenate([self.met, np.zeros(len(texts), np.int8)])
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes, dtype=np.int64)])
         self.ids = np.concatenate(ids)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the number of ids of each text; null is an empty text."""
         parts = stretches(column, self.keeps_space)
-        found, at, which = np.unique(word_hashes(parts), return_index=True, return_inverse=True)
-        place = list(map(self.known.get, found.tolist()))
-        new = [k for k, p in enumerate(place) if p is None]
-        if len(self.known) + len(new) > MOST_KNOWN:
+        found, seen, which = np.unique(word_hashes(parts), return_index=True, return_inverse=True)
+        at, new = self._missing(found)
+        if len(self.hashes) + len(new) > MOST_KNOWN:
             self.forget()
-            place = list(map(self.known.get, found.tolist()))
-            new = [k for k, p in enumerate(place) if p is None]
-        if new:
+            at, new = self._missing(found)
+        if len(new):
             body = parts.data.tobytes()
-            begin, end = parts.start[at[new]].tolist(), parts.end[at[new]].tolist()
-            self._learn(found[new], [body[a:b].decode() for a, b in zip(begin, end, strict=True)])
-            place = list(map(self.known.__getitem__, found.tolist()))
-        place = np.array(place, np.int64)
-        self.met[place] += np.minimum(np.bincount(which, minlength=len(place)), 2).astype(np.int32)
+            begin, end = parts.start[seen[new]].tolist(), parts.end[seen[new]].tolist()
+            self._learn(found[new], at[new], [body[a:b].decode() for a, b in zip(begin, end, strict=True)])
+        place = self.entry[np.searchsorted(self.hashes, found)]
+        often = np.bincount(which, minlength=len(place))
+        self.met[place] = np.minimum(self.met[place] + np.minimum(often, 2), 2).astype(np.int8)
         row = place[which]
         size = self.first[row + 1] - self.first[row]
         ends = np.cumsum(size)

@@ -16,11 +16,11 @@ from forumlake.llm.words import Words, gathered, split_words, word_hashes
 
 TABLE_BITS = 18
 #: Labelled documents of each language that the model learns from, with their whole texts.
-SAMPLE_DOCUMENTS = 200
+SAMPLE_DOCUMENTS = 120
 #: For training, texts are cut into pieces of so many words, and so many pieces of any language make a sequence.
 PIECE_WORDS, SEQUENCE_PIECES = 40, 8
 EPOCHS, RATE, DECAY = 12, 0.5, 1e-4
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 UNKNOWN = "und"
 #: Below this mean probability of its best label a document's language counts as unknown to accepted().
 LEAST_SCORE = 0.4
@@ -189,9 +189,10 @@ def train(texts: list[str], langs: list[str]) -> Model:
             gradient = (gradient / n - DECAY * weights[:, label] / n).astype(np.float32)
             squares[:, label] += gradient**2
             weights[:, label] += RATE * gradient / np.sqrt(squares[:, label])
-        pairs = ahead[:-1, :, None] * step[None] * (likely[1:] * behind[1:])[:, None, :]
-        pairs /= pairs.sum(axis=(1, 2), keepdims=True)
-        gradient = (seen - pairs[inner].sum(axis=0)) / n
+        after = likely[1:][inner] * behind[1:][inner]
+        before = ahead[:-1][inner]
+        before /= ((before @ step) * after).sum(axis=1, keepdims=True)
+        gradient = (seen - step * (before.T @ after)) / n
         step_squares += gradient**2
         transitions += RATE * gradient / np.sqrt(step_squares)
     return model
