@@ -1,9 +1,15 @@
-"""Training passages that copy benchmark items: rare n-gram seeds find them, Smith-Waterman alignment scores them."""
+"""Training passages that copy benchmark items: n-gram seeds find them, Smith-Waterman alignment scores them.
+
+No seed is left out for being frequent: a much copied item's seeds are as frequent as its copies. A passage that only
+shares a usual phrase with an item is dropped before the alignment, by the words both hold, which bound its score.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import copy
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import batched
 
 import numpy as np
@@ -11,7 +17,6 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -26,6 +31,8 @@ BLOCK_ITEMS = 20_000
 SLICE_BYTES = 4 << 20
 _FILTER_BITS = 20
 _CELLS = 1 << 21
+#: Occurrences of seeds that are looked at in one step.
+_HITS = 1 << 15
 # Words are letters and digits; all other ASCII separates them.
 _SEPARATOR = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
@@ -56,10 +63,38 @@ class Seeds:
     item_ids: list
 
     def keep(self, wanted: np.ndarray) -> Seeds:
-        return Seeds(self.hash[wanted], self.item[wanted], self.at[wanted], self.sizes, self.item_words, self.item_ids)
-
-    def hits(self, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Word index in the texts and index of the seed of every occurrence of a seed."""
+        part = copy(self)
+        part.hash, part.item, part.at = self.hash[wanted], self.item[wanted], self.at[wanted]
+        return part
+
+    @cached_property
+    def held(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All words of the items; item and word of each pair that occurs, as one ascending number; and how often."""
+        size = [len(w) for w in self.item_words]
+        known, word = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.item_words]), return_inverse=True)
+        pair, times = np.unique(np.repeat(np.arange(len(size)), size) * len(known) + word, return_counts=True)
+        return known, pair, times
+
+    def most_matches(self, item: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """How many words each passage (range of hashes) has in common with its item at most, repeats counted."""
+        known, pair, times = self.held
+        size = end - start
+        total, cut = np.zeros(len(item), np.int64), np.cumsum(size) // _CELLS
+        for part in np.split(np.arange(len(item)), np.flatnonzero(np.diff(cut)) + 1):
+            n = size[part]
+            spot = np.repeat(part, n)
+            word = hashes[np.repeat(start[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            at = np.minimum(np.searchsorted(known, word), len(known) - 1)
+            wanted = item[spot] * len(known) + at
+            place = np.minimum(np.searchsorted(pair, wanted), len(pair) - 1)
+            shared = (known[at] == word) & (pair[place] == wanted)
+            found, often = np.unique(spot[shared] * len(pair) + place[shared], return_counts=True)
+            np.add.at(total, found // len(pair), np.minimum(often, times[found % len(pair)]))
+        return total
+
+    def hits(self, words: Words, hashes: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
+        """Word index in the texts and index of the seed of every occurrence of a seed; None if there are over most."""
+        total = 0
         coarse = np.zeros(1 << _FILTER_BITS, bool)
         coarse[self.hash >> np.uint64(64 - _FILTER_BITS)] = True
         found = [np.zeros((2, 0), np.int64)]
@@ -69,6 +104,9 @@ class Seeds:
             at, gram = at[likely], gram[likely]
             low, high = np.searchsorted(self.hash, gram, "left"), np.searchsorted(self.hash, gram, "right")
             n = high - low
+            total += int(n.sum())
+            if most is not None and total > most:
+                return None
             seed = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
             found.append(np.stack([np.repeat(at, n), seed]))
         return tuple(np.concatenate(found, axis=1))
@@ -91,32 +129,6 @@ def _seeds(items: list, seed_words: int) -> Seeds:
     return Seeds(gram[order], item[order].astype(np.int64), at[order].astype(np.int64), sizes, per_item, ids)
 
 
-def _rare(docs: DataFrame, seeds: Seeds) -> Seeds:
-    """The seeds that are rare within their item.
-
-    Every seed is counted in all documents. A seed stays unless it occurs in more than four times as many documents as
-    a quarter of its item's seeds do (and in over ten more): a leaked item's seeds are as frequent as its leaks, and
-    only those that are common elsewhere too go.
-    """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(seeds.hash), np.int64)
-        for batch in gathered(batches, SLICE_BYTES):
-            words, hashes = _words(batch["text"])
-            word, seed = seeds.hits(words, hashes)
-            pair = np.unique((np.searchsorted(words.first, word, "right") - 1) * len(total) + seed)
-            total += np.bincount(pair % len(total), minlength=len(total)) if len(pair) else 0
-        found = np.flatnonzero(total)
-        yield pa.record_batch({"seed": pa.array(found, pa.int64()), "n": pa.array(total[found])})
-
-    counts = docs.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    frequency = pd.Series(0, index=range(len(seeds.hash)))
-    rows = counts.toPandas()
-    frequency.loc[rows["seed"]] = rows["n"].to_numpy()
-    usual = frequency.groupby(seeds.item).transform(lambda n: n.quantile(0.25, interpolation="lower"))
-    return seeds.keep((frequency <= 4 * usual + 10).to_numpy())
-
-
 def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Best local alignment (Smith-Waterman, gaps cost the same per word) of each pair: score, and where it ends.
 
@@ -160,7 +172,19 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarr
 def _copies(column: pa.Array, seeds: Seeds, least_score: float) -> pd.DataFrame:
     """Row of the text, row of the item, score, and the words (start, end) of the best alignment of each copy."""
     words, hashes = _words(column)
-    word, seed = seeds.hits(words, hashes)
+    # Texts, and then items, are halved until a step's hits fit in memory; passages of other pairs change nothing.
+    some_items = np.unique(seeds.item)
+    one = len(column) < 2 and len(some_items) < 2
+    hits = seeds.hits(words, hashes, None if one else _HITS)
+    if hits is None and len(column) > 1:
+        half = len(column) // 2
+        left, right = (_copies(c, seeds, least_score) for c in (column[:half], column[half:]))
+        return pd.concat([left, right.assign(doc=right["doc"] + half)], ignore_index=True)
+    if hits is None:
+        upper = seeds.item >= some_items[len(some_items) // 2]
+        found = pd.concat([_copies(column, seeds.keep(p), least_score) for p in (~upper, upper)], ignore_index=True)
+        return found.sort_values(["doc", "item"], ignore_index=True)
+    word, seed = hits
     doc = np.searchsorted(words.first, word, "right") - 1
     item = seeds.item[seed]
     size = np.array([len(w) for w in seeds.item_words], np.int64)[item]
@@ -174,6 +198,9 @@ def _copies(column: pa.Array, seeds: Seeds, least_score: float) -> pd.DataFrame:
     reached = spots.groupby(["doc", "item"])["end"].cummax()
     new = (spots["start"] >= reached.shift(fill_value=0)) | (spots[["doc", "item"]].diff() != 0).any(axis=1)
     spots = spots.groupby(new.cumsum()).agg({"doc": "first", "item": "first", "start": "first", "end": "max"})
+    ranges = (spots[c].to_numpy(dtype=np.int64) for c in ("item", "start", "end"))
+    length = np.array([len(seeds.item_words[i]) for i in spots["item"]], np.int64)
+    spots = spots[seeds.most_matches(*ranges, hashes) / np.maximum(1, length) >= least_score]
     items = [seeds.item_words[i] for i in spots["item"]]
     passages = [hashes[a:b] for a, b in zip(spots["start"], spots["end"], strict=True)]
     best, last = align(items, passages)
@@ -191,14 +218,14 @@ def _copies(column: pa.Array, seeds: Seeds, least_score: float) -> pd.DataFrame:
     return spots.drop_duplicates(["doc", "item"])
 
 
-def _blocks(benchmark: DataFrame, docs: DataFrame, seed_words: int) -> Iterator[Seeds]:
-    """Rare seeds of the items, a block at a time, so that what is sent to executors stays bounded."""
+def _blocks(benchmark: DataFrame, seed_words: int) -> Iterator[Seeds]:
+    """Seeds of the items, a block at a time, so that what is sent to executors stays bounded."""
     items = benchmark.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
     rows = (tuple(r) for r in items.orderBy("item_id", "text").toLocalIterator())
     for block in batched(rows, BLOCK_ITEMS):
         seeds = _seeds(list(block), seed_words)
         if len(seeds.hash):
-            yield _rare(docs, seeds)
+            yield seeds
 
 
 def copies(
@@ -219,7 +246,7 @@ def copies(
     )
     arrow_type = to_arrow_type(item_type)
     found = docs.sparkSession.createDataFrame([], schema)
-    for seeds in _blocks(benchmark, docs, seed_words):
+    for seeds in _blocks(benchmark, seed_words):
 
         def scan(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds) -> Iterator[pa.RecordBatch]:
             for batch in gathered(batches, SLICE_BYTES):
@@ -238,7 +265,7 @@ def without_copies(
     docs: DataFrame, benchmark: DataFrame, seed_words: int = SEED_WORDS, least_score: float = LEAST_SCORE
 ) -> DataFrame:
     """The documents, with all their columns, in which copies() finds nothing. No shuffle is needed."""
-    for seeds in _blocks(benchmark, docs, seed_words):
+    for seeds in _blocks(benchmark, seed_words):
 
         def scan(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds) -> Iterator[pa.RecordBatch]:
             for batch in gathered(batches, SLICE_BYTES):

@@ -104,6 +104,23 @@ def test_clean_documents_stay_with_all_columns(spark, cases):
     assert sorted(map(str, kept.collect())) == sorted(str(r) for r in left.collect() if r["doc_id"] not in bad)
 
 
+@pytest.mark.parametrize("hits", [1 << 15, 200])
+def test_edited_and_cut_copies_in_many_documents(spark, monkeypatch, hits):
+    monkeypatch.setattr(decontaminate, "_HITS", hits)
+    item, other = [f"q{i}" for i in range(40)], [f"p{i}" for i in range(40)]
+    edited = [f"new{i}" if i % 8 == 3 else w for i, w in enumerate(item)]
+    docs = [(k, f"text {k} " + " ".join(edited)) for k in range(1000)]
+    docs += [(1000 + k, " ".join(other[:24]) + f" and {k}") for k in range(300)]
+    docs += [(2000 + k, " ".join(other[-24:])) for k in range(2)] + [(3000, " ".join(item[:6]) + " and no more")]
+    rows = [(i, f"q0 q1 q2 other{i} words{i} follow{i} here{i}", 3) for i in range(2, 30)]
+    rows += [(0, " ".join(item), 3), (1, " ".join(other), 3)]
+    left = spark.createDataFrame([(d, t, "x", 7) for d, t in docs], DOCS)
+    right = spark.createDataFrame(rows, ITEMS)
+    found = decontaminate.copies(left, right).select("doc_id", "item_id").collect()
+    assert sorted(map(tuple, found)) == [(d, int(d >= 1000)) for d, _ in docs if d < 3000]
+    assert [r["doc_id"] for r in decontaminate.without_copies(left, right).collect()] == [3000]
+
+
 def test_empty_tables(spark, cases):
     docs, items = cases
     assert found(spark, [], items) == [] and found(spark, docs, []) == []
