@@ -2,9 +2,9 @@
 
 A suffix starts at every word that has min_words - 1 words after it in its document, and is cut after min_words
 words, so a tree's nodes at that depth are the deep ones and the further extent of a repeat is a run of neighbouring
-suffixes. A suffix travels as a 64-bit key that sorts like the tree: three hash bits of each of 13 words in order,
-then 25 check bits of the whole. Equal keys are one node. Two suffixes that differ in one word have equal keys with
-probability 2^-28, unrelated ones with 2^-64.
+suffixes. A suffix's prefix, three hash bits of each of 13 words in order, says which group it belongs to. Within a
+group it is known by 80 hash bits of all its words; equal ones are one node. Two suffixes that differ, in one word or
+in all, have equal bits with probability 2^-80.
 """
 
 from __future__ import annotations
@@ -35,9 +35,9 @@ _MORE_BITS = 8
 
 
 def _suffixes(batch: pa.RecordBatch, min_words: int) -> dict[str, np.ndarray]:
-    """The suffixes of some documents in order of key, equal ones in order of doc_id.
+    """The suffixes of some documents in order of their hash bits, equal ones in order of doc_id.
 
-    doc: row of the document; lead: whether its document is the smallest of the batch with this suffix.
+    prefix: what deals a suffix to a group; key, check: 64 and 16 hash bits of all its words; doc: row of the document; lead: whether its document is the smallest of the batch with this suffix.
     """
     words = split_words(batch["text"])
     at = windows(words, min_words)
@@ -45,26 +45,28 @@ def _suffixes(batch: pa.RecordBatch, min_words: int) -> dict[str, np.ndarray]:
     hashes = word_hashes(words)
     coded = min(min_words, _CODE_BITS)
     bits = _CODE_BITS // coded
-    key = np.zeros(len(at), np.uint64)
-    whole = np.zeros(len(at), np.uint64)
+    prefix, whole, other = (np.zeros(len(at), np.uint64) for _ in range(3))
+    again = mixed(hashes + np.uint64(0xD1B54A32D192ED03))
     for k in range(min_words):
         word = hashes[at + k]
         if k < coded:
-            key |= (word >> np.uint64(64 - bits)) << np.uint64(64 - bits * (k + 1))
+            prefix |= (word >> np.uint64(64 - bits)) << np.uint64(64 - bits * (k + 1))
         whole = whole * np.uint64(0x5851F42D4C957F2D) + word
-    key |= mixed(whole) >> np.uint64(_CODE_BITS)
+        other = other * np.uint64(0x2545F4914F6CDD1D) + again[at + k]
+    key, check = mixed(whole), (mixed(other) >> np.uint64(48)).astype(np.uint16)
     ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-    order = np.argsort(key, kind="stable")  # documents stand in order of doc_id
-    key, doc = key[order], doc[order]
+    order = np.lexsort((check, key))  # documents stand in order of doc_id
+    prefix, key, check, doc = prefix[order], key[order], check[order], doc[order]
     start = at[order] - words.first[doc]
-    node, first = _nodes(key)
-    return {"key": key, "doc": doc, "start": start, "lead": ids[doc] == ids[doc[first]][node], "ids": ids}
+    node, first = _nodes(key, check)
+    lead = ids[doc] == ids[doc[first]][node]
+    return {"prefix": prefix, "key": key, "check": check, "doc": doc, "start": start, "lead": lead, "ids": ids}
 
 
-def _nodes(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _nodes(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Number of the node at full depth of each suffix of a sorted subtree, and the first suffix of each node."""
     new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
+    new[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
     return np.cumsum(new) - 1, np.flatnonzero(new)
 
 
@@ -76,17 +78,17 @@ def _with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefix_counts(docs: DataFrame, min_words: int, bits: int, parents: np.ndarray) -> pd.DataFrame:
-    """Suffixes by the first bits of their keys, below the given shorter prefixes (all, if bits is the first)."""
+    """Suffixes by the first bits of their prefixes, below the given shorter prefixes (all, if bits is the first)."""
     first = bits == _FIRST_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         totals = pd.Series(dtype="int64")
         for batch in _with_ids(batches):
             found = _suffixes(batch, min_words)
-            key = found["key"][found["lead"]]
+            whole = found["prefix"][found["lead"]]
             if not first:
-                key = key[np.isin(key >> np.uint64(64 - bits + _MORE_BITS), parents)]
-            prefix, n = np.unique(key >> np.uint64(64 - bits), return_counts=True)
+                whole = whole[np.isin(whole >> np.uint64(64 - bits + _MORE_BITS), parents)]
+            prefix, n = np.unique(whole >> np.uint64(64 - bits), return_counts=True)
             totals = totals.add(pd.Series(n, index=prefix.astype(np.int64)), fill_value=0)
         yield pa.RecordBatch.from_pydict(
             {"prefix": pa.array(totals.index, pa.int64()), "n": pa.array(totals.to_numpy().astype("int64"))}
@@ -97,7 +99,7 @@ def _prefix_counts(docs: DataFrame, min_words: int, bits: int, parents: np.ndarr
 
 
 def group_starts(docs: DataFrame, min_words: int = MIN_WORDS) -> np.ndarray:
-    """The first key of each group of suffixes.
+    """The first prefix of each group of suffixes.
 
     Prefixes of 15 bits (five words) are counted over all documents. A prefix with more suffixes than a group may
     hold is made longer by eight bits at a time; neighbouring short ones share a group. So the driver sees
@@ -161,7 +163,7 @@ def repeat_starts(docs: DataFrame, homes: int, min_words: int = MIN_WORDS) -> Da
     """
     bounds = group_starts(docs, min_words)
     per_run = {"ids": np.int64, "rows": np.int64, "counts": np.int32, "base": np.int32}
-    per_suffix = {"key": np.uint64, "step": np.uint16}
+    per_suffix = {"key": np.uint64, "check": np.uint16, "step": np.uint16}
     names = [*per_run, *per_suffix, "starts"]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,10 +177,10 @@ def repeat_starts(docs: DataFrame, homes: int, min_words: int = MIN_WORDS) -> Da
             yield pa.record_batch({"grp": pc.subtract(-1, own["home"])} | columns)
             # Within a group by document and position. A run of one document's suffixes has its number and first
             # position once, and each suffix the step from the one before.
-            key, start, doc = found["key"][lead], found["start"][lead], doc[lead]
-            group = np.searchsorted(bounds, key, "right") - 1
-            order = np.lexsort((start, doc, group))
-            key, start, doc, group = key[order], start[order], doc[order], group[order]
+            group = np.searchsorted(bounds, found["prefix"][lead], "right") - 1
+            columns = [found["key"][lead], found["check"][lead], found["start"][lead], doc[lead], group]
+            order = np.lexsort(columns[2:])
+            key, check, start, doc, group = (c[order] for c in columns)
             step = np.diff(start, prepend=0)
             new = (np.diff(group, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0) | (step > 0xFFFF)
             first = np.flatnonzero(new)
@@ -186,7 +188,7 @@ def repeat_starts(docs: DataFrame, homes: int, min_words: int = MIN_WORDS) -> Da
             counts = np.diff(np.append(first, len(doc))).astype(np.int32)
             head = {"ids": found["ids"][doc[first]], "rows": row[doc[first]], "counts": counts}
             head = _pack(group[first], head | {"base": start[first].astype(np.int32)}, "grp")
-            each = _pack(group, {"key": key, "step": step.astype(np.uint16)}, "grp")
+            each = _pack(group, {"key": key, "check": check, "step": step.astype(np.uint16)}, "grp")
             columns = {n: head[n] for n in per_run} | {n: each[n] for n in per_suffix}
             columns["starts"] = pa.nulls(each.num_rows, pa.binary())
             yield pa.record_batch({"grp": each["grp"]} | columns)
@@ -197,10 +199,10 @@ def repeat_starts(docs: DataFrame, homes: int, min_words: int = MIN_WORDS) -> Da
             return pa.table({"home": home, "rows": table["rows"], "starts": table["starts"]})
         columns = per_run | per_suffix
         part = {n: _numbers(table[n], kind) for n, kind in columns.items()}
-        order = np.argsort(part["key"])
+        order = np.lexsort((part["check"], part["key"]))
         run = np.repeat(np.arange(len(part["counts"]), dtype=np.int32), part["counts"])
         ids = part["ids"][run[order]]
-        node, first = _nodes(part["key"][order])
+        node, first = _nodes(part["key"][order], part["check"][order])
         least = np.minimum.reduceat(ids, first) if len(first) else ids
         later = order[ids > least[node]]
         moved = np.cumsum(part["step"], dtype=np.int64)

@@ -64,6 +64,17 @@ def test_other_window_sizes(spark, cases, n):
     assert result(substrings.repeats(df, n)) == brute(cases, n)
 
 
+def test_templates_with_one_differing_word_are_no_repeats(spark):
+    # Pairs of names whose windows agree in 39 bits of prefix and 25 of the whole.
+    pairs = [(188344, 211011), (98124, 142110), (14948, 133453), (12193, 47440), (203048, 297474), (87424, 116209)]
+    names = [n for pair in pairs for n in pair]
+    words = [f"t{i}" for i in range(13)]
+    rows = [(i, " ".join(words[:6] + [f"name{n}"] + words[7:])) for i, n in enumerate(names)]
+    for parts in (1, 12):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        assert result(substrings.repeats(df)) == brute(rows)
+
+
 def test_spans_are_the_removed_runs(spark):
     passage = " ".join(f"p{i}" for i in range(20))
     rows = [(1, passage), (2, "x y " + passage + " z")]
