@@ -22,7 +22,8 @@ PIECE_WORDS, SEQUENCE_PIECES = 40, 8
 EPOCHS, RATE, DECAY = 12, 0.5, 1e-4
 SLICE_BYTES = 1 << 20
 UNKNOWN = "und"
-#: Below this mean probability of its best label a document's language counts as unknown to accepted().
+#: accepted() leaves out documents whose words are in other languages than these with less than this mean probability.
+REJECTED = frozenset({UNKNOWN})
 LEAST_SCORE = 0.4
 # Words are ASCII letters and all bytes of other scripts.
 _SEPARATOR = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
@@ -273,17 +274,24 @@ def word_labels(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(label, schema)
 
 
-def accepted(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE) -> DataFrame:
-    """The documents, with all their columns, whose language is known with at least the given score."""
+def accepted(
+    docs: DataFrame, model: Model, least_score: float = LEAST_SCORE, rejected: frozenset[str] = REJECTED
+) -> DataFrame:
+    """The documents, with all their columns, that hold a letter and are not mostly in rejected languages.
+
+    The mean word probabilities of all other labels are added up, so a text may be spread over any number of them; it
+    goes if the sum is below the given score. Where the model has no rejected label, that sum is 1 for every text.
+    """
+    known = np.array([label not in rejected for label in model.labels], bool)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, SLICE_BYTES):
-            good = np.zeros(batch.num_rows, bool)
-            if model.labels:
+            good = np.array([_has_letter(t) for t in batch["text"].to_pylist()], bool)
+            if not known.all():
                 words, chance = _label(batch["text"], model)
                 for row, (a, b) in enumerate(zip(words.first[:-1], words.first[1:], strict=True)):
-                    if a < b and _has_letter(batch["text"][row].as_py()):
-                        good[row] = chance[a:b].mean(axis=0).max() >= least_score
+                    if a < b and good[row]:
+                        good[row] = chance[a:b, known].sum(axis=1).mean() >= least_score
             yield batch.filter(pa.array(good))
 
     return docs.mapInArrow(keep, docs.schema)

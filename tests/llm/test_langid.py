@@ -73,6 +73,20 @@ def test_documents_without_letters_and_long_ones(spark, model):
     assert {r["doc_id"] for r in kept.collect()} >= {5, None} and not {1, 2, 3} & {r["doc_id"] for r in kept.collect()}
 
 
+def test_texts_in_several_languages_and_short_ones_are_accepted(spark, model):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("length(text) > 500").orderBy("doc_id")
+    texts = [docs.where(f"lang = '{lang}'").first()["text"] for lang in ("en", "fr", "de", "es")]
+    pieces = [" ".join([w for w in t.split() if w.isalpha()][:40]) for t in texts]
+    rows = [(1, " ".join(pieces)), (2, " ".join(pieces[:3])), (3, "ж"), (4, "qqzx"), (5, "Ελλάδα και"), (6, "12 3!"), (7, None), (8, "€ §")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["doc_id"] for r in langid.accepted(df, model).orderBy("doc_id").collect()] == [1, 2, 3, 4, 5]
+    assert [r["doc_id"] for r in langid.accepted(df, langid.learn(df.selectExpr("*", "string(null) lang"))).orderBy("doc_id").collect()] == [1, 2, 3, 4, 5]
+    rejected = langid.accepted(df, model, rejected=frozenset({"fr"})).orderBy("doc_id").collect()
+    assert {1, 2} <= {r["doc_id"] for r in rejected}
+    only = spark.createDataFrame(list(enumerate(pieces)), "doc_id long, text string")
+    assert [r["doc_id"] for r in langid.accepted(only, model, rejected=frozenset({"fr"})).orderBy("doc_id").collect()] == [0, 2, 3]
+
+
 def test_nothing_to_learn_from(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     model = langid.learn(empty)

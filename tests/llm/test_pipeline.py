@@ -45,6 +45,11 @@ def test_language_rejects_texts_without_letters_only(stages):
     assert set(after) <= set(before)
 
 
+def test_language_keeps_every_text_with_letters(stages):
+    gone = {d for d, _ in rows(stages[0])} - {d for d, _ in rows(stages[1])}
+    assert gone == {d for d, t in rows(stages[0]) if not any(c.isalpha() for c in t or "")}
+
+
 def test_near_duplicates(stages):
     first = {d for d, _, c in test_simhash.brute(rows(stages[1])) if d == c}
     assert rows(stages[2]) == [r for r in rows(stages[1]) if r[0] in first]
