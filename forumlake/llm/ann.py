@@ -19,7 +19,8 @@ SAMPLE_ROWS = 20_000
 LIST_VECTORS = 100
 #: Lists a vector may be in, and how much farther than the nearest centroid another may be for that.
 REPLICAS, REPLICA_RATIO = 8, 1.2
-#: Candidates the centroid search keeps for a vector to place and for a query, and links of a centroid.
+#: Candidates the centroid search keeps for a vector to place and for a query, and links of a centroid. A query whose
+#: lists go on past its candidates is compared with all centroids.
 PLACE_BEAM, SEARCH_BEAM, LINKS = 16, 128, 16
 #: A query reads the lists whose centroid is at most so many times as far as the nearest one.
 SEARCH_RATIO = 1.12
@@ -27,6 +28,7 @@ SEARCH_RATIO = 1.12
 BLOCK_VECTORS = 4096
 _PIVOTS = 32
 _BATCH = 2048
+_WIDE = 256
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -96,6 +98,39 @@ class Centroids:
         return candidate, distance
 
 
+    def _all(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All centroids for each query, nearest first, with their distances."""
+        square = (queries**2).sum(axis=1)[:, None] - 2 * queries @ self.points.T + (self.points**2).sum(axis=1)[None]
+        away = np.sqrt(np.maximum(square, 0))
+        order = np.argsort(away, axis=1, kind="stable")
+        return order, np.take_along_axis(away, order, 1)
+
+    def lists(self, queries: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Query and list of each list that a query reads: all that are near enough, more until they hold least vectors."""
+        n = len(self.points)
+
+        def chosen(rows: np.ndarray, near: np.ndarray, away: np.ndarray):
+            held = np.where(near < n, sizes[np.minimum(near, n - 1)], 0)
+            before = np.cumsum(held, axis=1) - held
+            wanted = (away <= SEARCH_RATIO * away[:, :1]) | (before < least)
+            row, place = np.nonzero(wanted & (near < n) & (held > 0))
+            return wanted[:, -1] | (near[:, -1] == n), rows[row], near[row, place]
+
+        rows = np.arange(len(queries))
+        if not len(rows):
+            return rows, rows
+        goes_on, row, found = chosen(rows, *self.search(queries, SEARCH_BEAM))
+        if n <= SEARCH_BEAM:
+            return row, found
+        ends = ~goes_on[row]
+        parts = [(row[ends], found[ends])]
+        wide = rows[goes_on]
+        for at in range(0, len(wide), _WIDE):
+            some = wide[at : at + _WIDE]
+            parts.append(chosen(some, *self._all(queries[some]))[1:])
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
 def fit(sample: np.ndarray, lists: int) -> Centroids:
     """Centroids of clusters of equal size: the sample is halved again and again where it spreads most."""
     rng = np.random.default_rng(5)
@@ -197,11 +232,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, sample_rows: in
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values, ids = _matrix(batch["embedding"]), batch["vec_id"].to_numpy()
-            near, away = centroids.search(values.astype(np.float64), SEARCH_BEAM)
-            held = np.where(near < lists, sizes[np.minimum(near, lists - 1)], 0)
-            wanted = (away <= SEARCH_RATIO * away[:, :1]) | (np.cumsum(held, axis=1) - held < 4 * k)
-            row, place = np.nonzero(wanted & (near < lists) & (held > 0))
-            chosen = near[row, place]
+            row, chosen = centroids.lists(values.astype(np.float64), sizes, 4 * k)
             n = blocks[chosen]
             block = np.repeat(first[chosen] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             row = np.repeat(row, n)

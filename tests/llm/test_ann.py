@@ -88,6 +88,22 @@ def test_lists_are_balanced_and_the_graph_finds_near_centroids():
     assert np.bincount(near[:, 0], minlength=len(centroids.points)).max() < 6 * len(sample) / 64
 
 
+def test_recall_does_not_depend_on_the_width_of_the_graph_search(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(4000, 64))
+    points = (points / np.linalg.norm(points, axis=1, keepdims=True)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(points)]
+    df = frame(spark, rows)
+    monkeypatch.setattr(ann, "LIST_VECTORS", 20)
+    wanted = {(q, i) for q, near in brute(rows, lambda i: i % 100 == 0).items() for _, i in near}
+    hits = {}
+    for beam in (16, 1000):
+        monkeypatch.setattr(ann, "SEARCH_BEAM", beam)
+        found = result(ann.nearest(df.where("vec_id % 100 = 0"), df))
+        hits[beam] = len({(q, i) for q, near in found.items() for _, i in near} & wanted) / len(wanted)
+    assert hits[16] >= hits[1000] - 0.03
+
+
 @pytest.mark.parametrize("sf", ["0.01", "0.1"])
 def test_recall_of_the_query(spark, sf):
     sf_dir = f"/root/testdata/sf{sf}"
