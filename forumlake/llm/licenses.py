@@ -28,6 +28,12 @@ _GNU = (
     "by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
 )
 _GNU_OLD = _GNU.replace("software: you", "software; you").replace("Foundation, either", "Foundation; either")
+_LIBRARY_OLD = _GNU_OLD.replace("This program", "This library")
+_SPDX = (
+    "Apache-2.0", "MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "Unlicense", "CC0-1.0", "CC-BY-4.0",
+    "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0",
+    *(f"{name}-{kind}" for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for kind in ("only", "or-later")),
+)
 NOTICES: list[tuple[str, str]] = [
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
                    "compliance with the License."),
@@ -53,6 +59,15 @@ NOTICES: list[tuple[str, str]] = [
     ("LGPL-3.0-or-later", _GNU.format(name="GNU Lesser General Public License", version=3)),
     ("AGPL-3.0-or-later", _GNU.format(name="GNU Affero General Public License", version=3)),
     ("GPL-2.0-or-later", _GNU_OLD.format(name="GNU General Public License", version=2)),
+    ("GPL-3.0-or-later", _GNU_OLD.format(name="GNU General Public License", version=3)),
+    ("LGPL-2.1-or-later", _GNU_OLD.format(name="GNU Lesser General Public License", version=2.1)),
+    ("LGPL-3.0-or-later", _GNU_OLD.format(name="GNU Lesser General Public License", version=3)),
+    ("AGPL-3.0-or-later", _GNU_OLD.format(name="GNU Affero General Public License", version=3)),
+    ("LGPL-2.1-or-later", _LIBRARY_OLD.format(name="GNU Lesser General Public License", version=2.1)),
+    ("LGPL-3.0-or-later", _LIBRARY_OLD.format(name="GNU Lesser General Public License", version=3)),
+    ("LGPL-2.0-or-later", _LIBRARY_OLD.format(name="GNU Library General Public License", version=2)),
+    ("LGPL-2.1-or-later", _GNU.replace("This program", "This library").format(name="GNU Lesser General Public License", version=2.1)),
+    ("LGPL-3.0-or-later", _GNU.replace("This program", "This library").format(name="GNU Lesser General Public License", version=3)),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
@@ -68,11 +83,13 @@ NOTICES: list[tuple[str, str]] = [
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
     ("All-rights-reserved", "All rights reserved."),
+    *((name, f"SPDX-License-Identifier: {name}") for name in _SPDX),
 ]
 
-# Where sentences end: after stops, with lines either ends themselves or wrapped (then a blank line ends a sentence).
+# Where sentences end: after stops, with lines either ends themselves or wrapped (then a blank line ends a sentence, also
+# one that holds nothing but marks, such as those that begin the lines of a comment).
 BY_LINE = "[.!?;:]+[ \\t]+|[\\r\\n]+"
-WRAPPED = "[.!?;:]+[ \\t\\r\\n]+|[\\r\\n][ \\t]*[\\r\\n]+"
+WRAPPED = "[.!?;:]+[ \\t\\r\\n]+|[\\r\\n][^A-Za-z0-9\\r\\n]*[\\r\\n]+"
 _END = "\x01"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -98,7 +115,8 @@ def _sequence(text: Column, ends: str, known: dict[str, str]) -> Column:
     cut = F.translate(F.regexp_replace(text, ends, _END), _UPPER, _LOWER)
     parts = F.split(F.regexp_replace(cut, "[^a-z0-9\x01]+", " "), _END)
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    found = F.filter(F.transform(parts, lambda s: table[F.trim(s)]), lambda i: i.isNotNull())
+    # A set is looked up by hash, a map of constants entry by entry.
+    found = F.transform(F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s.isin(*known)), lambda s: table[s])
     return F.array_join(F.transform(found, lambda i: F.concat(F.lit(" "), i, F.lit(" "))), "")
 
 

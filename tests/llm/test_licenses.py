@@ -41,3 +41,26 @@ def test_awkward_rows(spark):
     result = sorted(((r["doc_id"], r["licences"]) for r in licenses.licenses(df).collect()), key=str)
     assert result == [(4, "CC-BY-NC-4.0"), (5, "MIT"), (5, "MIT"), (None, "All-rights-reserved")]
     assert licenses.licenses(df.limit(0)).collect() == []
+
+
+def test_headers_in_comments(spark):
+    gnu = (
+        "This {kind} is free software; you can redistribute it and/or\nmodify it under the terms of the GNU {name}\n"
+        "General Public License as published by the Free Software\nFoundation; either version {version} of the License, or\n"
+        "(at your option) any later version."
+    )
+    wanted = [
+        ("program", "", 3, "GPL-3.0-or-later"), ("program", "", 2, "GPL-2.0-or-later"),
+        ("library", "Lesser", 2.1, "LGPL-2.1-or-later"), ("program", "Affero", 3, "AGPL-3.0-or-later"),
+    ]
+    rows, licences = [], []
+    for kind, name, version, licence in wanted:
+        for lead, begin, end in ((" *", "/*\n", "\n */"), ("#", "#!/bin/sh\n", ""), ("//", "", "")):
+            lines = f"Copyright (C) 2020 Foo\n\n{gnu.format(kind=kind, name=name, version=version)}\n\nIt comes without any warranty"
+            text = begin + "\n".join(f"{lead} {line}".rstrip() for line in lines.split("\n")) + end + "\nint main;"
+            licences.append((len(rows), licence))
+            rows.append((len(rows), text))
+    for text, licence in (("// SPDX-License-Identifier: LGPL-2.1-only\nint x;", "LGPL-2.1-only"), ("# SPDX-License-Identifier: MIT\n", "MIT")):
+        licences.append((len(rows), licence))
+        rows.append((len(rows), text))
+    assert found(spark, rows) == licences
