@@ -1,4 +1,4 @@
-"""Repeated passages across documents, by suffix trees that are split into groups by variable-length prefixes.
+"""Repeated passages across documents, by suffixes of fixed depth in groups by variable-length prefixes; no tree is built.
 
 A suffix starts at every word that has min_words - 1 words after it in its document, and is cut after min_words
 words, so a tree's nodes at that depth are the deep ones and the further extent of a repeat is a run of neighbouring
@@ -255,7 +255,8 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     A window is min_words consecutive words (bytes between ASCII white space). A word goes if a window over it also
     starts in a document with a smaller doc_id. Windows are judged on the input. spans holds the removed runs
-    of words (start, end), which are the repeats at their full length; kept_text is the other words, joined by a space.
+    of words (start, end), whose windows may come from different documents; kept_text is the other words, joined by a
+    space.
     A null, empty or short text has no window. Rows with the same doc_id never remove one another's words; a null
     doc_id takes no part. Other columns are not read, and repeated rows give repeated rows.
     """
