@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlake.llm import ann, decontaminate, langid, licenses, packing, quality, simhash, substrings, token_files, toxicity
+from forumlake.llm import (
+    ann,
+    best_fit,
+    collocations,
+    decontaminate,
+    langid,
+    licenses,
+    packing,
+    prefix_trie,
+    quality,
+    simhash,
+    substrings,
+    token_files,
+    toxicity,
+)
 from forumlake.llm.docs import table
 from forumlake.llm.sampling import remainder
 from forumlake.session import new_dir
@@ -67,6 +81,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    head = "crc32(CAST(CAST(conv_id AS STRING) AS BINARY)) % 9"
+    return prefix_trie.trie(*prefix_trie.with_heads(turns, base="conv_id - conv_id % 5", head=head, longest=8))
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return best_fit.pack(table(spark, sf_dir, "documents"), path, keeps_space=False, end_id=0, window=2048)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=10, top=2000, subsumed_percent=50)
+
+
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_vectors": op2_vectors,
@@ -78,6 +107,9 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_best_fit": op12_best_fit,
+    "op13_collocations": op13_collocations,
 }
 
 #: SQL of the queries that SQL can express.
