@@ -147,6 +147,8 @@ def _stripes(docs: DataFrame, buckets: int, hot: tuple[np.ndarray, np.ndarray])
                 hashes = _hashes(words)
                 for k, lang in enumerate(langs):
                     own = rows[:, language == k]
+                    if not own.size:
+                        continue  # a language of the slice without words in this run
                     entry, n = np.unique(own[0] << 2 * _BITS | own[1] << _BITS | own[2], return_counts=True)
                     own = np.stack([entry >> 2 * _BITS, entry >> _BITS & ((1 << _BITS) - 1), entry & ((1 << _BITS) - 1)])
                     home = (_home(lang, hashes, own, hot) % np.uint64(buckets)).astype(np.int64)
