@@ -22,11 +22,11 @@ from forumlake.llm.words import Words, gathered, lowered, mixed, raw, split_word
 from forumlake.session import stored
 
 LEAST, TOP, SUBSUMED_PERCENT = 10, 2000, 50
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 #: Words of a slice whose stripes are built at once; word numbers and the end of a piece fit in 21 bits.
 CHUNK_WORDS = (1 << 21) - 8
 #: Text that a bucket of stripes stands for.
-BUCKET_BYTES, LEAST_BUCKETS = 12 << 20, 48
+BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 48
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
 _GAPS = _BREAKS.copy()
