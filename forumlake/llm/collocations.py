@@ -27,6 +27,7 @@ SLICE_BYTES = 8 << 20
 CHUNK_WORDS = (1 << 21) - 8
 #: Text that a bucket of stripes stands for.
 BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 48
+RANK_SLICES = 256
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
 _GAPS = _BREAKS.copy()
@@ -241,7 +242,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
         for lang in sorted(by_lang):
             yield _merged(lang, by_lang.pop(lang), least, hot)
 
-    found = _stripes(docs, buckets, hot).groupBy("bucket").applyInArrow(merge, _COUNTS)
+    found = _stripes(docs, buckets, hot).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(merge, _COUNTS)
     words = ["lang", "first", "second", "third"]
     summed = found.groupBy(*words).agg(F.sum("f").alias("f"), F.max("extension").alias("extension"))
     return stored(summed.where((F.col("f") >= least) | F.col("first").isNull()))
@@ -296,7 +297,12 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, subsumed_p
         F.when(later, F.col("r2")).otherwise(F.col("r1")).alias("r"),
         F.least("s1", "s2").alias("score"),
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = two.unionByName(three).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # Best phrases of each slice first, so that a language is never ranked whole.
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    sliced = two.unionByName(three).withColumn("slice", F.pmod(F.xxhash64("phrase"), F.lit(RANK_SLICES)))
+    of_slice = F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*order))
+    best = sliced.withColumn("rank", of_slice).where(F.col("rank") <= top).drop("rank", "slice")
+    of_lang = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    best = best.withColumn("rank", of_lang).where(F.col("rank") <= top)
     totals = counts.where("first IS NULL").select("lang", F.col("f").alias("n"))
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")

@@ -13,6 +13,8 @@ BATCH_ROWS = 1000
 def prepared(spark: SparkSession) -> SparkSession:
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    # Tasks cut ranked groups to their first rows before the shuffle up to this limit.
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
     return spark
 
 
