@@ -242,7 +242,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
         for lang in sorted(by_lang):
             yield _merged(lang, by_lang.pop(lang), least, hot)
 
-    found = _stripes(docs, buckets, hot).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(merge, _COUNTS)
+    # One task for each bucket; a hash of the bucket would put several into one.
+    dealt = _stripes(docs, buckets, hot).repartitionById(buckets, F.col("bucket").cast("int"))
+    found = dealt.mapInArrow(merge, _COUNTS)
     words = ["lang", "first", "second", "third"]
     summed = found.groupBy(*words).agg(F.sum("f").alias("f"), F.max("extension").alias("extension"))
     return stored(summed.where((F.col("f") >= least) | F.col("first").isNull()))
