@@ -32,11 +32,16 @@ def fct_stories(staged: DataFrame) -> DataFrame:
     the uniqueness check on dim_users.user_name reports that, and fct_stories_joined, which
     build_models then takes, keeps the lookup.
     """
-    return _stories_with_comments(staged).select(
+    return _stories_with_comments(staged).select(*fact_columns())
+
+
+def fact_columns() -> list:
+    """The fact's columns, from stories joined to their comment rollup."""
+    return [
         F.when(F.col("item_id").isNotNull(), surrogate_key("item_id")).alias("item_key"),
         F.when(F.col("author").isNull(), F.lit(UNKNOWN_USER_KEY)).otherwise(surrogate_key("author")).alias("user_key"),
         *_measures(),
-    )
+    ]
 
 
 def fct_stories_joined(staged: DataFrame, items: DataFrame, users: DataFrame, **hot) -> DataFrame:

@@ -74,6 +74,36 @@ def engagement(staged: DataFrame, days: int = 7, period: str | None = None) -> D
     ).withColumn("engaged_pct", F.try_divide(F.lit(100.0) * F.col("engaged_stories"), F.col("stories")))
 
 
+def comments_by_age(staged: DataFrame, days: int = 7, unit: str = "HOUR", slices: int = 28) -> DataFrame:
+    """story_id, age (whole units, cut toward zero), comments: direct comments in a story's first `days` days.
+
+    Comments from the story's time on to exactly `days` days later count; ages without any have no row. Time is cut into
+    slices of the window: a story stands in each slice its window meets, a comment in one, and they are joined on
+    story and slice. So the comments of a much discussed story are spread over as many keys as there are slices, and
+    earlier or later ones meet no story.
+    """
+    width = days * 86400 * 1_000_000 // slices
+
+    def slice_of(ts: Column) -> Column:
+        return F.floor(F.unix_micros(ts) / F.lit(width)).cast("bigint")
+
+    end = F.col("created_at") + F.make_dt_interval(F.lit(days))
+    stories = staged.filter((F.col("item_type") == "story") & F.col("created_at").isNotNull()).select(
+        F.col("item_id").alias("story_id"),
+        "created_at",
+        end.alias("until"),
+        F.explode(F.sequence(slice_of(F.col("created_at")), slice_of(end))).alias("slice"),
+    )
+    comments = staged.filter((F.col("item_type") == "comment") & F.col("parent_id").isNotNull()).select(
+        F.col("parent_id").alias("story_id"), F.col("created_at").alias("said_at"), slice_of(F.col("created_at")).alias("slice")
+    )
+    # Comments of one second become one row before they are shuffled.
+    counted = comments.groupBy("story_id", "slice", "said_at").agg(F.count(F.lit(1)).alias("n"))
+    met = counted.join(stories, ["story_id", "slice"]).filter(F.col("said_at").between(F.col("created_at"), F.col("until")))
+    age = whole_units(unit, "created_at", "said_at").alias("age")
+    return met.groupBy("story_id", age).agg(F.sum("n").alias("comments"))
+
+
 def comment_rate(items: DataFrame, period: str | None = None) -> DataFrame:
     """Comments per story, overall or per period; NULL for a period without stories."""
     grouped = items.groupBy(period_start("created_at", period)) if period else items.groupBy()

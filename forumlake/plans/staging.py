@@ -9,7 +9,7 @@ STAGED_COLUMNS = [
 ]
 
 # Compared in this order where two versions came in the same file; the long texts come last.
-_TIES = ["created_at", "item_type", "author", "parent_id", "score", "descendants", "ingest_date_str"]
+TIES = ["created_at", "item_type", "author", "parent_id", "score", "descendants", "ingest_date_str"]
 TEXTS = ["title", "url", "text_content"]
 
 
@@ -23,7 +23,7 @@ def staged_items(silver: DataFrame, texts: list[str] = TEXTS) -> DataFrame:
     if texts != TEXTS[: len(texts)]:
         raise ValueError(f"texts must be the beginning of {TEXTS}")
     columns = [c for c in STAGED_COLUMNS if c in texts or c not in TEXTS]
-    return latest_version(silver.select(*columns), ["item_id"], ["ingest_date", "source_file"], _TIES + texts)
+    return latest_version(silver.select(*columns), ["item_id"], ["ingest_date", "source_file"], TIES + texts)
 
 
 def item_history(silver: DataFrame) -> DataFrame:

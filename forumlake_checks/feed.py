@@ -108,6 +108,26 @@ def event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_discussion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as stories and comments: clicks, views and purchases are versions of a user's three stories, signups and
+    errors versions of comments on them. Later versions may move a story to another day and a comment to another story."""
+    story = F.col("event_type").isin("click", "view", "purchase")
+    kind = F.element_at(F.array(F.lit(4), F.lit(5), F.lit(8)), (F.col("event_id") % 3 + 1).cast("int"))
+    return _silver(
+        table(spark, sf_dir, "events"),
+        item_id=F.when(story, F.col("user_id") * 100 + F.length("event_type")).otherwise(
+            1_000_000 + (F.col("event_id") * 7) % 5000
+        ),
+        item_type=F.when(story, "story").otherwise("comment"),
+        author=F.when(F.col("event_id") % 11 != 0, F.concat(F.lit("user"), F.col("user_id").cast("string"))),
+        created_at=F.col("ts").cast("timestamp"),
+        parent_id=F.when(~story, F.col("user_id") * 100 + kind),
+        score=F.floor("value"),
+        descendants=F.get_json_object("props", "$.k").cast("bigint"),
+        source_file=F.concat(F.lit("events-"), F.lpad(F.col("event_id").cast("string"), 12, "0")),
+    )
+
+
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as raw JSON lines with their ingest day; the props object is a nested field."""
     events = table(spark, sf_dir, "events")
@@ -168,3 +188,16 @@ silver AS (
            'events-' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS source_file
     FROM events
 )"""
+
+DISCUSSION_SILVER_SQL = """
+silver AS (
+    SELECT CASE WHEN story THEN user_id * 100 + length(event_type) ELSE 1000000 + (event_id * 7) % 5000 END AS item_id,
+           CASE WHEN story THEN 'story' ELSE 'comment' END AS item_type,
+           CASE WHEN event_id % 11 <> 0 THEN 'user' || user_id END AS author, ts AS created_at,
+           CAST(NULL AS VARCHAR) AS title, CAST(NULL AS VARCHAR) AS text_content, CAST(NULL AS VARCHAR) AS url,
+           CASE WHEN NOT story
+                THEN user_id * 100 + CASE event_id % 3 WHEN 0 THEN 4 WHEN 1 THEN 5 ELSE 8 END END AS parent_id,
+           CAST(floor(value) AS BIGINT) AS score, CAST(json_extract_string(props, '$.k') AS BIGINT) AS descendants,
+           'events-' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS source_file
+    FROM (SELECT *, event_type IN ('click', 'view', 'purchase') AS story FROM events)
+)"""

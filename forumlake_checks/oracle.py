@@ -1,6 +1,6 @@
 """The same results as plain SQL over the provided tables."""
 
-from forumlake_checks.feed import EVENT_SILVER_SQL, SILVER_SQL
+from forumlake_checks.feed import DISCUSSION_SILVER_SQL, EVENT_SILVER_SQL, SILVER_SQL
 
 _TIES = "created_at, item_type, author, parent_id, score, descendants, ingest_date_str, title, url, text_content"
 _STAGED = f"""
@@ -195,6 +195,11 @@ _REPORT = "\nUNION ALL\n".join(
     ]
 )
 
+_EVENT_TREE = """
+        SELECT event_id AS item_id, CASE WHEN event_id - 1 - k >= 0 THEN event_id - 1 - k END AS parent_id,
+               CASE WHEN event_id - 1 - k >= 0 THEN 'comment' WHEN k > 60 THEN 'poll' ELSE 'story' END AS item_type
+        FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"""
+
 ORACLE: dict[str, str] = {
     "staged_items": _parsed(f"SELECT {_STAGED_COLUMNS} FROM stg"),
     "staged_event_states": _event_states(f"SELECT {_STAGED_COLUMNS} FROM stg"),
@@ -231,6 +236,28 @@ ORACLE: dict[str, str] = {
     "story_analytics": _view("SELECT * FROM vw"),
     "kpi_tiles": _view(_KPIS),
     "kpi_tiles_1997": _view(_KPIS + " WHERE created_at_date BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'"),
+    "kpi_tiles_from_days": _view("""
+        SELECT r.name AS range, count(DISTINCT item_id) AS total_stories, count(DISTINCT user_key) AS active_authors,
+               TRUE AS stories_within, TRUE AS authors_within, round(avg(total_comments), 6) AS avg_comments_per_story,
+               round(avg(time_to_first_comment_minutes), 6) AS avg_minutes_to_first_comment
+        FROM vw JOIN (VALUES ('all', FALSE), ('1997', TRUE)) AS r(name, one_year)
+            ON NOT r.one_year OR created_at_date BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'
+        GROUP BY r.name"""),
+    "authors_of_two_years": _view("""
+        , per_author AS (
+            SELECT user_key, bool_or(year(created_at_date) = 1996) AS a, bool_or(year(created_at_date) = 1997) AS b
+            FROM vw GROUP BY 1
+        )
+        SELECT count(*) FILTER (a) AS first_authors, count(*) FILTER (b) AS second_authors,
+               count(*) FILTER (a AND b) AS both_authors, count(*) FILTER (a AND NOT b) AS first_only_authors,
+               TRUE AS within
+        FROM per_author"""),
+    "quantiles_from_days": _view("""
+        SELECT 'score' AS value, count(score) AS n, TRUE AS median_within, TRUE AS p90_within
+        FROM vw WHERE created_at_date BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'
+        UNION ALL
+        SELECT 'time_to_first_comment_minutes', count(time_to_first_comment_minutes), TRUE, TRUE
+        FROM vw WHERE created_at_date BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'"""),
     "activity_trend": _view("""
         SELECT created_at_date, count(DISTINCT item_id) AS stories, count(DISTINCT user_key) AS authors
         FROM vw GROUP BY 1"""),
@@ -262,6 +289,11 @@ ORACLE: dict[str, str] = {
                quantile_disc(time_to_first_comment_minutes, 0.9) AS p90_minutes,
                quantile_disc(time_to_first_comment_minutes, 0.99) AS p99_minutes FROM fct"""),
     "engagement_7d": _parsed(f"SELECT {_ENGAGEMENT}"),
+    "comments_by_hour": _parsed("""
+        SELECT s.item_id AS story_id, date_sub('hour', s.created_at, c.created_at) AS age, count(*) AS comments
+        FROM stg s JOIN stg c ON c.parent_id = s.item_id AND c.item_type = 'comment'
+        WHERE s.item_type = 'story' AND c.created_at BETWEEN s.created_at AND s.created_at + INTERVAL 7 DAY
+        GROUP BY 1, 2"""),
     "engagement_funnel": _parsed(f"""
         SELECT CAST(date_trunc('month', s.created_at) AS DATE) AS period, {_ENGAGEMENT} GROUP BY 1"""),
     "comment_rate": _parsed(f"SELECT {_RATE}"),
@@ -395,6 +427,11 @@ ORACLE: dict[str, str] = {
                CAST(NULL AS DOUBLE) AS avg_comments_per_story,
                quantile_disc(CAST(json_extract_string(props, '$.k') AS BIGINT), 0.5) AS median_story_score
         FROM events GROUP BY 1""",
+    "incremental_marts": _with(DISCUSSION_SILVER_SQL, _STAGED, _ITEMS, _USERS, _FACTS, then="""
+        SELECT CAST(created_at AS DATE) AS story_date, count(item_key) AS stories_per_day,
+               round(avg(total_comments), 6) AS avg_comments_per_story,
+               quantile_disc(score, 0.5) AS median_story_score, count(DISTINCT user_key) AS active_authors_per_day
+        FROM fct GROUP BY 1"""),
     "day_state": _with(_TOTALS, then="""
         SELECT ingest_date, file_count + CASE WHEN ingest_date >= '2024-01-16' THEN 1 ELSE 0 END AS file_count, total_bytes,
                CAST(CASE WHEN ingest_date >= '2024-01-16' THEN 2 ELSE 1 END AS BIGINT) AS run_id
@@ -404,10 +441,8 @@ ORACLE: dict[str, str] = {
                CASE WHEN turn > 0 THEN conv_id * 1000 + turn - 1 END AS parent_id,
                CASE WHEN turn = 0 THEN 'story' ELSE 'comment' END AS item_type
         FROM conversations"""),
-    "event_threads": _threads("""
-        SELECT event_id AS item_id, CASE WHEN event_id - 1 - k >= 0 THEN event_id - 1 - k END AS parent_id,
-               CASE WHEN event_id - 1 - k >= 0 THEN 'comment' WHEN k > 60 THEN 'poll' ELSE 'story' END AS item_type
-        FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"""),
+    "event_threads": _threads(_EVENT_TREE),
+    "threads_by_delivery": _threads(_EVENT_TREE),
     "stream_landed_to_silver": f"SELECT {_EVENT_ROW} FROM events",
     "stream_late_days": f"""
         SELECT {_DAY} AS ingest_date, count(*) AS n_rows,

@@ -9,14 +9,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from forumlake_checks import feed
 from forumlake.functions import day_string
+from forumlake.operators import thread_store
 from forumlake.operators.threads import expand_threads
 from forumlake.operators.versions import latest_version
-from forumlake.plans import dashboard, dims, facts, marts, metrics, quality, staging
+from forumlake.plans import dashboard, dims, facts, incremental, marts, metrics, quality, sketches, staging
 from forumlake.plans.pipeline import build_models, land_new_items, parse_changed_days
 from forumlake.session import configure, new_dir, stored
 from forumlake.sources import bronze, control, silver
 from forumlake.streaming import jobs
 
+#: Columns of the view that day rows are made of.
+DAY_COLUMNS = ["created_at_date", "item_id", "user_key", "score", "total_comments", "time_to_first_comment_minutes"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -159,6 +163,78 @@ def kpi_tiles_1997(spark, sf_dir):
     return dashboard.kpi_tiles(dashboard.in_date_range(_view(spark, sf_dir), "1997-01-01", "1997-12-31"))
 
 
+def _within(estimate, exact, share: float):
+    return F.abs(estimate - exact) <= share * exact
+
+
+@query
+def kpi_tiles_from_days(spark, sf_dir):
+    """Tiles of all days and of 1997 from one row per day, beside the exact ones; estimates within 3 %."""
+    view = stored(_view(spark, sf_dir).select(*DAY_COLUMNS))
+    days = stored(sketches.day_summaries(view))
+    found = []
+    for name, limits in (("all", (None, None)), ("1997", ("1997-01-01", "1997-12-31"))):
+        estimated = sketches.kpi_tiles(days, *limits).first()
+        exact = dashboard.kpi_tiles(dashboard.in_date_range(view, *limits))
+        found.append(
+            exact.select(
+                F.lit(name).alias("range"),
+                "total_stories",
+                "active_authors",
+                _within(F.lit(estimated.total_stories), F.col("total_stories"), 0.03).alias("stories_within"),
+                _within(F.lit(estimated.active_authors), F.col("active_authors"), 0.03).alias("authors_within"),
+                F.lit(estimated.avg_comments_per_story).alias("avg_comments_per_story"),
+                F.lit(estimated.avg_minutes_to_first_comment).alias("avg_minutes_to_first_comment"),
+            )
+        )
+    return found[0].unionByName(found[1])
+
+
+@query
+def authors_of_two_years(spark, sf_dir):
+    """Authors of 1996, of 1997, of both and of 1996 only, beside the estimates from the days' sets."""
+    view = stored(_view(spark, sf_dir).select(*DAY_COLUMNS))
+    ranges = ("1996-01-01", "1996-12-31"), ("1997-01-01", "1997-12-31")
+    near = sketches.authors_of_both(sketches.day_summaries(view), *ranges).first()
+    year = F.year("created_at_date")
+    per_author = view.groupBy("user_key").agg(F.max(year == 1996).alias("a"), F.max(year == 1997).alias("b"))
+    exact = per_author.agg(
+        F.count_if("a").alias("first_authors"),
+        F.count_if("b").alias("second_authors"),
+        F.count_if(F.col("a") & F.col("b")).alias("both_authors"),
+        F.count_if(F.col("a") & ~F.col("b")).alias("first_only_authors"),
+    )
+    union = F.col("first_authors") + F.col("second_authors") - F.col("both_authors")
+    within = [F.abs(F.lit(near[c]) - F.col(c)) <= 0.03 * union for c in exact.columns]
+    return exact.withColumn("within", reduce(lambda a, b: a & b, within))
+
+
+@query
+def quantiles_from_days(spark, sf_dir):
+    """Median and p90 of scores and of minutes to the first comment in 1997 from the days' sketches: the share of
+    values below each and up to each must hold the wanted share, give or take one percent."""
+    view = stored(_view(spark, sf_dir).select(*DAY_COLUMNS))
+    days, limits = stored(sketches.day_summaries(view)), ("1997-01-01", "1997-12-31")
+    shown, found = dashboard.in_date_range(view, *limits), []
+    for value, sketch in (("score", "score_sketch"), ("time_to_first_comment_minutes", "minutes_sketch")):
+        near = sketches.quantiles(days, sketch, {"median": 0.5, "p90": 0.9}, *limits).first()
+
+        def holds(estimate, share, of=value):
+            below = F.count_if(F.col(of) < F.lit(estimate)) / F.count(of)
+            up_to = F.count_if(F.col(of) <= F.lit(estimate)) / F.count(of)
+            return (below <= share + 0.01) & (up_to >= share - 0.01)
+
+        found.append(
+            shown.agg(
+                F.lit(value).alias("value"),
+                F.count(value).alias("n"),
+                holds(near.median, 0.5).alias("median_within"),
+                holds(near.p90, 0.9).alias("p90_within"),
+            )
+        )
+    return found[0].unionByName(found[1])
+
+
 @query
 def activity_trend(spark, sf_dir):
     return dashboard.activity_trend(_view(spark, sf_dir))
@@ -219,6 +295,11 @@ def engagement_7d(spark, sf_dir):
     return metrics.engagement(_stored_staged(spark, sf_dir))
 
 
+@query
+def comments_by_hour(spark, sf_dir):
+    return metrics.comments_by_age(_stored_staged(spark, sf_dir))
+
+
 @query
 def engagement_funnel(spark, sf_dir):
     return metrics.engagement(_stored_staged(spark, sf_dir), period="MONTH")
@@ -504,6 +585,25 @@ def raw_to_daily_metrics(spark, sf_dir):
     return marts.daily_story_metrics(facts.fct_stories(staged))
 
 
+@query
+def incremental_marts(spark, sf_dir):
+    """Two deliveries: all days without some of their items, then those of six days as a whole, two of them emptied
+    and filled again in between. The marts are brought up to date from the days that changed."""
+    path, store = new_dir(spark, "silver"), new_dir(spark, "marts")
+    items = feed.event_discussion(spark, sf_dir)
+    late = [f"2024-01-{d:02d}" for d in (3, 4, 10, 17, 29, 30)]
+    held_back = F.col("ingest_date").isin(late) & (F.col("descendants") % 3 == 0)
+    silver.write_items(items.filter(~held_back & (F.col("ingest_date") < "2024-01-30")), path)
+    every = [r.ingest_date for r in silver.read_items(spark, path).select("ingest_date").distinct().collect()]
+    incremental.refresh(spark, silver.read_items(spark, path), every, store, run=1, ids_per_part=1000)
+    nothing = silver.read_items(spark, path).limit(0)
+    incremental.refresh(spark, nothing, late[:2], store, run=2, ids_per_part=1000)
+    silver.write_items(items.filter(F.col("ingest_date").isin(late)), path)
+    incremental.refresh(spark, silver.read_items(spark, path), late, store, run=3, ids_per_part=1000)
+    metrics_of_day = incremental.daily_story_metrics(spark, store)
+    return metrics_of_day.join(incremental.daily_active_authors(spark, store), "story_date")
+
+
 @query
 def day_state(spark, sf_dir):
     """State of two runs: all days, then the days of the second half with other figures."""
@@ -529,17 +629,30 @@ def conversation_threads(spark, sf_dir):
     return expand_threads(items)
 
 
-@query
-def event_threads(spark, sf_dir):
-    """Each event answers the one k + 1 places before it: deep, uneven trees."""
+def _event_tree(spark, sf_dir):
     k = F.get_json_object("props", "$.k").cast("bigint")
     parent = F.col("event_id") - 1 - k
-    items = feed.table(spark, sf_dir, "events").select(
+    return feed.table(spark, sf_dir, "events").select(
         F.col("event_id").alias("item_id"),
         F.when(parent >= 0, parent).alias("parent_id"),
         F.when(parent >= 0, "comment").when(k > 60, "poll").otherwise("story").alias("item_type"),
     )
-    return expand_threads(items)
+
+
+@query
+def event_threads(spark, sf_dir):
+    """Each event answers the one k + 1 places before it: deep, uneven trees."""
+    return expand_threads(_event_tree(spark, sf_dir))
+
+
+@query
+def threads_by_delivery(spark, sf_dir):
+    """The items of event_threads in three deliveries, children often before their parents, some delivered twice."""
+    store, number = new_dir(spark, "threads"), F.col("item_id")
+    items = stored(_event_tree(spark, sf_dir))
+    for run, part in enumerate((number % 3 == 2, number % 3 == 0, (number % 3 == 1) | (number % 10 == 0))):
+        thread_store.add_items(spark, items.filter(part), store, run, ids_per_part=5000)
+    return thread_store.read_threads(spark, store)
 
 
 # Streams
