@@ -1,12 +1,14 @@
 """Declarative data checks. Each check returns the offending values with their number of rows."""
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from forumlake.constants import ITEM_TYPES
 
-# Checks per model and column: "not_null", "unique", ("accepted", values) or ("in", model, column).
+# Checks per model and column: "not_null", "unique", ("accepted", values), ("in", model, column), or one of these
+# for some rows only: ("where", condition, check).
 CHECKS = {
     "stg_items": {
         "item_id": ["not_null", "unique"],
@@ -74,42 +76,70 @@ def relationships(
     return values.join(parent.select(F.col(parent_column).alias("value")).distinct(), "value", "left_anti")
 
 
+def _declared(checks: dict) -> list[tuple[str, str, str, tuple, str | None]]:
+    """Model, column, name, arguments and condition of every check."""
+    found = []
+    for model, columns in checks.items():
+        for column, tests in columns.items():
+            for test in tests:
+                where, scope = None, ""
+                if test[0] == "where":
+                    _, where, test = test
+                    scope = f" where {where}"
+                name, *arguments = (test,) if isinstance(test, str) else test
+                label = {"accepted": "accepted_values", "in": "relationships"}.get(name, name)
+                found.append((model, column, label + scope, (name, *arguments), where))
+    return found
+
+
 def run_checks(models: dict[str, DataFrame], checks: dict = CHECKS) -> DataFrame:
     """One row per check: model, column, check, failures (offending rows or values).
 
-    All not-null and accepted-value checks of a model share one pass over it.
+    Each model is read once for its own checks and once for those of others that refer to it. What a row adds to the
+    checks (a missing value, one outside the list, a value to be unique or to be looked up) and what values the
+    models referred to have is summed up by check and value, map side first: one shuffle for all checks.
     """
-    results = []
-    for model, columns in checks.items():
-        df = models[model]  # a check of a model that is not there is an error, not a pass
-        counted, grouped = [], []
-        for column, tests in columns.items():
-            for test in tests:
-                if test == "not_null":
-                    counted.append((column, "not_null", F.count_if(F.col(column).isNull())))
-                elif test == "unique":
-                    grouped.append((column, "unique", unique(df, column)))
-                elif test[0] == "accepted":
-                    outside = F.coalesce(~F.col(column).isin(*test[1]), F.lit(False))
-                    counted.append((column, "accepted_values", F.count_if(outside)))
-                else:
-                    grouped.append((column, "relationships", relationships(df, column, models[test[1]], test[2])))
-        if counted:
-            rows = [
-                F.struct(F.lit(column).alias("column"), F.lit(name).alias("check"), count.alias("failures"))
-                for column, name, count in counted
-            ]
-            results.append(df.agg(F.array(*rows).alias("r")).select(F.lit(model).alias("model"), F.inline("r")))
-        for column, name, failing in grouped:
-            results.append(
-                failing.agg(F.count(F.lit(1)).alias("failures")).select(
-                    F.lit(model).alias("model"), F.lit(column).alias("column"), F.lit(name).alias("check"), "failures"
-                )
-            )
-    report = results[0]
-    for part in results[1:]:
-        report = report.unionByName(part)
-    return report
+    declared = _declared(checks)
+    parts, known = [], []
+    for model in checks:
+        df, added = models[model], []  # a check of a model that is not there is an error, not a pass
+        for number, (of, column, _, (name, *arguments), where) in enumerate(declared):
+            if of != model:
+                continue
+            value = F.col(column)
+            if name == "not_null":
+                wanted, shown = value.isNull(), F.lit(None)
+            elif name == "accepted":
+                wanted, shown = ~value.isin(*arguments[0]), F.lit(None)
+            elif name in ("unique", "in"):
+                wanted, shown = value.isNotNull(), value
+            else:
+                raise ValueError(f"no check is called {name}")
+            if where is not None:
+                wanted = F.expr(where) & wanted
+            row = F.struct(F.lit(number).alias("number"), shown.cast("string").alias("value"))
+            added.append(F.when(wanted, row))
+            if name == "in":
+                parent = models[arguments[0]].select(F.lit(number).alias("number"), F.col(arguments[1]).cast("string").alias("value"))
+                known.append(parent.select("*", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("known")))
+        rows = df.select(F.inline(F.array_compact(F.array(*added))))
+        parts.append(rows.select("*", F.lit(1).cast("bigint").alias("n"), F.lit(False).alias("known")))
+    values = reduce(DataFrame.unionByName, [*parts, *known]).groupBy("number", "value")
+    values = values.agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+
+    def of_kind(kind: str) -> Column:
+        return F.col("number").isin([i for i, d in enumerate(declared) if d[3][0] == kind])
+
+    failures = (
+        F.when(of_kind("unique"), (F.col("n") > 1).cast("bigint"))
+        .when(of_kind("in"), ((F.col("n") > 0) & ~F.col("known")).cast("bigint"))
+        .otherwise(F.col("n"))
+    )
+    failed = values.groupBy("number").agg(F.sum(failures).alias("failures"))
+    names = [(i, *d[:3]) for i, d in enumerate(declared)]
+    listed = failed.sparkSession.createDataFrame(names, "number int, model string, column string, check string")
+    report = listed.join(failed, "number", "left")
+    return report.select("model", "column", "check", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))
 
 
 def missing_rates(silver: DataFrame, columns=("item_id", "created_at", "author"), by: str = "ingest_date") -> DataFrame:

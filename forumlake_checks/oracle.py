@@ -170,6 +170,12 @@ def _accepted(model: str, table: str, column: str, values: str) -> str:
 _CALENDAR = """(SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key FROM (
     SELECT unnest(generate_series(TIMESTAMP '2006-01-01', TIMESTAMP '2026-12-30', INTERVAL 1 DAY)) AS d))"""
 _STORY_DAYS = "(SELECT DISTINCT CAST(created_at AS DATE) AS story_date FROM fct)"
+def _scoped(check, column: str, where: str, *of: str) -> str:
+    sql = check("parsed_items", f"(SELECT * FROM dated WHERE {where})", column, *of)
+    name = {_unique: "unique", _not_null: "not_null", _in: "relationships"}[check]
+    return sql.replace(f"'{name}'", "'" + f"{name} where {where}".replace("'", "''") + "'", 1)
+
+
 _REPORT = "\nUNION ALL\n".join(
     [
         _not_null("stg_items", "stg", "item_id"), _unique("stg_items", "stg", "item_id"),
@@ -192,6 +198,9 @@ _REPORT = "\nUNION ALL\n".join(
         _not_null("parsed_items", "dated", "author"),
         _in("parsed_items", "dated", "author", "dim_users", "user_name"),
         _accepted("parsed_items", "dated", "item_type", "'story'"),
+        _scoped(_unique, "item_id", "ingest_date = '1996-03-13'"),
+        _scoped(_not_null, "author", "item_type = 'job'"),
+        _scoped(_in, "author", "item_type = 'comment'", "(SELECT CAST(item_id AS VARCHAR) AS item_id FROM dim_items)", "item_id"),
     ]
 )
 
@@ -213,8 +222,10 @@ ORACLE: dict[str, str] = {
     "item_history": _with(SILVER_SQL, _STAGED, _HISTORY_STATES, then=_HISTORY),
     "event_state_history": _with(EVENT_SILVER_SQL, _STAGED, _HISTORY_STATES, then=_HISTORY),
     "comments_on_stories": _parsed("""
-        SELECT item_id, parent_id, author, created_at, score FROM stg
-        WHERE item_type = 'comment' AND parent_id IN (SELECT item_id FROM stg WHERE item_type = 'story')"""),
+        , typed AS MATERIALIZED (SELECT item_id, item_type, parent_id, author, created_at, score FROM stg),
+        stories AS MATERIALIZED (SELECT DISTINCT item_id AS story_id FROM typed WHERE item_type = 'story')
+        SELECT c.item_id, c.parent_id, c.author, c.created_at, c.score
+        FROM typed c JOIN stories s ON c.parent_id = s.story_id WHERE c.item_type = 'comment'"""),
     "dim_items": _with(SILVER_SQL, _STAGED, _ITEMS, then="SELECT * FROM dim_items"),
     "dim_users": _with(SILVER_SQL, _STAGED, _USERS, then="SELECT * FROM dim_users"),
     "dim_dates": _with(SILVER_SQL, then="""

@@ -384,8 +384,13 @@ def dq_report(spark, sf_dir):
     # The parsed items before deduplication, against checks that do find something.
     models["parsed_items"] = silver_items
     raw_checks = {
-        "item_id": ["not_null", "unique"],
-        "author": ["not_null", ("in", "dim_users", "user_name")],
+        "item_id": ["not_null", "unique", ("where", "ingest_date = '1996-03-13'", "unique")],
+        "author": [
+            "not_null",
+            ("in", "dim_users", "user_name"),
+            ("where", "item_type = 'job'", "not_null"),
+            ("where", "item_type = 'comment'", ("in", "dim_items", "item_id")),
+        ],
         "item_type": [("accepted", ["story"])],
     }
     return quality.run_checks(models, {**quality.CHECKS, "parsed_items": raw_checks})
