@@ -12,6 +12,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from forumlake.llm.words import Words, lowered, raw, word_hashes
 
@@ -75,7 +76,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
+            raise ValueError("only added tokens that are found as they stand are supported")
+        self.added = {token.content: number for number, token in added.items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
         self.keeps_space = keeps_space
         self._set(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32))
 
@@ -116,7 +122,30 @@ class Encoder:
         self.ids = np.concatenate(ids)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts one after the other, and the number of ids of each text; null is an empty text."""
+        """All ids of the texts one after the other, and the number of ids of each text; null is an empty text.
+
+        As the library does, added tokens (such as an end of text) are found first, and what stands between them is
+        encoded as if it were a text of its own.
+        """
+        found = [pc.match_substring(column, token).fill_null(False) for token in self.added]
+        if not found or not any(pc.any(f).as_py() for f in found):
+            return self._encode(column)
+        texts, rows, marks = [], [], []
+        for row, text in enumerate(column.to_pylist()):
+            parts = self.cut.split(text or "")  # texts and tokens in turn
+            texts += parts[::2]
+            marks += [*(self.added[token] for token in parts[1::2]), -1]
+            rows += [row] * (len(parts) // 2 + 1)
+        ids, sizes = self._encode(pa.array(texts, pa.large_string()))
+        token = np.array(marks, np.int64)
+        after = np.flatnonzero(token >= 0)
+        ids = np.insert(ids, np.cumsum(sizes)[after], token[after])
+        sizes[after] += 1
+        of_text = np.zeros(len(column), sizes.dtype)
+        np.add.at(of_text, rows, sizes)
+        return ids, of_text
+
+    def _encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         parts = stretches(column, self.keeps_space)
         found, seen, which = np.unique(word_hashes(parts), return_index=True, return_inverse=True)
         at, new = self._missing(found)

@@ -15,6 +15,8 @@ TEXTS = [
     "", " ", "  ", "a", " a", "a ", "two  spaces", "tab\tand space \t x", "line\n next", "line \nnext", "it's we'll  I'm",
     "é  ü x  y", "x\u0085 y", "num 12 345 a1b2", "!!! ... ?!", "<|endoftext|> x<|endoftext|>y", "\x1c \x1d z",
     "ﬁ Å é ́x ΑΣ ΑΣ. Straße", "日本語 テキスト", "emoji 😀 👩‍👧 end", "﻿bom ​ zero", "a b c " * 300,
+    "x<|endoftext|>y", "<|endoftext|>", "<|endoftext|><|endoftext|>", "<|startoftext|>a b<|endoftext|>", "x <|endoftext|",
+    "<|<|endoftext|>|>", "<|ENDOFTEXT|>", "a \n<|endoftext|>  b\n\n<|startoftext|> \n", "it<|endoftext|>'s é<|endoftext|>é",
     "ΑΣ.a", "a'b c's! !'s 'S x''s", "a,'b", "x\n\ny", "x\ny", "x \ny", "\n", "\na", "a\n", "é\né", "é é  é\té", ",\n,",
     "1\n2 3", "a\xa0 b", "a \xa0b", "“q” – x", "I'LL don't WE'RE", "\t\tx", "a\r\nb", "é, è.", "x\x1cy \x1d",
 ]
@@ -22,7 +24,6 @@ TEXTS = [
 
 def direct(path, texts):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
