@@ -22,9 +22,10 @@ PIECE_WORDS, SEQUENCE_PIECES = 40, 8
 EPOCHS, RATE, DECAY = 12, 0.5, 1e-4
 SLICE_BYTES = 1 << 20
 UNKNOWN = "und"
-#: accepted() leaves out documents whose words are in other languages than these with less than this mean probability.
+#: accepted() leaves out documents of so many words whose words are in other languages than the rejected ones with less
+#: than this mean probability. Shorter ones give too little evidence.
 REJECTED = frozenset({UNKNOWN})
-LEAST_SCORE = 0.4
+LEAST_SCORE, LEAST_WORDS = 0.25, 8
 # Words are ASCII letters and all bytes of other scripts.
 _SEPARATOR = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
@@ -199,11 +200,25 @@ def train(texts: list[str], langs: list[str]) -> Model:
     return model
 
 
-def learn(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Model:
-    """A model of the languages in docs (doc_id, text, lang), from at most so many documents of each language."""
+def scrambled(texts: list[str]) -> list[str]:
+    """The texts' words with their letters in a random (but fixed) order, which is no language."""
+    rng = np.random.default_rng(11)
+    return [" ".join("".join(rng.permutation(list(w))) for w in text.split() if w.isalpha()) for text in texts]
+
+
+def learn(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, other: bool = False) -> Model:
+    """A model of the languages in docs (doc_id, text, lang), from at most so many documents of each language.
+
+    With `other` the label `und` stands for text in none of them: it is learned from as many of these documents as half
+    a language has at most, evenly taken from all, with scrambled words.
+    """
     labels = docs.where("lang IS NOT NULL").groupBy("doc_id").agg(F.min("lang").alias("lang"))
     sample, _ = per_label(docs, labels, "lang", sample_documents)
-    return train(sample["text"].tolist(), sample["lang"].tolist())
+    texts, langs = sample["text"].tolist(), sample["lang"].tolist()
+    if other and texts:
+        odd = scrambled(texts[:: max(1, -(-2 * len(texts) // sample_documents))])
+        texts, langs = texts + odd, langs + [UNKNOWN] * len(odd)
+    return train(texts, langs)
 
 
 def _has_letter(text: str | None) -> bool:
@@ -275,12 +290,19 @@ def word_labels(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def accepted(
-    docs: DataFrame, model: Model, least_score: float = LEAST_SCORE, rejected: frozenset[str] = REJECTED
+    docs: DataFrame,
+    model: Model,
+    least_score: float = LEAST_SCORE,
+    rejected: frozenset[str] = REJECTED,
+    least_words: int = LEAST_WORDS,
 ) -> DataFrame:
-    """The documents, with all their columns, that hold a letter and are not mostly in rejected languages.
+    """The documents, with all their columns, that hold a letter and are not mostly in rejected labels.
 
-    The mean word probabilities of all other labels are added up, so a text may be spread over any number of them; it
-    goes if the sum is below the given score. Where the model has no rejected label, that sum is 1 for every text.
+    The mean probabilities of all other labels are added up over the text's distinct words, so a text may be spread over
+    any number of them, and a word that is repeated over and over counts once; a text of at least least_words distinct
+    words goes if the sum is below least_score. A model learned with other=True has the
+    label `und` for what is in none of its languages; where a model has no rejected label, that sum is 1 for every
+    text. Null and empty texts go; repeated rows are judged alike, and an empty table stays empty.
     """
     known = np.array([label not in rejected for label in model.labels], bool)
 
@@ -289,9 +311,12 @@ def accepted(
             good = np.array([_has_letter(t) for t in batch["text"].to_pylist()], bool)
             if not known.all():
                 words, chance = _label(batch["text"], model)
+                wanted, hashes = chance[:, known].sum(axis=1), word_hashes(words)
                 for row, (a, b) in enumerate(zip(words.first[:-1], words.first[1:], strict=True)):
-                    if a < b and good[row]:
-                        good[row] = chance[a:b, known].sum(axis=1).mean() >= least_score
+                    if b - a >= least_words and good[row]:
+                        _, which, n = np.unique(hashes[a:b], return_inverse=True, return_counts=True)
+                        if len(n) >= least_words:
+                            good[row] = (np.bincount(which, wanted[a:b]) / n).mean() >= least_score
             yield batch.filter(pa.array(good))
 
     return docs.mapInArrow(keep, docs.schema)

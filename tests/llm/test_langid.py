@@ -87,9 +87,43 @@ def test_texts_in_several_languages_and_short_ones_are_accepted(spark, model):
     assert [r["doc_id"] for r in langid.accepted(only, model, rejected=frozenset({"fr"})).orderBy("doc_id").collect()] == [0, 2, 3]
 
 
+FOREIGN = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "qzxw kjhq wvxz pqkx zzqj xkcd vbnm qwrt sdfg zxcv hjkl qpwk " * 3,
+]
+
+
+def test_other_languages_and_noise_go_and_labelled_texts_stay(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    model = langid.learn(docs, other=True)
+    assert model.labels == ["de", "en", "es", "fr", "und"]
+    kept = {r["doc_id"] for r in langid.accepted(docs, model).collect()}
+    assert kept == {r["doc_id"] for r in docs.collect()}
+    longer = docs.where("length(text) > 500").orderBy("doc_id")
+    texts = [longer.where(f"lang = '{lang}'").first()["text"] for lang in ("de", "en", "es", "fr")]
+    clean = [" ".join([w for w in t.split() if w.isalpha()][:40]) for t in texts]
+    assert all(len(t) > 100 for t in clean)
+    mixed = [" ".join(clean), " ".join(clean[:2]), FOREIGN[0] + " " + " ".join(clean * 2)]
+    short = ["ж", "qqzx", "Ελλάδα και", clean[0][:20]]
+    rows = list(enumerate(clean + mixed + short)) + [(100 + i, t) for i, t in enumerate(FOREIGN)] + [(200, "12 3!"), (201, None)]
+    df = spark.createDataFrame(rows + rows[:2], "doc_id long, text string")
+    stay = sorted(r["doc_id"] for r in langid.accepted(df, model).collect())
+    assert stay == sorted([*range(len(clean + mixed + short)), 0, 1])
+    without = langid.accepted(df, langid.learn(docs))  # a model that knows no other language cannot tell them
+    assert {100, 101, 102, 103, 104} <= {r["doc_id"] for r in without.collect()}
+
+
+def test_scrambled_words_keep_their_letters():
+    assert [sorted(w) for w in langid.scrambled(["abc de 12 f"])[0].split()] == [["a", "b", "c"], ["d", "e"], ["f"]]
+
+
 def test_nothing_to_learn_from(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     model = langid.learn(empty)
+    assert langid.learn(empty, other=True).labels == []
     assert langid.languages(empty, model).collect() == [] and langid.accepted(empty, model).collect() == []
     df = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [tuple(r) for r in langid.languages(df, langid.learn(df)).collect()] == [(1, "und", 0.0, 0)]
