@@ -1,4 +1,9 @@
-"""Training sequences of lexically related documents: a sharded BM25 index fills each seed document's window."""
+"""Training sequences of lexically related documents: a sharded BM25 inverted index fills each seed document's window.
+
+Documents are dealt to shards by content: related ones, wherever they stand in the input, are put side by side. Random
+projections of the weighted terms say which cluster of a tree (fitted on a bounded sample) a document is in, and within a
+cluster documents are ordered by weighted min-hashes of their terms, so that copies and near copies are neighbours.
+"""
 
 from __future__ import annotations
 
@@ -16,56 +21,41 @@ from forumlake.llm.words import gathered
 from forumlake.session import stored
 
 WINDOW = 2048
-#: A shard of the index holds so many documents and tokens at most; a longer document is a shard of its own.
+#: A shard of the index ends with the document that brings it to so many documents or tokens.
 SHARD_DOCUMENTS, SHARD_TOKENS = 512, 1 << 19
+#: Tokens of a task that builds shards.
+PART_TOKENS = 1 << 22
+#: The tree of clusters: dimensions of the projection, documents it is fitted on (about), levels, fewest documents split.
+DIMENSIONS, SAMPLE_DOCUMENTS, LEVELS, LEAST_SPLIT = 16, 8192, 8, 32
+MIN_HASHES = 3
 K1, B = 1.2, 0.75
 SLICE_BYTES = 2 << 20
-_SHARD = "shard long, doc_ids binary, nulls binary, sizes binary, ids binary"
+_TOKENS_AT_ONCE = 1 << 18
+_ENCODED = "doc_id long, n_tokens long, ids binary"
 
 
-def shards(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int) -> DataFrame:
-    """Encoded documents, end_id after each, put together in shards of neighbouring rows: one row for each shard."""
+def encoded(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int) -> DataFrame:
+    """doc_id, n_tokens and ids (two or four bytes each) of every document, end_id after each."""
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 22
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(tokenizer, keeps_space)
-        held: list[tuple[int | None, np.ndarray]] = []
-        tokens = 0
-
-        def shard() -> pa.RecordBatch:
-            ids = np.array([d or 0 for d, _ in held], np.int64)
-            null = np.array([d is None for d, _ in held], bool)
-            sizes = np.array([len(t) for _, t in held], np.int64)
-            text = np.concatenate([t for _, t in held])
-            text = text.astype("<u4" if text.max() > 0xFFFF else "<u2")
-            values = [ids.tobytes(), null.tobytes(), sizes.tobytes(), text.tobytes()]
-            names = ("doc_ids", "nulls", "sizes", "ids")
-            arrays = {n: pa.array([v], pa.binary()) for n, v in zip(names, values, strict=True)}
-            return pa.record_batch({"shard": pa.array([number], pa.int64())} | arrays)
-
         for batch in gathered(batches, SLICE_BYTES):
             ids, sizes = known.encode(batch["text"])
-            ends = np.cumsum(sizes)
-            for doc, a, b in zip(batch["doc_id"].to_pylist(), ends - sizes, ends, strict=True):
-                n = int(b - a) + 1
-                if held and (len(held) == SHARD_DOCUMENTS or tokens + n > SHARD_TOKENS):
-                    yield shard()
-                    number, tokens, held = number + 1, 0, []
-                held.append((doc, np.append(ids[a:b], np.uint32(end_id))))
-                tokens += n
-        if held:
-            yield shard()
+            ids = np.insert(ids, np.cumsum(sizes), end_id).astype("<u4")
+            parts = np.split(ids, np.cumsum(sizes + 1)[:-1]) if len(sizes) else []
+            body = [p.astype("<u2" if p.max() <= 0xFFFF else "<u4").tobytes() for p in parts]
+            columns = {"doc_id": batch["doc_id"], "n_tokens": pa.array(sizes + 1), "ids": pa.array(body, pa.binary())}
+            yield pa.record_batch(columns)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(build, _SHARD)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, _ENCODED)
 
 
-def _unpacked(row: dict) -> tuple[list, np.ndarray, np.ndarray]:
-    ids = np.frombuffer(row["doc_ids"], np.int64).tolist()
-    null = np.frombuffer(row["nulls"], bool).tolist()
-    sizes = np.frombuffer(row["sizes"], np.int64)
-    kind = "<u4" if len(row["ids"]) == 4 * sizes.sum() else "<u2"
-    tokens = np.frombuffer(row["ids"], kind).astype("<u4")
-    return [None if n else d for d, n in zip(ids, null, strict=True)], sizes, tokens
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the documents and all their ids."""
+    sizes = batch["n_tokens"].to_numpy()
+    bodies = batch["ids"].to_pylist()
+    parts = [np.frombuffer(x, "<u2" if len(x) == 2 * n else "<u4").astype("<u4") for x, n in zip(bodies, sizes, strict=True)]
+    return sizes, np.concatenate(parts) if parts else np.zeros(0, "<u4")
 
 
 def _postings(sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,8 +65,8 @@ def _postings(sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return pair // len(sizes), pair % len(sizes), n
 
 
-def _statistics(packed: DataFrame) -> tuple[np.ndarray, int, float]:
-    """Documents with each term, number of documents, and their mean length, over the whole corpus.
+def _statistics(docs: DataFrame) -> tuple[np.ndarray, int, int]:
+    """Documents with each term, and the numbers of documents and tokens, over the whole corpus.
 
     Terms are token ids, so what reaches the driver is bounded by the vocabulary.
     """
@@ -84,13 +74,12 @@ def _statistics(packed: DataFrame) -> tuple[np.ndarray, int, float]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, documents, tokens = np.zeros(0, np.int64), 0, 0
         for batch in batches:
-            for row in batch.to_pylist():
-                _, sizes, ids = _unpacked(row)
-                own = np.bincount(_postings(sizes, ids)[0])
-                if len(own) > len(total):
-                    own, total = total, own
-                total[: len(own)] += own
-                documents, tokens = documents + len(sizes), tokens + len(ids)
+            sizes, ids = _unpacked(batch)
+            own = np.bincount(_postings(sizes, ids)[0])
+            if len(own) > len(total):
+                own, total = total, own
+            total[: len(own)] += own
+            documents, tokens = documents + len(sizes), tokens + len(ids)
         terms = np.flatnonzero(total)
         yield pa.record_batch(
             {
@@ -99,12 +88,104 @@ def _statistics(packed: DataFrame) -> tuple[np.ndarray, int, float]:
             }
         )
 
-    counts = packed.mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    counts = docs.mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
     counts = dict(zip(counts["term"].tolist(), counts["n"].tolist(), strict=True))
     documents, tokens = counts.pop(-1, 0), counts.pop(-2, 0)
     frequency = np.zeros(max(counts, default=-1) + 1, np.int64)
     frequency[list(counts)] = list(counts.values())
-    return frequency, documents, tokens / max(1, documents)
+    return frequency, documents, tokens
+
+
+class Places:
+    """Where documents go: a vector and min-hashes from their terms, a cluster from the vector, a task from the cluster."""
+
+    def __init__(self, frequency: np.ndarray, documents: int):
+        # A term of one document relates it to none.
+        weight = np.log1p((documents - frequency + 0.5) / (frequency + 0.5)) * (frequency > 1)
+        rng = np.random.default_rng(9)
+        self.terms = (weight[:, None] * rng.standard_normal((len(weight), DIMENSIONS))).astype(np.float32)
+        clocks = rng.exponential(size=(len(weight), MIN_HASHES)) / np.maximum(weight, 1e-9)[:, None]
+        self.clocks = np.where(weight[:, None] > 0, clocks, np.inf).astype(np.float32)
+        self.axes = np.zeros((1 << LEVELS, DIMENSIONS), np.float32)
+        self.limits = np.full(1 << LEVELS, np.inf, np.float32)
+        self.first, self.last = (np.zeros(1 << LEVELS, np.int64) for _ in range(2))
+
+    def of_documents(self, sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unit vectors and min-hashes."""
+        start = np.cumsum(sizes) - sizes
+        vectors = np.zeros((len(sizes), DIMENSIONS), np.float32)
+        least = np.full((len(sizes), MIN_HASHES), np.inf, np.float32)
+        at = 0
+        while at < len(ids):
+            to = min(at + _TOKENS_AT_ONCE, len(ids))
+            low, high = np.searchsorted(start, at, "right") - 1, np.searchsorted(start, to)
+            inside = np.maximum(start[low:high] - at, 0)
+            vectors[low:high] += np.add.reduceat(self.terms[ids[at:to]], inside, axis=0)
+            least[low:high] = np.minimum(least[low:high], np.minimum.reduceat(self.clocks[ids[at:to]], inside, axis=0))
+            at = to
+        return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9), least
+
+    def fit(self, sample: np.ndarray, parts: int) -> None:
+        """Halve the sample's vectors level by level along their main axis, and give each cluster its share of the tasks."""
+        node = np.ones(len(sample), np.int64)
+        for level in range(LEVELS):
+            for number in range(1 << level, 2 << level):
+                own = np.flatnonzero(node == number)
+                if len(own) >= LEAST_SPLIT:
+                    centred = sample[own] - sample[own].mean(axis=0)
+                    self.axes[number] = np.linalg.eigh(centred.T @ centred)[1][:, -1]
+                    self.limits[number] = np.median(sample[own] @ self.axes[number])
+            node = 2 * node + self._right(sample, node)
+        ends = np.cumsum(np.bincount(node - (1 << LEVELS), minlength=1 << LEVELS)) * parts / max(1, len(sample))
+        begins = np.concatenate([[0.0], ends[:-1]])
+        # A cluster is in one task unless it holds more than one task's share: its documents are then spread.
+        spread = ends - begins > 1
+        middle = np.minimum(((begins + ends) / 2).astype(np.int64), parts - 1)
+        self.first = np.where(spread, begins.astype(np.int64), middle)
+        self.last = np.where(spread, np.minimum(np.ceil(ends).astype(np.int64), parts) - 1, middle)
+
+    def _right(self, vectors: np.ndarray, node: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,ij->i", vectors, self.axes[node]) > self.limits[node]
+
+    def cluster(self, vectors: np.ndarray) -> np.ndarray:
+        node = np.ones(len(vectors), np.int64)
+        for _ in range(LEVELS):
+            node = 2 * node + self._right(vectors, node)
+        return node - (1 << LEVELS)
+
+
+def placed(docs: DataFrame) -> tuple[DataFrame, np.ndarray, float]:
+    """The encoded documents in tasks and in the order in which shards take them; term weights; mean length."""
+    frequency, documents, tokens = _statistics(docs)
+    idf = np.log1p((documents - frequency + 0.5) / (frequency + 0.5))
+    places, parts = Places(frequency, documents), max(1, -(-tokens // PART_TOKENS))
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = places.of_documents(*_unpacked(batch))[0]
+            yield pa.record_batch({"vector": pa.array(list(found), pa.list_(pa.float32()))})
+
+    share = int(min(1.0, SAMPLE_DOCUMENTS / max(1, documents)) * (1 << 30))
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.length("ids")), F.lit(1 << 30)) < share)
+    sample = chosen.mapInArrow(vectors, "vector array<float>").toPandas()["vector"]
+    places.fit(np.stack(sample) if len(sample) else np.zeros((0, DIMENSIONS), np.float32), parts)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        for batch in batches:
+            found, least = places.of_documents(*_unpacked(batch))
+            cluster = places.cluster(found)
+            turn = seen + np.arange(len(cluster))
+            seen += len(cluster)
+            part = places.first[cluster] + turn % (places.last[cluster] - places.first[cluster] + 1)
+            columns = {"part": pa.array(part.astype(np.int32)), "cluster": pa.array(cluster)}
+            columns |= {f"least_{k}": pa.array(least[:, k]) for k in range(MIN_HASHES)}
+            yield pa.record_batch(columns | {c: batch[c] for c in ("doc_id", "n_tokens", "ids")})
+
+    keys = [f"least_{k}" for k in range(MIN_HASHES)]
+    dealt = docs.mapInArrow(deal, f"part int, cluster long, {', '.join(f'{k} float' for k in keys)}, {_ENCODED}")
+    ordered = dealt.repartitionById(parts, "part").sortWithinPartitions("cluster", *keys, "doc_id", "n_tokens", "ids")
+    return ordered.select("doc_id", "n_tokens", "ids"), idf, tokens / max(1, documents)
 
 
 class Shard:
@@ -171,33 +252,47 @@ def pack(
     doc_id, start (ids of the document before the piece), length, ids_crc32, doc_tokens, sequence_id, offset (place in
     the sequence, without gaps), and ids on request. Each text is encoded whole and followed by end_id; null
     counts as empty, so every row has at least one piece and repeated rows have their own. Each id lies in exactly
-    one piece. Rows are dealt to shards of neighbouring rows; each shard's windows are full but for its last.
-    An empty table gives no pieces. Other columns are not read.
+    one piece. Documents are dealt to shards by content; each shard's windows are full but for its last. A
+    document of any length is cut into windows, and the rest of it seeds the next one. An empty table gives no pieces.
+    Other columns are not read.
     """
-    packed = stored(shards(docs, tokenizer, keeps_space, end_id))
-    frequency, documents, mean = _statistics(packed)
-    idf = np.log1p((documents - frequency + 0.5) / (frequency + 0.5))
+    docs, idf, mean = placed(stored(encoded(docs, tokenizer, keeps_space, end_id)))
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, tokens = [], 0, 0
         for batch in batches:
-            for row in batch.to_pylist():
-                doc_ids, sizes, ids = _unpacked(row)
-                found = np.array(fill(sizes, Shard(sizes, ids, idf, mean).scores, window), np.int64)
-                doc, start, length, sequence, offset = found.T
-                at = (np.cumsum(sizes) - sizes)[doc] + start
-                parts = [ids[a : a + n] for a, n in zip(at, length, strict=True)]
-                columns = {
-                    "doc_id": pa.array([doc_ids[d] for d in doc], pa.int64()),
-                    "start": pa.array(start),
-                    "length": pa.array(length),
-                    "ids_crc32": pa.array([zlib.crc32(p) for p in parts], pa.int64()),
-                    "doc_tokens": pa.array(sizes[doc]),
-                    "sequence_id": pa.array((row["shard"] << 20) + sequence),
-                    "offset": pa.array(offset),
-                }
-                if with_ids:
-                    columns["ids"] = pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32()))
-                yield pa.record_batch(columns)
+            begin, sizes = 0, batch["n_tokens"].to_numpy()
+            for row, size in enumerate(sizes.tolist()):
+                n, tokens = n + 1, tokens + size
+                if n >= SHARD_DOCUMENTS or tokens >= SHARD_TOKENS:
+                    yield pa.Table.from_batches([*held, batch.slice(begin, row + 1 - begin)]).combine_chunks().to_batches()[0]
+                    held, n, tokens, begin = [], 0, 0, row + 1
+            if begin < len(sizes):
+                held.append(batch.slice(begin))
+        if held:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 22
+        for shard in shards(batches):
+            sizes, ids = _unpacked(shard)
+            found = np.array(fill(sizes, Shard(sizes, ids, idf, mean).scores, window), np.int64)
+            doc, start, length, sequence, offset = found.T
+            at = (np.cumsum(sizes) - sizes)[doc] + start
+            parts = [ids[a : a + n] for a, n in zip(at, length, strict=True)]
+            columns = {
+                "doc_id": shard["doc_id"].take(pa.array(doc)),
+                "start": pa.array(start),
+                "length": pa.array(length),
+                "ids_crc32": pa.array([zlib.crc32(p) for p in parts], pa.int64()),
+                "doc_tokens": pa.array(sizes[doc]),
+                "sequence_id": pa.array((number << 20) + sequence),
+                "offset": pa.array(offset),
+            }
+            if with_ids:
+                columns["ids"] = pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32()))
+            yield pa.record_batch(columns)
+            number += 1
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return packed.mapInArrow(place, schema + ", ids array<int>" * with_ids)
+    return docs.mapInArrow(place, schema + ", ids array<int>" * with_ids)
