@@ -28,6 +28,8 @@ PART_TOKENS = 1 << 22
 #: The tree of clusters: dimensions of the projection, documents it is fitted on (about), levels, fewest documents split.
 DIMENSIONS, SAMPLE_DOCUMENTS, LEVELS, LEAST_SPLIT = 16, 8192, 8, 32
 MIN_HASHES = 3
+#: A term of so many documents of a shard is scored by a matrix product.
+COMMON_DOCUMENTS = 64
 K1, B = 1.2, 0.75
 SLICE_BYTES = 2 << 20
 _TOKENS_AT_ONCE = 1 << 18
@@ -61,7 +63,11 @@ def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 def _postings(sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Term, document and frequency, in order of term and document."""
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    pair, n = np.unique(ids.astype(np.int64) * len(sizes) + doc, return_counts=True)
+    pair = ids.astype(np.int64) * len(sizes) + doc
+    if len(pair) and pair.max() < 1 << 32:
+        pair = pair.astype(np.uint32)
+    pair, n = np.unique(pair, return_counts=True)
+    pair = pair.astype(np.int64)
     return pair // len(sizes), pair % len(sizes), n
 
 
@@ -189,12 +195,22 @@ def placed(docs: DataFrame) -> tuple[DataFrame, np.ndarray, float]:
 
 
 class Shard:
-    """The inverted index of a shard: postings with BM25 weights that use the corpus' statistics."""
+    """The inverted index of a shard: postings with BM25 weights that use the corpus' statistics.
+
+    Terms of many of its documents are scored for all seeds by one matrix product, the others by their postings.
+    """
 
     def __init__(self, sizes: np.ndarray, ids: np.ndarray, idf: np.ndarray, mean: float):
-        term, self.doc, n = _postings(sizes, ids)
+        term, doc, n = _postings(sizes, ids)
         norm = K1 * (1 - B + B * sizes / mean)
-        self.weight = idf[term] * n * (K1 + 1) / (n + norm[self.doc])
+        weight = idf[term] * n * (K1 + 1) / (n + norm[doc])
+        number = np.cumsum(np.diff(term, prepend=-1) != 0) - 1
+        common = np.bincount(number) >= COMMON_DOCUMENTS
+        often = common[number]
+        dense = np.zeros((int(common.sum()), len(sizes)), np.float32)
+        dense[(np.cumsum(common) - 1)[number[often]], doc[often]] = weight[often]
+        self.base = (dense > 0).astype(np.float32).T @ dense
+        self.doc, self.weight, term = doc[~often], weight[~often], number[~often]
         new = np.diff(term, prepend=-1) != 0
         self.first = np.append(np.flatnonzero(new), len(term))
         by_doc = np.argsort(self.doc, kind="stable")
@@ -205,7 +221,7 @@ class Shard:
         terms = self.terms[seed]
         low, n = self.first[terms], self.first[terms + 1] - self.first[terms]
         at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.bincount(self.doc[at], self.weight[at], len(self.terms))
+        return self.base[seed] + np.bincount(self.doc[at], self.weight[at], len(self.terms))
 
 
 def fill(sizes: np.ndarray, scores, window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
