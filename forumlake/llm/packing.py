@@ -56,8 +56,10 @@ def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Sizes of the documents and all their ids."""
     sizes = batch["n_tokens"].to_numpy()
     bodies = batch["ids"].to_pylist()
+    if all(len(x) == 2 * n for x, n in zip(bodies, sizes.tolist(), strict=True)):
+        return sizes, np.frombuffer(b"".join(bodies), "<u2").astype("<u4")
     parts = [np.frombuffer(x, "<u2" if len(x) == 2 * n else "<u4").astype("<u4") for x, n in zip(bodies, sizes, strict=True)]
-    return sizes, np.concatenate(parts) if parts else np.zeros(0, "<u4")
+    return sizes, np.concatenate(parts)
 
 
 def _postings(sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,8 +133,11 @@ class Places:
             at = to
         return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9), least
 
-    def fit(self, sample: np.ndarray, parts: int) -> None:
-        """Halve the sample's vectors level by level along their main axis, and give each cluster its share of the tasks."""
+    def fit(self, sample: np.ndarray, tokens: np.ndarray, parts: int) -> None:
+        """Halve the sample's vectors level by level along their main axis, and give each cluster its share of the tasks.
+
+        Shares are by tokens. A cluster is in one task unless it holds more than one task's share: then it is spread.
+        """
         node = np.ones(len(sample), np.int64)
         for level in range(LEVELS):
             for number in range(1 << level, 2 << level):
@@ -142,9 +147,9 @@ class Places:
                     self.axes[number] = np.linalg.eigh(centred.T @ centred)[1][:, -1]
                     self.limits[number] = np.median(sample[own] @ self.axes[number])
             node = 2 * node + self._right(sample, node)
-        ends = np.cumsum(np.bincount(node - (1 << LEVELS), minlength=1 << LEVELS)) * parts / max(1, len(sample))
+        held = np.bincount(node - (1 << LEVELS), tokens, minlength=1 << LEVELS)
+        ends = np.cumsum(held) * parts / max(1, tokens.sum())
         begins = np.concatenate([[0.0], ends[:-1]])
-        # A cluster is in one task unless it holds more than one task's share: its documents are then spread.
         spread = ends - begins > 1
         middle = np.minimum(((begins + ends) / 2).astype(np.int64), parts - 1)
         self.first = np.where(spread, begins.astype(np.int64), middle)
@@ -169,12 +174,13 @@ def placed(docs: DataFrame) -> tuple[DataFrame, np.ndarray, float]:
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = places.of_documents(*_unpacked(batch))[0]
-            yield pa.record_batch({"vector": pa.array(list(found), pa.list_(pa.float32()))})
+            yield pa.record_batch({"vector": pa.array(list(found), pa.list_(pa.float32())), "n_tokens": batch["n_tokens"]})
 
     share = int(min(1.0, SAMPLE_DOCUMENTS / max(1, documents)) * (1 << 30))
     chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.length("ids")), F.lit(1 << 30)) < share)
-    sample = chosen.mapInArrow(vectors, "vector array<float>").toPandas()["vector"]
-    places.fit(np.stack(sample) if len(sample) else np.zeros((0, DIMENSIONS), np.float32), parts)
+    sample = chosen.mapInArrow(vectors, "vector array<float>, n_tokens long").toPandas()
+    found = np.stack(sample["vector"]) if len(sample) else np.zeros((0, DIMENSIONS), np.float32)
+    places.fit(found, sample["n_tokens"].to_numpy(np.float64), parts)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = 0
