@@ -26,7 +26,7 @@ SHARD_DOCUMENTS, SHARD_TOKENS = 512, 1 << 19
 #: Tokens of a task that builds shards.
 PART_TOKENS = 1 << 22
 #: The tree of clusters: dimensions of the projection, documents it is fitted on (about), levels, fewest documents split.
-DIMENSIONS, SAMPLE_DOCUMENTS, LEVELS, LEAST_SPLIT = 16, 8192, 8, 32
+DIMENSIONS, SAMPLE_DOCUMENTS, LEVELS, LEAST_SPLIT = 12, 8192, 8, 32
 MIN_HASHES = 3
 #: A term of so many documents of a shard is scored by a matrix product.
 COMMON_DOCUMENTS = 64
@@ -296,6 +296,8 @@ def pack(
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 22
+        if encoder.cache_info().currsize:  # the worker has encoded before; room is needed for shards now
+            encoder(tokenizer, keeps_space).forget()
         for shard in shards(batches):
             sizes, ids = _unpacked(shard)
             found = np.array(fill(sizes, Shard(sizes, ids, idf, mean).scores, window), np.int64)
