@@ -31,18 +31,26 @@ _BATCH = 2048
 _WIDE = 256
 
 
-def usable(vectors: DataFrame) -> DataFrame:
+def _finite(vectors: DataFrame) -> DataFrame:
+    finite = "forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) <> double('infinity'))"
+    exact = "float" if "float" in vectors.schema["embedding"].dataType.simpleString() else "double"
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{exact}>"))
+    return rows.where(f"vec_id IS NOT NULL AND embedding IS NOT NULL AND {finite} AND exists(embedding, x -> x <> 0)")
+
+
+def dimension(vectors: DataFrame) -> int:
+    """The most frequent dimension of the vectors that are otherwise usable, the smaller of two; 0 if there is none."""
+    sizes = _finite(vectors).groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    return sizes["d"] if sizes else 0
+
+
+def usable(vectors: DataFrame, wanted: int) -> DataFrame:
     """vec_id and embedding of the rows that take part.
 
     Left out are null ids and vectors, vectors that hold null or non-finite components or only zeros, and vectors
-    whose dimension is not the most frequent one.
+    of another than the wanted dimension.
     """
-    finite = "forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) <> double('infinity'))"
-    exact = "float" if "float" in vectors.schema["embedding"].dataType.simpleString() else "double"
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{exact}>"))
-    rows = rows.where(f"vec_id IS NOT NULL AND embedding IS NOT NULL AND {finite} AND exists(embedding, x -> x <> 0)")
-    sizes = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("embedding") == (sizes["d"] if sizes else 0))
+    return _finite(vectors).where(F.size("embedding") == wanted)
 
 
 @dataclass
@@ -209,12 +217,12 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, sample_rows: in
     """The k nearest vectors found for each query, by Euclidean distance in double precision.
 
     query_id, rank (from 1), vec_id, score. A query never finds its own vec_id; ties go to the smaller vec_id. Rows with
-    equal vec_id count once, at the smallest distance; so do queries. See usable() for rows that take no part. A
-    query reads the lists whose centroid is at most SEARCH_RATIO times as far as the nearest one, and more of the next
+    equal vec_id count once, at the smallest distance; so do queries. See usable() for rows that take no part; the
+    dimension is that of most candidates, for queries too. A query reads the lists whose centroid is at most SEARCH_RATIO times as far as the nearest one, and more of the next
     until those hold four times k vectors. Large lists are read in blocks. Empty tables give an empty result.
     """
-    both = usable(vectors.select("vec_id", "embedding"))
-    asked = usable(queries.select("vec_id", "embedding"))
+    size = dimension(vectors)
+    both, asked = usable(vectors, size), usable(queries, size)
     centroids, posted = build(both, sample_rows)
     result = "query_id long, vec_id long, score double"
     if centroids is None:

@@ -2,14 +2,17 @@
 
 A suffix starts at every word that has min_words - 1 words after it in its document, and is cut after min_words
 words, so a tree's nodes at that depth are the deep ones and the further extent of a repeat is a run of neighbouring
-suffixes. A suffix's prefix, three hash bits of each of 13 words in order, says which group it belongs to. Within a
-group it is known by 80 hash bits of all its words; equal ones are one node. Two suffixes that differ, in one word or
-in all, have equal bits with probability 2^-80.
+suffixes. What cannot repeat is left out first: each slice of documents lists the cells its suffixes hash to, cells are
+compared by ranges, and only suffixes whose cell a second slice has too go on (others share a cell by chance with
+probability 2^-7 at most; none that repeats is lost). A suffix's prefix, three hash bits of each of 13 words in order,
+says which group it belongs to. Within a group it is known by 80 hash bits of all its words; equal ones are one node.
+Two suffixes that differ, in one word or in all, have equal bits with probability 2^-80.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,14 +29,25 @@ MIN_WORDS = 13
 #: too few groups, down to LEAST_SUFFIXES.
 GROUP_SUFFIXES = 2 << 20
 LEAST_GROUPS, MOST_GROUPS, LEAST_SUFFIXES = 40, 1 << 20, 1 << 14
-#: Documents that are put together again in one step.
-GROUP_DOCUMENTS = 1000
+#: Most documents and bytes of text that are hashed, and put together again, in one step. A longer text is one step.
+GROUP_DOCUMENTS = 8000
 SLICE_BYTES = 4 << 20
+#: Suffixes of a range of cells, and cells for each suffix as a power of two.
+RANGE_SUFFIXES, CELL_BITS = 1 << 20, 7
+_LEAST_RANGE_BITS = 4
 _CODE_BITS = 39
 _FIRST_BITS = 15
 _MORE_BITS = 8
 
 
+def _whole(hashes: np.ndarray, at: np.ndarray, min_words: int) -> np.ndarray:
+    """64 hash bits of all words of the suffixes that start at the given words."""
+    whole = np.zeros(len(at), np.uint64)
+    for k in range(min_words):
+        whole = whole * np.uint64(0x5851F42D4C957F2D) + hashes[at + k]
+    return mixed(whole)
+
+
 def _suffixes(batch: pa.RecordBatch, min_words: int) -> dict[str, np.ndarray]:
     """The suffixes of some documents in order of their hash bits, equal ones in order of doc_id.
 
@@ -45,15 +59,13 @@ def _suffixes(batch: pa.RecordBatch, min_words: int) -> dict[str, np.ndarray]:
     hashes = word_hashes(words)
     coded = min(min_words, _CODE_BITS)
     bits = _CODE_BITS // coded
-    prefix, whole, other = (np.zeros(len(at), np.uint64) for _ in range(3))
+    prefix, other = (np.zeros(len(at), np.uint64) for _ in range(2))
     again = mixed(hashes + np.uint64(0xD1B54A32D192ED03))
     for k in range(min_words):
-        word = hashes[at + k]
         if k < coded:
-            prefix |= (word >> np.uint64(64 - bits)) << np.uint64(64 - bits * (k + 1))
-        whole = whole * np.uint64(0x5851F42D4C957F2D) + word
+            prefix |= (hashes[at + k] >> np.uint64(64 - bits)) << np.uint64(64 - bits * (k + 1))
         other = other * np.uint64(0x2545F4914F6CDD1D) + again[at + k]
-    key, check = mixed(whole), (mixed(other) >> np.uint64(48)).astype(np.uint16)
+    key, check = _whole(hashes, at, min_words), (mixed(other) >> np.uint64(48)).astype(np.uint16)
     ids = batch["doc_id"].to_numpy(zero_copy_only=False)
     order = np.lexsort((check, key))  # documents stand in order of doc_id
     prefix, key, check, doc = prefix[order], key[order], check[order], doc[order]
@@ -98,8 +110,8 @@ def _prefix_counts(docs: DataFrame, min_words: int, bits: int, parents: np.ndarr
     return counts.orderBy("prefix").toPandas()
 
 
-def group_starts(docs: DataFrame, min_words: int = MIN_WORDS) -> np.ndarray:
-    """The first prefix of each group of suffixes.
+def group_starts(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[np.ndarray, int]:
+    """The first prefix of each group of suffixes, and the number of suffixes.
 
     Prefixes of 15 bits (five words) are counted over all documents. A prefix with more suffixes than a group may
     hold is made longer by eight bits at a time; neighbouring short ones share a group. So the driver sees
@@ -124,7 +136,7 @@ def group_starts(docs: DataFrame, min_words: int = MIN_WORDS) -> np.ndarray:
             starts.append(start)
             held = 0
         held += n
-    return np.array(starts, np.uint64)
+    return np.array(starts, np.uint64), total
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -154,44 +166,122 @@ def _marks(rows: np.ndarray, start: np.ndarray, homes: int) -> pa.RecordBatch:
     return _pack(rows % homes, {"rows": rows, "starts": start.astype(np.int32)}, "home")
 
 
-def repeat_starts(docs: DataFrame, homes: int, min_words: int = MIN_WORDS) -> DataFrame:
+@dataclass
+class Cells:
+    """Numbers that suffixes hash to, in ranges; CELL_BITS more bits than it takes to count the suffixes."""
+
+    bits: int
+    range_bits: int
+
+    @classmethod
+    def of(cls, suffixes: int) -> Cells:
+        ranges = max(-(-suffixes // RANGE_SUFFIXES) - 1, 0).bit_length()
+        return cls(min(suffixes.bit_length() + CELL_BITS, 62), max(ranges, _LEAST_RANGE_BITS))
+
+    def cells(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def ranges(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ranges that some sorted cells are in, and where each begins."""
+        return np.unique(cells >> (self.bits - self.range_bits), return_index=True)
+
+
+def _home_slices(docs: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The documents of a home without repeated rows, by doc_id, in slices that are the same whenever they are made."""
+    rows, ids = docs["row"].to_numpy(), docs["doc_id"]
+    _, first = np.unique(rows, return_index=True)
+    docs = docs.take(pa.array(first)).filter(pc.is_valid(ids.take(pa.array(first))))
+    docs = docs.take(pc.sort_indices(docs, [("doc_id", "ascending"), ("row", "ascending")]))
+    yield from gathered(docs.to_batches(), SLICE_BYTES)
+
+
+def met_twice(dealt: DataFrame, cells: Cells, min_words: int) -> DataFrame:
+    """Which cells of each slice another slice has too: home, slice, rng, flags (a bit for each distinct cell, in order).
+
+    dealt: doc_id, text, row and home. A slice sends each of its cells once, as a step from the one before, so a passage
+    that all documents share is one number for each slice.
+    """
+    listed = pa.schema([("rng", pa.int64()), ("home", pa.int64()), ("slice", pa.int64()), ("steps", pa.binary())])
+
+    def list_cells(home, docs):
+        parts = []
+        for number, batch in enumerate(_home_slices(docs)):
+            words = split_words(batch["text"])
+            found = np.unique(cells.cells(_whole(word_hashes(words), windows(words, min_words), min_words)))
+            ranges, first = cells.ranges(found)
+            steps = np.diff(found, prepend=0)
+            steps[first] = found[first] - (ranges << (cells.bits - cells.range_bits))
+            packed = [_planes(p) for p in np.split(steps.astype(np.uint32), first[1:])] if len(found) else []
+            n = len(ranges)
+            columns = [ranges, np.full(n, home[0].as_py()), np.full(n, number)]
+            parts.append(pa.record_batch([*(pa.array(c, pa.int64()) for c in columns), pa.array(packed, pa.binary())], schema=listed))
+        return pa.Table.from_batches(parts, listed)
+
+    def compare(rows: pa.Table) -> pa.Table:
+        steps = [np.frombuffer(s, np.uint8).reshape(4, -1).T for s in rows["steps"].to_pylist()]
+        steps = [np.ascontiguousarray(s).view(np.uint32).ravel() for s in steps]
+        found = np.concatenate([np.cumsum(s, dtype=np.int64) for s in steps])
+        order = np.argsort(found, kind="stable")
+        same = np.diff(found[order]) == 0
+        twice = np.zeros(len(found), bool)
+        twice[order[1:][same]] = True
+        twice[order[:-1][same]] = True
+        flags = [np.packbits(p).tobytes() for p in np.split(twice, np.cumsum([len(s) for s in steps])[:-1])]
+        return pa.table({n: rows[n] for n in ("home", "slice", "rng")} | {"flags": pa.array(flags, pa.binary())})
+
+    lists = dealt.groupBy("home").applyInArrow(list_cells, "rng long, home long, slice long, steps binary")
+    return lists.groupBy("rng").applyInArrow(compare, "home long, slice long, rng long, flags binary")
+
+
+def repeat_starts(dealt: DataFrame, homes: int, groups: np.ndarray, cells: Cells, min_words: int = MIN_WORDS) -> DataFrame:
     """Where suffixes start that also start in a document with a smaller doc_id.
 
-    docs: doc_id long, text, row (a number for the pair of both). Returns home (row modulo homes), rows and starts:
-    packed row numbers and word positions. Within a slice of a task only the suffixes of the smallest document are
+    dealt: doc_id long, text, row (a number for the pair of both) and home (row modulo homes). Returns home, rows and
+    starts: packed row numbers and word positions. Within a slice only the suffixes of the smallest document are
     sent on, so a passage that a third of all documents share sends one row for each slice to its group.
     """
-    bounds = group_starts(docs, min_words)
     per_run = {"ids": np.int64, "rows": np.int64, "counts": np.int32, "base": np.int32}
     per_suffix = {"key": np.uint64, "check": np.uint16, "step": np.uint16}
     names = [*per_run, *per_suffix, "starts"]
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _with_ids(batches):
-            found = _suffixes(batch, min_words)
-            row = batch["row"].to_numpy(zero_copy_only=False)
-            doc, lead = found["doc"], found["lead"]
-            # What is a repeat within the slice is known here; it takes part under a negative number.
-            own = _marks(row[doc[~lead]], found["start"][~lead], homes)
-            columns = {n: own[n] if n in ("rows", "starts") else pa.nulls(own.num_rows, pa.binary()) for n in names}
-            yield pa.record_batch({"grp": pc.subtract(-1, own["home"])} | columns)
-            # Within a group by document and position. A run of one document's suffixes has its number and first
-            # position once, and each suffix the step from the one before.
-            group = np.searchsorted(bounds, found["prefix"][lead], "right") - 1
-            columns = [found["key"][lead], found["check"][lead], found["start"][lead], doc[lead], group]
-            order = np.lexsort(columns[2:])
-            key, check, start, doc, group = (c[order] for c in columns)
-            step = np.diff(start, prepend=0)
-            new = (np.diff(group, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0) | (step > 0xFFFF)
-            first = np.flatnonzero(new)
-            step[first] = 0
-            counts = np.diff(np.append(first, len(doc))).astype(np.int32)
-            head = {"ids": found["ids"][doc[first]], "rows": row[doc[first]], "counts": counts}
-            head = _pack(group[first], head | {"base": start[first].astype(np.int32)}, "grp")
-            each = _pack(group, {"key": key, "check": check, "step": step.astype(np.uint16)}, "grp")
-            columns = {n: head[n] for n in per_run} | {n: each[n] for n in per_suffix}
-            columns["starts"] = pa.nulls(each.num_rows, pa.binary())
-            yield pa.record_batch({"grp": each["grp"]} | columns)
+    schema = pa.schema([("grp", pa.int64()), *((n, pa.binary()) for n in names)])
+
+    def deal(docs: pa.Table, flags: pa.Table) -> pa.Table:
+        twice: dict[int, list[bytes]] = {}
+        flags = flags.sort_by([("slice", "ascending"), ("rng", "ascending")])
+        for number, bits in zip(flags["slice"].to_pylist(), flags["flags"].to_pylist(), strict=True):
+            twice.setdefault(number, []).append(bits)
+        parts = [p for n, batch in enumerate(_home_slices(docs)) for p in _dealt(batch, twice.get(n, []))]
+        return pa.Table.from_batches(parts, schema)
+
+    def _dealt(batch: pa.RecordBatch, flags: list[bytes]) -> Iterator[pa.RecordBatch]:
+        found = _suffixes(batch, min_words)
+        row = batch["row"].to_numpy(zero_copy_only=False)
+        doc, lead = found["doc"], found["lead"]
+        # What is a repeat within the slice is known here; it takes part under a negative number.
+        own = _marks(row[doc[~lead]], found["start"][~lead], homes)
+        columns = {n: own[n] if n in ("rows", "starts") else pa.nulls(own.num_rows, pa.binary()) for n in names}
+        yield pa.record_batch({"grp": pc.subtract(-1, own["home"])} | columns, schema=schema)
+        cell, number = np.unique(cells.cells(found["key"]), return_inverse=True)
+        ends = np.append(cells.ranges(cell)[1][1:], len(cell))
+        met = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(flags, np.diff(ends, prepend=0), strict=True)] if len(cell) else []
+        go = lead & np.concatenate(met).astype(bool)[number] if met else lead
+        # Within a group by document and position. A run of one document's suffixes has its number and first
+        # position once, and each suffix the step from the one before.
+        group = np.searchsorted(groups, found["prefix"][go], "right") - 1
+        columns = [found["key"][go], found["check"][go], found["start"][go], doc[go], group]
+        order = np.lexsort(columns[2:])
+        key, check, start, doc, group = (c[order] for c in columns)
+        step = np.diff(start, prepend=0)
+        new = (np.diff(group, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0) | (step > 0xFFFF)
+        first = np.flatnonzero(new)
+        step[first] = 0
+        counts = np.diff(np.append(first, len(doc))).astype(np.int32)
+        head = {"ids": found["ids"][doc[first]], "rows": row[doc[first]], "counts": counts}
+        head = _pack(group[first], head | {"base": start[first].astype(np.int32)}, "grp")
+        each = _pack(group, {"key": key, "check": check, "step": step.astype(np.uint16)}, "grp")
+        columns = {n: head[n] for n in per_run} | {n: each[n] for n in per_suffix}
+        columns["starts"] = pa.nulls(each.num_rows, pa.binary())
+        yield pa.record_batch({"grp": each["grp"]} | columns, schema=schema)
 
     def subtree(group, table):
         if group[0].as_py() < 0:
@@ -209,8 +299,9 @@ def repeat_starts(docs: DataFrame, homes: int, min_words: int = MIN_WORDS) -> Da
         start = part["base"][run] + moved - moved[np.cumsum(part["counts"]) - part["counts"]][run]
         return pa.Table.from_batches([_marks(part["rows"][run[later]], start[later], homes)])
 
-    dealt = docs.mapInArrow(deal, "grp long, " + ", ".join(f"{n} binary" for n in names))
-    return dealt.groupBy("grp").applyInArrow(subtree, "home long, rows binary, starts binary")
+    flags = met_twice(dealt, cells, min_words)
+    sent = dealt.groupBy("home").cogroup(flags.groupBy("home")).applyInArrow(deal, "grp long, " + ", ".join(f"{n} binary" for n in names))
+    return sent.groupBy("grp").applyInArrow(subtree, "home long, rows binary, starts binary")
 
 
 def _kept(text: str | None, starts: np.ndarray, min_words: int) -> tuple[str, int, int, list[dict]]:
@@ -228,23 +319,31 @@ def _kept(text: str | None, starts: np.ndarray, min_words: int) -> tuple[str, in
 
 
 def _apply(docs: DataFrame, min_words: int, build, schema: T.StructType) -> DataFrame:
-    """build(rows, starts by row number) over groups of documents together with their marks."""
-    row, home = free_name(docs.columns, "row"), free_name(docs.columns, "home")
-    homes = max(1, -(-docs.count() // GROUP_DOCUMENTS))
-    numbered = docs.withColumn(row, F.xxhash64("doc_id", "text"))
-    narrow = numbered.select(F.col("doc_id").cast("long"), "text", F.col(row).alias("row"))
-    marks = repeat_starts(narrow, homes, min_words)
+    """build(rows, starts by row number) over groups of documents together with their marks.
+
+    One shuffle deals whole documents to homes of bounded size; listing cells, sending suffixes and putting documents
+    together all start from it.
+    """
+    wide = {c: free_name(["doc_id", "text", "row", "home"], f"c{k}") for k, c in enumerate(docs.columns)}
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    homes = max(1, -(-size["n"] // GROUP_DOCUMENTS), -(-size["bytes"] // SLICE_BYTES))
+    row = F.xxhash64("doc_id", "text")
+    narrow = [F.col("doc_id").cast("long").alias("doc_id"), "text", row.alias("row"), F.expr(f"pmod(xxhash64(doc_id, text), {homes})").alias("home")]
+    others = [F.col(f"`{c}`").alias(name) for c, name in wide.items() if c != "text"]
+    dealt = docs.select(*narrow, *others)
+    groups, suffixes = group_starts(docs.select(*narrow[:2]), min_words)
+    marks = repeat_starts(dealt, homes, groups, Cells.of(suffixes), min_words)
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
         rows, starts = _numbers(right["rows"], np.int64), _numbers(right["starts"], np.int32)
         order = np.argsort(rows, kind="stable")
         found, first = np.unique(rows[order], return_index=True)
         by_row = dict(zip(found.tolist(), np.split(starts[order], first[1:]), strict=False)) if len(found) else {}
-        marked = [by_row.get(r, _NONE) for r in left[row].to_pylist()]
-        return build(left.drop_columns([row, home]), marked)
+        marked = [by_row.get(r, _NONE) for r in left["row"].to_pylist()]
+        given = {c: left["text" if c == "text" else name] for c, name in wide.items()}
+        return build(pa.table(given), marked)
 
-    dealt = numbered.withColumn(home, F.expr(f"pmod(`{row}`, {homes})"))
-    return dealt.groupBy(home).cogroup(marks.groupBy("home")).applyInArrow(put_together, schema)
+    return dealt.groupBy("home").cogroup(marks.groupBy("home")).applyInArrow(put_together, schema)
 
 
 _NONE = np.zeros(0, np.int32)

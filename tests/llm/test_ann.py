@@ -46,6 +46,15 @@ def same(found, wanted):
         assert np.allclose([s for s, _ in found[q]], [s for s, _ in wanted[q]], rtol=1e-12)
 
 
+def test_queries_of_another_dimension_take_no_part(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=4 if i % 10 == 0 and i else 8).tolist()) for i in range(100)]
+    df = frame(spark, rows)
+    found = result(ann.nearest(df.where("vec_id % 10 = 0"), df))
+    same(found, {q: near for q, near in brute(rows, lambda i: i % 10 == 0).items()})
+    assert found.keys() == {0}
+
+
 def test_awkward_vectors_and_ties(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.integers(-2, 3, 4).tolist()) for i in range(60)]

@@ -97,6 +97,32 @@ def test_documents_keep_their_columns_and_clean_texts(spark, cases):
     assert emptied and cut.count() == len(cases) - emptied
 
 
+def test_cells_lose_no_repeat_and_few_others_go_on(spark, monkeypatch):
+    """With hardly any cells, and with ranges of a few, results are the same; without repeats hardly any go on."""
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 400, 60))) for i in range(120)]
+    rows += [(1000 + i, rows[i * 7][1]) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(substrings, "SLICE_BYTES", 1500)
+    for bits, ranges in ((7, 1 << 20), (7, 40), (-6, 1 << 20)):
+        monkeypatch.setattr(substrings, "CELL_BITS", bits)
+        monkeypatch.setattr(substrings, "RANGE_SUFFIXES", ranges)
+        assert result(substrings.repeats(df)) == brute(rows)
+    monkeypatch.undo()
+    cells = substrings.Cells.of(120 * 48)
+    keys = rng.integers(0, 2**63, 120 * 48).astype(np.uint64) * np.uint64(2)
+    assert len(np.unique(cells.cells(keys))) > 0.98 * len(keys)
+
+
+def test_rows_repeated_and_awkward_column_names(spark):
+    text = " ".join(f"p{i}" for i in range(20))
+    rows = [(5, text, 1, "a"), (5, text, 1, "a"), (4, text, 2, None), (None, text, 3, "b"), (6, None, 4, "c")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, row int, `c.0` string").withColumnRenamed("row", "Row")
+    kept = substrings.without_repeats(df)
+    assert kept.columns == df.columns and kept.schema["doc_id"].dataType == df.schema["doc_id"].dataType
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[2], rows[3], rows[4]], key=str)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert substrings.repeats(df).collect() == [] and substrings.without_repeats(df).collect() == []
