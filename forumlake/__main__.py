@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from forumlake.plans import pipeline
 from forumlake.session import configure
-from forumlake.sources import silver
+from forumlake.sources import releases, silver
 
 
 def _arguments() -> argparse.Namespace:
@@ -29,6 +29,10 @@ def _arguments() -> argparse.Namespace:
     build = runs.add_parser("build", help="rebuild and check all models")
     build.add_argument("--silver", required=True)
     build.add_argument("--buckets", type=int)
+    build.add_argument("--releases", help="folder of releases: publish all models at once; catalogue tables by default")
+    back = runs.add_parser("rollback", help="have readers get an earlier release")
+    back.add_argument("--releases", required=True)
+    back.add_argument("--release", type=int, required=True)
     shown = runs.add_parser("dashboard", help="print the dashboard queries")
     shown.add_argument("--view", default="gold.story_analytics")
     shown.add_argument("--first", type=dt.date.fromisoformat)
@@ -60,8 +64,14 @@ def main() -> None:
         print(f"{len(run.parsed)} days parsed", *run.parsed)
         print(f"{len(run.shrunk)} days lost files and were left alone", *run.shrunk)
     elif args.run == "build":
-        models = pipeline.build_models(silver.read_items(spark, args.silver), buckets=args.buckets)
+        items = silver.read_items(spark, args.silver)
+        if args.releases:
+            models = pipeline.publish_models(items, args.releases, int(now.timestamp()))
+        else:
+            models = pipeline.build_models(items, buckets=args.buckets)
         pipeline.check_models(models).show(truncate=False)
+    elif args.run == "rollback":
+        releases.move_to(spark, args.releases, args.release)
     else:
         for name, df in pipeline.dashboard_queries(spark.table(args.view), args.first, args.last).items():
             print(name)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from forumlake.constants import CALENDAR_END, ITEMS_PER_CHUNK, UNKNOWN_USER_NAME
 from forumlake.plans import dashboard, dims, facts, marts, quality, staging
 from forumlake.session import stored
-from forumlake.sources import bronze, control, silver
+from forumlake.sources import bronze, control, releases, silver
 
 
 def land_new_items(
@@ -129,42 +129,68 @@ def save_table(df: DataFrame, name: str, key: str | None = None, buckets: int |
     return spark.table(name)
 
 
-def build_models(
-    items: DataFrame, staging_schema: str = "silver", schema: str = "gold", buckets: int | None = None
-) -> dict[str, DataFrame]:
-    """Rebuild all models from parsed items; each is stored once and read back by the next.
-
-    Staging is stored although it is only a view of the parsed items: five models read it, and
-    each would repeat the whole deduplication. So is the reporting view: dashboards read it
-    often, and it changes only when the models do.
-    """
-    spark = items.sparkSession
-    for name in (staging_schema, schema):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
-    staged = save_table(staging.staged_items(items), f"{staging_schema}.stg_items", "item_id", buckets)
-    models = {"stg_items": staged}
+def _store_models(items: DataFrame, store: Callable[[str, DataFrame, str | None], DataFrame]) -> dict[str, DataFrame]:
+    """Every model, stored by store(name, rows, key) and read back by the next."""
+    spark, models = items.sparkSession, {}
 
-    def store(name: str, df: DataFrame, key: str | None = None) -> None:
-        models[name] = save_table(df, f"{schema}.{name}", key, buckets if key else None)
+    def add(name: str, df: DataFrame, key: str | None = None) -> DataFrame:
+        models[name] = store(name, df, key)
+        return models[name]
 
-    store("dim_items", dims.dim_items(staged), "item_key")
-    store("dim_users", dims.dim_users(staged), "user_key")
+    staged = add("stg_items", staging.staged_items(items), "item_id")
+    add("dim_items", dims.dim_items(staged), "item_key")
+    add("dim_users", dims.dim_users(staged), "user_key")
     # The calendar goes on to the last day an item was created, if that is later than its usual end.
     newest = staged.agg(F.date_add(F.to_date(F.max("created_at")), 1)).first()[0]
-    store("dim_dates", dims.dim_dates(spark, end=max(newest or dt.date.min, dt.date.fromisoformat(CALENDAR_END))))
+    add("dim_dates", dims.dim_dates(spark, end=max(newest or dt.date.min, dt.date.fromisoformat(CALENDAR_END))))
     # Keys are computed unless an author bears the unknown author's name and only a look-up tells both.
     if models["dim_users"].filter(F.col("user_name") == UNKNOWN_USER_NAME).count() == 1:
         stories = facts.fct_stories(staged)
     else:
         stories = facts.fct_stories_joined(staged, models["dim_items"], models["dim_users"])
-    store("fct_stories", stories, "item_key")
-    store("daily_story_metrics", marts.daily_story_metrics(models["fct_stories"]))
-    store("daily_active_authors", marts.daily_active_authors(models["fct_stories"]))
+    add("fct_stories", stories, "item_key")
+    add("daily_story_metrics", marts.daily_story_metrics(models["fct_stories"]))
+    add("daily_active_authors", marts.daily_active_authors(models["fct_stories"]))
     wide = facts.story_analytics(models["fct_stories"], models["dim_items"], models["dim_users"])
-    store("story_analytics", wide, "item_key")
+    add("story_analytics", wide, "item_key")
     return models
 
 
+def build_models(
+    items: DataFrame, staging_schema: str = "silver", schema: str = "gold", buckets: int | None = None
+) -> dict[str, DataFrame]:
+    """Rebuild all models from parsed items; each is stored once and read back by the next.
+
+    Staging is stored although it is only a view of the parsed items: five models read it, and
+    each would repeat the whole deduplication. So is the reporting view: dashboards read it
+    often, and it changes only when the models do. Tables are replaced one by one; publish_models replaces all at once.
+    """
+    for name in (staging_schema, schema):
+        items.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+
+    def store(name: str, df: DataFrame, key: str | None) -> DataFrame:
+        return save_table(df, f"{staging_schema if name == 'stg_items' else schema}.{name}", key, buckets if key else None)
+
+    return _store_models(items, store)
+
+
+def publish_models(items: DataFrame, root: str, release: int, checked: bool = False) -> dict[str, DataFrame]:
+    """Build all models as one release and have readers get it: until the last step they get the old set, whole.
+
+    A build that died is repeated under its number; one whose release is complete is not built again. With `checked`
+    a release with failing checks is not published, and an error names them.
+    """
+    spark = items.sparkSession
+    if not releases.is_complete(spark, root, release):
+        models = _store_models(items, lambda name, df, key: releases.write_table(df, root, release, name))
+        failing = check_models(models).select("model", "column", "check").collect() if checked else []
+        if failing:
+            raise ValueError(f"release {release} fails " + ", ".join(".".join(r) for r in failing))
+        releases.complete(spark, root, release, models)
+    releases.move_to(spark, root, release)
+    return releases.read(spark, root, release)
+
+
 def check_models(models: dict[str, DataFrame]) -> DataFrame:
     """Failures of every declared check that has any."""
     return quality.run_checks(models).filter("failures > 0")

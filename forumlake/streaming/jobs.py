@@ -42,6 +42,26 @@ def append_parsed(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
 
 
+def append_unique(items: DataFrame, path: str, checkpoint: str, within: str = "7 days") -> StreamingQuery:
+    """Append items to a folder, exact copies (all columns equal) only once if they come within the given time of the first.
+
+    Time is when a row is taken up, so no row is ever too late and none but a copy is dropped. What is kept for that
+    time is a digest of each row, in the state store, by digest; a copy that comes later is appended again and staging
+    keeps one version. Columns may have any type that has a JSON form.
+    """
+    digest = F.sha2(F.to_json(F.struct(*items.columns), {"ignoreNullFields": "false"}), 256)
+    taken = items.withColumns({"_digest": digest, "_taken": F.current_timestamp()})
+    first = taken.withWatermark("_taken", within).dropDuplicatesWithinWatermark(["_digest"])
+    return (
+        first.drop("_digest", "_taken")
+        .writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def reload_touched_days(lines: DataFrame, root: str, path: str, checkpoint: str) -> StreamingQuery:
     """Parse again every day that got new files, late ones included, and replace it in silver.
 

@@ -120,6 +120,31 @@ round(CAST(count(*) FILTER (item_type = 'comment') AS DOUBLE) / nullif(count(*)
     AS comments_per_story
 FROM stg
 """
+_COARSE = _with(
+    EVENT_SILVER_SQL, _STAGED.replace("FROM silver", "FROM (SELECT * REPLACE (descendants // 50 AS score, descendants // 34 AS descendants) FROM silver)"),
+    _HISTORY_STATES, """
+runs AS (
+    SELECT *, sum(changed) OVER (PARTITION BY item_id ORDER BY ingest_date) AS run FROM (
+        SELECT *, CASE WHEN lag(ingest_date) OVER w IS NULL OR score IS DISTINCT FROM lag(score) OVER w
+                       OR descendants IS DISTINCT FROM lag(descendants) OVER w THEN 1 ELSE 0 END AS changed
+        FROM states WINDOW w AS (PARTITION BY item_id ORDER BY ingest_date))
+),
+intervals AS (
+    SELECT item_id, score, descendants, min(ingest_date) AS first_day, max(ingest_date) AS last_day, count(*) AS n_days,
+           lead(min(ingest_date)) OVER (PARTITION BY item_id ORDER BY run) AS next_day
+    FROM runs GROUP BY item_id, run, score, descendants
+)""", then="")
+_RELEASE = """
+SELECT 'stg_items' AS model, count(*) AS n_rows, CAST(sum(score) AS BIGINT) AS total FROM stg
+UNION ALL SELECT 'dim_items', count(*), CAST(sum(text_length) AS BIGINT) FROM dim_items
+UNION ALL SELECT 'dim_users', count(*), CAST(sum(total_posts_count) AS BIGINT) FROM dim_users
+UNION ALL SELECT 'fct_stories', count(*), CAST(sum(created_date_key + coalesce(total_comments, 0)) AS BIGINT) FROM fct
+UNION ALL SELECT 'daily_story_metrics', count(*), CAST(sum(n * median) AS BIGINT)
+    FROM (SELECT count(*) AS n, quantile_disc(score, 0.5) AS median FROM fct GROUP BY CAST(created_at AS DATE))
+UNION ALL SELECT 'daily_active_authors', count(*), CAST(sum(n) AS BIGINT)
+    FROM (SELECT count(DISTINCT user_key) AS n FROM fct GROUP BY CAST(created_at AS DATE))
+UNION ALL SELECT 'story_analytics', count(*), CAST(sum(length(story_domain) + score) AS BIGINT) FROM vw"""
+_PART = _STAGED.replace("FROM silver", "FROM silver WHERE source_file <> 'documents'")
 _DAY = "strftime(ts, '%Y-%m-%d')"
 _TOTALS = f"""
 totals AS (
@@ -221,6 +246,15 @@ ORACLE: dict[str, str] = {
             l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn FROM lineitem) WHERE rn = 1""",
     "item_history": _with(SILVER_SQL, _STAGED, _HISTORY_STATES, then=_HISTORY),
     "event_state_history": _with(EVENT_SILVER_SQL, _STAGED, _HISTORY_STATES, then=_HISTORY),
+    "item_state_intervals": _COARSE + "SELECT * FROM intervals",
+    "intervals_by_delivery": _COARSE + "SELECT * FROM intervals",
+    "states_as_of": _COARSE + """
+        SELECT * FROM intervals WHERE first_day <= '2024-01-15' AND (next_day IS NULL OR next_day > '2024-01-15')""",
+    "events_with_state_before": _COARSE + """
+        SELECT e.source_file, e.item_id, e.asked_day, i.score, i.descendants, i.first_day
+        FROM (SELECT source_file, item_id, strftime(CAST(ingest_date AS DATE) - 3, '%Y-%m-%d') AS asked_day FROM dated) e
+        LEFT JOIN intervals i ON e.item_id = i.item_id AND i.first_day <= e.asked_day
+            AND (i.next_day IS NULL OR i.next_day > e.asked_day)""",
     "comments_on_stories": _parsed("""
         , typed AS MATERIALIZED (SELECT item_id, item_type, parent_id, author, created_at, score FROM stg),
         stories AS MATERIALIZED (SELECT DISTINCT item_id AS story_id FROM typed WHERE item_type = 'story')
@@ -283,6 +317,9 @@ ORACLE: dict[str, str] = {
     "drill_down": _parsed("""
         SELECT item_id, author, created_at, score FROM stg
         WHERE CAST(created_at AS DATE) = DATE '1997-01-03' AND item_type = 'story' AND author = 'src1'"""),
+    "drill_down_laid_out": _parsed("""
+        SELECT item_id, author, created_at, score FROM stg
+        WHERE CAST(created_at AS DATE) = DATE '1997-01-03' AND item_type = 'story' AND author = 'src1'"""),
     "author_scores": _fact("""
         SELECT user_key, CAST(sum(score) AS BIGINT) AS total_score, count(*) AS stories,
                rank() OVER (ORDER BY sum(score) DESC NULLS LAST) AS rank
@@ -428,6 +465,11 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'daily_story_metrics', count(DISTINCT CAST(created_at AS DATE)) FROM fct
         UNION ALL SELECT 'daily_active_authors', count(DISTINCT CAST(created_at AS DATE)) FROM fct
         UNION ALL SELECT 'story_analytics', count(*) FROM vw"""),
+    "published_models": f"""
+        SELECT step, model, n_rows, total FROM (VALUES ('second build'), ('third build died')) a(step), ({_view(_RELEASE)})
+        UNION ALL
+        SELECT step, model, n_rows, total FROM (VALUES ('first build'), ('went back')) b(step),
+            ({_with(SILVER_SQL, _PART, _ITEMS, _USERS, _FACTS, _VIEW, then=_RELEASE)})""",
     "replaced_days": f"""
         SELECT {_DAY} AS ingest_date, count(*) AS n_rows,
                CAST(sum(floor(value) + CASE WHEN ts >= '2024-01-10' AND ts < '2024-01-20' THEN 1000 ELSE 0 END) AS BIGINT)
@@ -455,6 +497,7 @@ ORACLE: dict[str, str] = {
     "event_threads": _threads(_EVENT_TREE),
     "threads_by_delivery": _threads(_EVENT_TREE),
     "stream_landed_to_silver": f"SELECT {_EVENT_ROW} FROM events",
+    "stream_unique_deliveries": _with(EVENT_SILVER_SQL, then="SELECT item_id, created_at, score, source_file FROM silver"),
     "stream_late_days": f"""
         SELECT {_DAY} AS ingest_date, count(*) AS n_rows,
                CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS score

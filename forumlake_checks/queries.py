@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from forumlake_checks import feed
 from forumlake.functions import day_string
-from forumlake.operators import thread_store
+from forumlake.operators import intervals, thread_store
 from forumlake.operators.threads import expand_threads
 from forumlake.operators.versions import latest_version
-from forumlake.plans import dashboard, dims, facts, incremental, marts, metrics, quality, sketches, staging
-from forumlake.plans.pipeline import build_models, land_new_items, parse_changed_days
+from forumlake.plans import dashboard, dims, facts, history, incremental, marts, metrics, quality, sketches, staging
+from forumlake.plans.pipeline import build_models, land_new_items, parse_changed_days, publish_models
 from forumlake.session import configure, new_dir, stored
-from forumlake.sources import bronze, control, silver
+from forumlake.sources import bronze, control, layout, releases, silver
 from forumlake.streaming import jobs
 
 #: Columns of the view that day rows are made of.
@@ -97,6 +97,44 @@ def event_state_history(spark, sf_dir):
     return staging.item_history(feed.event_items(spark, sf_dir))
 
 
+def _coarse_states(spark, sf_dir):
+    """Event items whose figures are coarse, so that a state often stays for several days."""
+    items = feed.event_items(spark, sf_dir)
+    return items.withColumns({"score": F.expr("descendants div 50"), "descendants": F.expr("descendants div 34")})
+
+
+@query
+def item_state_intervals(spark, sf_dir):
+    return history.item_intervals(_coarse_states(spark, sf_dir))
+
+
+@query
+def intervals_by_delivery(spark, sf_dir):
+    """Three deliveries: the last days first, some items twice, late days that split known intervals."""
+    items, store = _coarse_states(spark, sf_dir), new_dir(spark, "history")
+    third = F.pmod(F.xxhash64("source_file"), F.lit(3))
+    deliveries = ((third == 0) & (F.col("ingest_date") > "2024-01-10"), third != 1, (third == 1) | (F.col("item_id") % 5 == 0))
+    for run, part in enumerate(deliveries, 1):
+        history.refresh(spark, items.filter(part), store, run, ids_per_part=20_000)
+    return history.read_intervals(spark, store)
+
+
+@query
+def states_as_of(spark, sf_dir):
+    """The state that every item had in the middle of the month."""
+    return intervals.as_of(history.item_intervals(_coarse_states(spark, sf_dir)), "2024-01-15")
+
+
+@query
+def events_with_state_before(spark, sf_dir):
+    """Every event with the state its item had three days before; none before it was first seen."""
+    items = _coarse_states(spark, sf_dir)
+    made = stored(history.item_intervals(items))
+    events = items.select("source_file", "item_id", F.date_sub("ingest_date", 3).cast("string").alias("asked_day"))
+    found = intervals.join_as_of(events, made, "item_id", "asked_day")
+    return found.select("source_file", "item_id", "asked_day", "score", "descendants", "first_day")
+
+
 @query
 def comments_on_stories(spark, sf_dir):
     comments = staging.comments_on(_stored_staged(spark, sf_dir))
@@ -261,6 +299,16 @@ def drill_down(spark, sf_dir):
     return items.select("item_id", "author", "created_at", "score")
 
 
+@query
+def drill_down_laid_out(spark, sf_dir):
+    """The same on items laid out by day and author, with bloom filters on author and id."""
+    path = new_dir(spark, "laid-out")
+    layout.write_for_skipping(_staged(spark, sf_dir), path, "created_at", "author", "item_id", files=8)
+    items = spark.read.parquet(path).filter("created_at >= '1997-01-03' AND created_at < '1997-01-04'")
+    items = dashboard.drill_down(items, item_type="story", author="src1")
+    return items.select("item_id", "author", "created_at", "score")
+
+
 # Metrics
 
 
@@ -568,6 +616,39 @@ def built_models(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts).select("model", "n_rows")
 
 
+#: What each model of a release is summed up to, beside its rows.
+_TOTALS = {
+    "stg_items": "sum(score)",
+    "dim_items": "sum(text_length)",
+    "dim_users": "sum(total_posts_count)",
+    "fct_stories": "sum(created_date_key + coalesce(total_comments, 0))",
+    "daily_story_metrics": "sum(stories_per_day * median_story_score)",
+    "daily_active_authors": "sum(active_authors_per_day)",
+    "story_analytics": "sum(length(story_domain) + score)",
+}
+
+
+@query
+def published_models(spark, sf_dir):
+    """What readers get after a first build, a second one, a third that dies between two models, and going back."""
+    root, everything, seen = new_dir(spark, "releases"), feed.feed(spark, sf_dir), {}
+    publish_models(everything.filter("source_file <> 'documents'"), root, 1)
+    seen["first build"] = releases.read(spark, root)
+    publish_models(everything, root, 2)
+    seen["second build"] = releases.read(spark, root)
+    releases.write_table(_staged(spark, sf_dir).limit(0), root, 3, "stg_items")
+    seen["third build died"] = releases.read(spark, root)
+    releases.move_to(spark, root, 1)
+    seen["went back"] = releases.read(spark, root)
+    parts = [
+        models[name].agg(F.count(F.lit(1)).alias("n_rows"), F.expr(total).cast("bigint").alias("total"))
+        .select(F.lit(step).alias("step"), F.lit(name).alias("model"), "n_rows", "total")
+        for step, models in seen.items()
+        for name, total in _TOTALS.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def replaced_days(spark, sf_dir):
     """Days written once, then those of the errors again without the errors: others stay whole."""
@@ -671,6 +752,19 @@ def stream_landed_to_silver(spark, sf_dir):
     return silver.read_items(spark, path).select("item_id", "author", "created_at", "score", "ingest_date")
 
 
+@query
+def stream_unique_deliveries(spark, sf_dir):
+    """Items delivered with copies in one delivery and again in the next: each is appended once."""
+    path, checkpoint, arriving = (new_dir(spark, name) for name in ("unique", "progress", "arriving"))
+    items = feed.event_items(spark, sf_dir)
+    early, again = F.col("descendants") < 60, F.col("descendants") % 3 == 0
+    for part in (items.filter(early).unionByName(items.filter(early & again)), items.filter(~early | again)):
+        part.write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(items.schema).parquet(arriving)
+        jobs.append_unique(stream, path, checkpoint, within="1 day").awaitTermination()
+    return spark.read.schema(items.schema).parquet(path).select("item_id", "created_at", "score", "source_file")
+
+
 @query
 def stream_late_days(spark, sf_dir):
     """Signups land in a second delivery; their days are parsed again as a whole."""
