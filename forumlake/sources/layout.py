@@ -37,7 +37,7 @@ def write_for_skipping(
     files. Rows without a day or name are written too.
     """
     coded = df.withColumn("_code", layout_code(df, day, name))
-    (
+    written = (
         coded.repartitionByRange(files, "_code", key)
         .sortWithinPartitions("_code", day, key)
         .drop("_code")
@@ -45,5 +45,12 @@ def write_for_skipping(
         .option(f"parquet.bloom.filter.enabled#{name}", "true")
         .option(f"parquet.bloom.filter.enabled#{key}", "true")
         .option("parquet.bloom.filter.adaptive.enabled", "true")
-        .parquet(path)
     )
+    # The older form of timestamps has no minimum and maximum.
+    conf, form = df.sparkSession.conf, "spark.sql.parquet.outputTimestampType"
+    before = conf.get(form)
+    conf.set(form, "TIMESTAMP_MICROS")
+    try:
+        written.parquet(path)
+    finally:
+        conf.set(form, before)

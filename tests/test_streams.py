@@ -21,6 +21,24 @@ def test_append_takes_each_file_once(spark, tmp_path, rows):
     )
 
 
+def test_exact_copies_are_appended_once_within_a_time(spark, tmp_path, rows):
+    items = spark.createDataFrame(ITEMS, SILVER)
+    for within, times in (("1 day", 1), ("0 seconds", 2)):
+        path, checkpoint, arriving = (str(tmp_path / f"{n}{times}") for n in ("unique", "progress", "arriving"))
+        for part in (items.unionByName(items), items.withColumn("score", F.col("score") + 1), items):
+            part.write.mode("append").parquet(arriving)
+            jobs.append_unique(spark.readStream.schema(SILVER).parquet(arriving), path, checkpoint, within).awaitTermination()
+        changed = items.withColumn("score", F.col("score") + 1)
+        wanted = changed.unionByName(items)
+        for _ in range(times - 1):  # the third delivery comes when its copies are no longer known
+            wanted = wanted.unionByName(items.filter("score IS NOT NULL")).unionByName(items.filter("score IS NULL"))
+        # Rows without a score are the same in all three deliveries.
+        same = items.filter("score IS NULL").count()
+        got = rows(spark.read.schema(SILVER).parquet(path), *SILVER.names)
+        assert len(got) == wanted.count() - (same if times == 1 else 0)
+        assert set(got) == set(rows(wanted, *SILVER.names))
+
+
 def test_late_files_reload_their_day(spark, tmp_path, rows):
     root, path, checkpoint = (str(tmp_path / n) for n in ("bronze", "silver", "progress"))
     run = lambda: jobs.reload_touched_days(jobs.landed_stream(spark, root), root, path, checkpoint).awaitTermination()
