@@ -12,12 +12,20 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 #: The part of rows that have no value in the column.
 NONE = "none"
+#: Ranges of ids are dealt to so many parts in turn: files and folders follow the rows, not the number of ranges.
+MAX_ID_PARTS = 256
 _LOG = StructType([StructField("part", StringType()), StructField("run", LongType())])
 
 
 def id_part(column: str, ids_per_part: int) -> Column:
-    """The part of an id: a range of ids. Ids grow with time, so a delivery meets few of them."""
-    return F.coalesce(F.floor(F.col(column) / F.lit(ids_per_part)).cast("string"), F.lit(NONE))
+    """The part of an id: its range of ids, and every MAX_ID_PARTS-th range after it. Ids grow with time, so a delivery meets few
+    parts; beyond MAX_ID_PARTS ranges it reads that share of the table for each range it meets."""
+    return F.coalesce(id_range(column, ids_per_part).cast("string"), F.lit(NONE))
+
+
+def id_range(column: str, ids_per_part: int) -> Column:
+    """The number of an id's part; null for null."""
+    return F.pmod(F.floor(F.col(column) / F.lit(ids_per_part)), F.lit(MAX_ID_PARTS))
 
 
 def names(df: DataFrame, part: Column) -> list[str]:

@@ -11,7 +11,7 @@ from forumlake.operators import thread_store
 from forumlake.operators.threads import expand_threads
 from forumlake.plans import facts, incremental, marts, staging
 from forumlake.schemas import SILVER
-from forumlake.sources.parts import names, read_parts, replace_parts
+from forumlake.sources.parts import MAX_ID_PARTS, id_part, names, read_parts, replace_parts
 
 SCHEMA = StructType([StructField("id", LongType()), StructField("day", StringType())])
 
@@ -170,3 +170,14 @@ def test_attached_items_are_written_once(spark, tmp_path):
     rows = spark.read.parquet(f"{store}/state")
     assert [tuple(r) for r in rows.filter("run = 2").select("node", "root", "depth").collect()] == [(50, 0, 30)]
     assert rows.count() == 31
+
+
+def test_parts_of_many_ranges_stay_few(spark, tmp_path):
+    ids = spark.range(-3000, 3000).select(F.col("id").alias("item_id")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS item_id"))
+    assert len(names(ids, id_part("item_id", 1))) == MAX_ID_PARTS + 1
+    store = str(tmp_path / "threads")
+    rows = spark.range(2000).selectExpr("id AS item_id", "IF(id > 0, id - 1, NULL) AS parent_id", "IF(id > 0, 'comment', 'story') AS item_type")
+    for run in (0, 1):
+        thread_store.add_items(spark, rows.filter(f"item_id % 2 = {1 - run}"), store, run, ids_per_part=1)
+    assert sorted(map(tuple, thread_store.read_threads(spark, store).collect())) == [(0, i, i) for i in range(2000)]
+    assert spark.read.parquet(f"{store}/state").select("part").distinct().count() == MAX_ID_PARTS
