@@ -7,6 +7,7 @@ from forumlake.operators.versions import latest_version
 from forumlake.schemas import SILVER
 from forumlake.session import stored
 from forumlake.sources import bronze, silver
+from forumlake.sources.parts import id_range
 
 
 def landed_stream(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
@@ -97,8 +98,8 @@ def read_current(
 def maintain_current(items: DataFrame, path: str, checkpoint: str, ids_per_bucket: int = 1_000_000) -> StreamingQuery:
     """Keep a table of the newest version of every item under late and repeated delivery.
 
-    A bucket holds a range of ids. Ids grow with time, so a batch touches few buckets, reads
-    only those, merges, and writes them as a new snapshot under its own batch number. Older
+    A bucket holds a range of ids, and every MAX_ID_PARTS-th range after it, so there are never more than that. Ids grow
+    with time, so a batch touches few buckets, reads only those, merges, and writes them as a new snapshot under its own batch number. Older
     snapshots stay: a batch that is repeated after a failure starts from the same state and
     writes the same rows. Items without id form a bucket of their own, which holds one row.
     """
@@ -108,7 +109,7 @@ def maintain_current(items: DataFrame, path: str, checkpoint: str, ids_per_bucke
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        bucket = F.coalesce(F.floor(F.col("item_id") / ids_per_bucket), F.lit(-(2**62))).alias("bucket")
+        bucket = F.coalesce(id_range("item_id", ids_per_bucket), F.lit(-(2**62))).alias("bucket")
         new = stored(newest(batch))
         touched = [r.bucket for r in new.select(bucket).distinct().collect()]
         try:

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from forumlake.plans import facts, staging
 from forumlake.schemas import SILVER
 from forumlake.sources import silver
+from forumlake.sources.parts import MAX_ID_PARTS
 from forumlake.streaming import jobs
 from test_models import ITEMS
 from test_sources import item, write_lines
@@ -89,3 +90,17 @@ def test_daily_stream_keeps_late_stories(spark, tmp_path, rows):
         stream = spark.readStream.schema(fact.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
         jobs.maintain_daily(stream, path, checkpoint).awaitTermination()
     assert rows(jobs.read_daily(spark, path), "stories_per_day", "active_authors") == [(4, 3), (8, 3)]
+
+
+def test_buckets_of_many_ranges_stay_few(spark, tmp_path):
+    path, checkpoint, arriving = (str(tmp_path / n) for n in ("current", "progress", "arriving"))
+    for part in ("id >= 500", "id < 900"):
+        items = spark.range(1500).filter(part).selectExpr(
+            *[f"CAST({'id' if f.name == 'item_id' else repr(part) if f.name == 'source_file' else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}" for f in SILVER]
+        )
+        items.write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(SILVER).parquet(arriving)
+        jobs.maintain_current(stream, path, checkpoint, ids_per_bucket=1).awaitTermination()
+    found = {r.item_id: r.source_file for r in jobs.read_current(spark, path).collect()}
+    assert found == {i: "id >= 500" if i >= 500 else "id < 900" for i in range(1500)}
+    assert spark.read.parquet(path).select("bucket").distinct().count() <= MAX_ID_PARTS
