@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from forumlake.operators.ordered import exact_quantiles, ranked, running_weight
@@ -156,3 +157,40 @@ def test_threads(spark):
     assert {tuple(r) for r in salted.collect()} == expected
     one = expand_threads(df, roots=spark.createDataFrame([(1,), (300,)], "id long"))
     assert {tuple(r) for r in one.collect()} == {e for e in expected if e[0] == 1}
+
+
+def test_threads_of_near_ids_take_few_rounds(spark, monkeypatch):
+    """Long chains with leaps, repeated keys and cycles, in windows of few rows; rounds are for what windows leave."""
+    from forumlake.operators import threads
+
+    rng, rows = random.Random(5), [(0, None, "story"), (1, None, "story")]
+    rows += [(i, rng.randint(max(0, i - 4), i - 1) if i % 500 else rng.randint(0, i - 1), "comment") for i in range(2, 3000)]
+    rows += [(90_000 + i, 90_000 + (i + 1) % 700, "comment") for i in range(700)] + [(200_000, 2999, "comment"), (-70_000, 200_000, "comment")]
+    rows += [rows[2990], (2980, 1, "comment"), (300_000, 300_000, "comment")]  # keys that come twice give a row for each way
+    df = spark.createDataFrame(rows, "item_id long, parent_id long, item_type string")
+    above = {}
+    for item, parent, _ in rows:
+        above.setdefault(item, []).append(parent)
+
+    def ways(item, depth=0):
+        if 0 <= item < 2:
+            return [(item, depth)]
+        return [w for p in above[item] for w in ways_of(p, depth + 1)]
+
+    known = {}
+
+    def ways_of(item, depth):
+        if item not in known:
+            known[item] = ways(item)
+        return [(root, depth + d) for root, d in known[item]]
+
+    expected = sorted((r, i, d) for i in sorted(set(above) - {300_000} - set(range(90_000, 90_700)), key=lambda i: (i < 0, i)) for r, d in ways_of(i, 0))
+    saved = []
+    monkeypatch.setattr(threads, "stored", lambda df, keep=threads.stored: saved.append(1) or keep(df))
+    assert sorted(map(tuple, expand_threads(df).collect())) == expected
+    assert len(saved) <= 6
+    batches = pa.table({"node": [5, 6, 6, 6, 7, 8], "up": [4, 5, 5, 5, 6, 7], "hops": [1] * 6, "done": [False] * 6}).to_batches(2)
+    monkeypatch.setattr(threads, "WINDOW_ROWS", 2)
+    found = [tuple(r.values()) for batch in threads._shorten(iter(batches)) for r in batch.to_pylist()]
+    assert [r[:3] for r in found if r[0] == 6] and all(r[1] == 6 for r in found if r[0] == 8 and r[2] == 2)
+    assert all(r[1] in (4, 5) for r in found if r[0] == 6) and all(r[1] == 6 for r in found if r[0] == 7)
