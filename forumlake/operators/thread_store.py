@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from forumlake.operators.skew import MAX_HOT_KEYS, MIN_HOT_ROWS, hot_keys, salted_join
+from forumlake.operators.threads import pointed_to, shortened
 from forumlake.operators.versions import latest_version
 from forumlake.session import stored
 from forumlake.sources.parts import append_parts, id_part, names, read_appended
@@ -39,25 +40,33 @@ def _looked_up(rows: DataFrame, other: DataFrame, key: str, min_rows: int, max_k
 def _resolved(nodes: DataFrame, min_rows: int, max_keys: int) -> DataFrame:
     """nodes (node, up, steps) with pointers moved up until they leave the table.
 
-    A pointer goes twice as far after each round. What still points into the table after log2(rows) rounds hangs on a
-    cycle and gets a null pointer.
+    Pointers are moved up among near ids first. Then those of the nodes alone that others still point to go twice as far
+    in each round; what still points into the table after log2(rows) rounds hangs on a cycle and gets a null pointer.
+    At last every node looks up where its ancestor points.
     """
-    current, rounds = nodes, nodes.count().bit_length() + 1
-    for _ in range(rounds):
-        above = current.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"))
-        step = _looked_up(current, above, "up", min_rows, max_keys).select(
+    given = nodes.select("node", "up", F.col("steps").alias("hops"), F.lit(False).alias("done"))
+    rows = shortened(given.filter("up IS NOT NULL")).unionByName(given.filter("up IS NULL"))
+    rows = stored(rows.select("node", "up", F.col("hops").alias("steps")))
+
+    def looked_up(current: DataFrame, others: DataFrame) -> DataFrame:
+        above = others.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"))
+        return _looked_up(current, above, "up", min_rows, max_keys).select(
             "node",
             F.when(F.col("more").isNotNull(), F.col("next")).otherwise(F.col("up")).alias("up"),
             (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
             F.col("more").isNotNull().alias("moved"),
         )
-        step = stored(step)
-        current = step.drop("moved")
-        if not step.filter("moved").head(1):
-            return current
-    inside = nodes.select(F.col("node").alias("up"), F.lit(True).alias("inside"))
-    left = _looked_up(current, inside, "up", min_rows, max_keys)
-    return left.select("node", F.when(F.col("inside").isNull(), F.col("up")).alias("up"), "steps")
+
+    core = stored(pointed_to(rows, rows))
+    current, rounds, moved = core, core.count().bit_length() + 1, True
+    while moved and rounds:
+        step = stored(looked_up(current, current))
+        current, moved, rounds = step.drop("moved"), bool(step.filter("moved").head(1)), rounds - 1
+    if moved:
+        inside = core.select(F.col("node").alias("up"), F.lit(True).alias("inside"))
+        left = _looked_up(current, inside, "up", min_rows, max_keys)
+        current = left.select("node", F.when(F.col("inside").isNull(), F.col("up")).alias("up"), "steps")
+    return looked_up(rows, current).drop("moved")
 
 
 def add_items(
