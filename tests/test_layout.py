@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from forumlake.sources import layout
 from forumlake.sources.layout import layout_code, write_for_skipping
 
 
@@ -49,3 +50,27 @@ def test_code_takes_turns(spark):
     df = items(spark, 1000)
     codes = df.select(layout_code(df, "at", "author").alias("c")).agg(F.min("c"), F.max("c"), F.count_distinct("c")).first()
     assert codes[0] >= 0 and codes[1] < 1 << 16 and codes[2] > 300
+
+
+def test_code_compares_few_limits_and_reads_the_rows_once(spark, tmp_path, monkeypatch):
+    df = items(spark, 3000).unionByName(spark.createDataFrame([(-1, None, None, None)], items(spark, 1).schema))
+    limits = layout._day_limits(df, "at")[0]
+    day, name = F.unix_date(F.to_date("at")), F.pmod(F.xxhash64("author"), F.lit(256)).cast("int")
+    got = df.select(layout_code(df, "at", "author").alias("code"), day.alias("day"), name.alias("name")).collect()
+    for r in got:
+        part = sum(r.day is not None and x <= r.day for x in limits)
+        assert r.code == sum((part >> b & 1) << 2 * b | (r.name >> b & 1) << 2 * b + 1 for b in range(8))
+    # Neither the limits nor the files' limits compute the rows again, and files hold a bounded number of rows.
+    monkeypatch.setattr(layout, "MAX_FILE_ROWS", 100)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    path = str(tmp_path / "laid")
+    write_for_skipping(df.mapInArrow(counted, df.schema), path, "at", "author", "id", files=2)
+    assert seen.value == 3001
+    written = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in written) == 3001 and len(written) > 20
