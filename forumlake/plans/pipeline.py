@@ -38,12 +38,15 @@ def land_new_items(
     bounds = bronze.run_bounds(last_id, max_id, items_per_run)
     before = stored(control.failed_lookups(spark, lookups))
     ids = bronze.run_ids(spark, last_id, max_id, chunk_size, items_per_run)
-    again = before.select("item_id").repartition(max(1, -(-before.count() // chunk_size)))
+    n_before, newest_before = before.agg(F.count(F.lit(1)), F.max("item_id")).first()
+    again = before.select("item_id").repartition(min(bronze.MAX_FETCH_TASKS, max(1, -(-n_before // chunk_size))))
     fetched = stored(bronze.fetch_items(ids.unionByName(again), lookup))
     found = bronze.landable(fetched.filter("status = 'ok'"))
-    known_files = _day_files(spark, root, day)
+    known_files = _day_files(spark, root, day) if manifest_path else None
     bronze.land_items(found, root, day, chunk_size)
-    tried = fetched.join(before.select("item_id", "attempt"), "item_id", "left")
+    # New ids that did not fail need no look at those that failed before.
+    tried = fetched.filter((F.col("status") == "failed") | F.coalesce(F.col("item_id") <= F.lit(newest_before), F.lit(False)))
+    tried = tried.join(before.select("item_id", "attempt"), "item_id", "left")
     tried = tried.filter("status = 'failed' OR attempt IS NOT NULL")
     control.write_lookups(tried.withColumn("attempt", F.coalesce("attempt", F.lit(0)) + 1), lookups)
     if manifest_path:

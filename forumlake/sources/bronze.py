@@ -4,7 +4,7 @@ import datetime as dt
 import json
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from forumlake.constants import ITEMS_PER_CHUNK
@@ -13,6 +13,9 @@ from forumlake.schemas import FETCHED
 
 LANDED_FILES = "*.gz"
 
+# A run of more chunks has several in one partition, so that starting tasks does not take the time.
+MAX_FETCH_TASKS = 1_000
+
 # The day is the folder of the file: .../2025/10/05/x.gz or .../ingest_date=2025-10-05/x.gz
 _DAY_IN_PATH = r"(\d{4})[-/](\d{2})[-/](\d{2})/[^/]*$"
 
@@ -53,9 +56,9 @@ def run_ids(
     chunk_size: int = ITEMS_PER_CHUNK,
     items_per_run: int | None = None,
 ) -> DataFrame:
-    """All ids of the run in item_id, one partition per chunk."""
+    """All ids of the run in item_id, one partition per chunk, or MAX_FETCH_TASKS of them."""
     first, last = run_bounds(last_id, max_id, items_per_run) or (0, -1)
-    n_chunks = max(1, -(-(last - first + 1) // chunk_size))
+    n_chunks = min(MAX_FETCH_TASKS, max(1, -(-(last - first + 1) // chunk_size)))
     return spark.range(first, last + 1, numPartitions=n_chunks).select(F.col("id").alias("item_id"))
 
 
@@ -77,9 +80,12 @@ def fetch_items(ids: DataFrame, lookup: Callable[[int], dict | None]) -> DataFra
 
     def run(batches):
         for batch in batches:
-            yield pd.DataFrame([one(int(i)) for i in batch["item_id"]], columns=FETCHED.names)
+            found = [one(int(i)) for i in batch.column(0).to_pylist()]
+            columns = zip(*found) if found else [()] * len(FETCHED)
+            types = [pa.int64()] + [pa.string()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], FETCHED.names)
 
-    return ids.select("item_id").mapInPandas(run, FETCHED)
+    return ids.select("item_id").mapInArrow(run, FETCHED)
 
 
 def enrich_from_landed(

@@ -574,11 +574,12 @@ def landed_backlog(spark, sf_dir):
     per_run = -(-newest // 3)
     for lookup in (down, up, down, up):
         land_new_items(spark, root, mark, newest, lookup, dt.date(2024, 1, 1), items_per_run=per_run)
-    item_id = F.get_json_object("value", "$.id").cast("bigint")
+    ids = bronze.landed_lines(spark, root).select(F.get_json_object("value", "$.id").cast("bigint").alias("item_id"))
     return (
-        bronze.landed_lines(spark, root)
-        .groupBy(F.floor(item_id / 1000).cast("bigint").alias("thousand"))
-        .agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct(item_id).alias("n_ids"))
+        ids.groupBy(F.floor(F.col("item_id") / 1000).cast("bigint").alias("thousand"), "item_id")
+        .agg(F.count(F.lit(1)).alias("n_lines"))
+        .groupBy("thousand")
+        .agg(F.sum("n_lines").alias("n_lines"), F.count("item_id").alias("n_ids"))
         .withColumn("mark", F.lit(control.read_mark(spark, mark)).cast("bigint"))
     )
 

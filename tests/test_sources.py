@@ -198,3 +198,26 @@ def test_registered_table_prunes_days(spark, tmp_path):
     one = table.filter("ingest_date = '2025-10-05'").select("item_id")
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan and one.count() == 1
+
+
+def test_long_runs_take_a_bounded_number_of_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bronze, "MAX_FETCH_TASKS", 3)
+    assert bronze.run_ids(spark, 0, 100, 10).rdd.getNumPartitions() == 3
+    assert bronze.run_ids(spark, 0, 20, 10).rdd.getNumPartitions() == 2
+    assert [r.item_id for r in bronze.run_ids(spark, 0, 100, 10).collect()] == [*range(1, 101)]
+    assert bronze.fetch_items(bronze.run_ids(spark, 5, 5), lambda i: {"id": i}).collect() == []
+
+    def lookup(item_id):
+        if item_id % 9 == 0:
+            raise OSError("down")
+        return {"id": item_id} if item_id % 2 else None
+
+    root, mark = str(tmp_path / "landed"), str(tmp_path / "mark")
+    # Without a manifest nobody asks for the files of the day.
+    monkeypatch.setattr("forumlake.plans.pipeline._day_files", None)
+    landed, failed = land_new_items(spark, root, mark, 100, lookup, DAY, chunk_size=10)
+    assert landed == 44 and sorted(r.item_id for r in failed.collect()) == [*range(9, 100, 9)]
+    landed, failed = land_new_items(spark, root, mark, 120, lambda i: {"id": i}, DAY, chunk_size=10)
+    assert landed == 31 and failed.count() == 0
+    lines = bronze.landed_lines(spark, root).collect()
+    assert len(lines) == len({r.value for r in lines}) == 75
