@@ -125,7 +125,7 @@ def save_table(df: DataFrame, name: str, key: str | None = None, buckets: int |
         writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
     else:
         writer = df.write
-    writer.mode("overwrite").format("parquet").saveAsTable(f"{name}__next")
+    writer.mode("overwrite").format("parquet").option("compression", "zstd").saveAsTable(f"{name}__next")
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {name}__next RENAME TO {name}")
@@ -154,7 +154,9 @@ def _store_models(items: DataFrame, store: Callable[[str, DataFrame, str | None]
     add("fct_stories", stories, "item_key")
     add("daily_story_metrics", marts.daily_story_metrics(models["fct_stories"]))
     add("daily_active_authors", marts.daily_active_authors(models["fct_stories"]))
-    wide = facts.story_analytics(models["fct_stories"], models["dim_items"], models["dim_users"])
+    # Most items are comments, which the view never looks up.
+    stories_only = models["dim_items"].filter("item_type = 'story'")
+    wide = facts.story_analytics(models["fct_stories"], stories_only, models["dim_users"])
     add("story_analytics", wide, "item_key")
     return models
 

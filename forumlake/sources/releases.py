@@ -45,7 +45,7 @@ def write_table(df: DataFrame, root: str, release: int, name: str) -> DataFrame:
     if is_complete(spark, root, release):
         raise ValueError(f"release {release} is complete")
     path = _table_path(root, release, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from forumlake.plans import marts, pipeline
+from forumlake.plans import facts, marts, pipeline
 from forumlake.schemas import SILVER
 from forumlake.sources import releases
 from test_models import ITEMS
@@ -72,3 +72,18 @@ def test_models_are_published_together(spark, tmp_path, monkeypatch):
         with pytest.raises(ValueError, match="m.c.unique"):
             pipeline.publish_models(items, root, 3, checked=True)
     assert releases.current(spark, root) == 2
+
+
+def test_view_looks_up_stories_only_and_tables_are_packed(spark, tmp_path, monkeypatch):
+    root, kinds = str(tmp_path / "releases"), []
+
+    def seen(stories, items, users, made=facts.story_analytics):
+        kinds.extend(r.item_type for r in items.select("item_type").distinct().collect())
+        return made(stories, items, users)
+
+    monkeypatch.setattr(facts, "story_analytics", seen)
+    models = pipeline.publish_models(spark.createDataFrame(ITEMS, SILVER), root, 1)
+    assert kinds == ["story"] and models["dim_items"].filter("item_type <> 'story'").count() > 0
+    assert models["story_analytics"].filter("item_id IS NULL").count() == 0
+    assert models["story_analytics"].count() == models["fct_stories"].count() > 0
+    assert all(f.endswith(".zstd.parquet") for f in models["dim_items"].inputFiles())
