@@ -17,7 +17,7 @@ LANDED_FILES = "*.gz"
 MAX_FETCH_TASKS = 1_000
 
 # The day is the folder of the file: .../2025/10/05/x.gz or .../ingest_date=2025-10-05/x.gz
-_DAY_IN_PATH = r"(\d{4})[-/](\d{2})[-/](\d{2})/[^/]*$"
+_DAY_IN_PATH = r"(\d{4}[-/]\d{2}[-/]\d{2})/[^/]*$"
 
 
 def run_bounds(last_id: int, max_id: int, items_per_run: int | None = None) -> tuple[int, int] | None:
@@ -125,8 +125,8 @@ def land_items(items: DataFrame, root: str, day: dt.date | None = None, items_pe
 
 def day_of_path(path: Column) -> Column:
     """Ingest day, as text, from the folder of a landed file; NULL for other paths."""
-    parts = [F.regexp_extract(path, _DAY_IN_PATH, i) for i in (1, 2, 3)]
-    return F.nullif(F.concat_ws("-", *parts), F.lit("--"))
+    found = F.replace(F.regexp_extract(path, _DAY_IN_PATH, 1), F.lit("/"), F.lit("-"))
+    return F.when(path.isNull(), "").otherwise(F.nullif(found, F.lit("")))
 
 
 def landed_lines(spark: SparkSession, root: str, days: list[str] | None = None) -> DataFrame:

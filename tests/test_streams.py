@@ -104,3 +104,16 @@ def test_buckets_of_many_ranges_stay_few(spark, tmp_path):
     found = {r.item_id: r.source_file for r in jobs.read_current(spark, path).collect()}
     assert found == {i: "id >= 500" if i >= 500 else "id < 900" for i in range(1500)}
     assert spark.read.parquet(path).select("bucket").distinct().count() <= MAX_ID_PARTS
+
+
+def test_reload_asks_batches_for_days_only(spark, tmp_path, rows, monkeypatch):
+    seen = []
+    monkeypatch.setattr(jobs.bronze, "landed_days", lambda batch, days=jobs.bronze.landed_days: seen.append(batch.columns) or days(batch))
+    root, path, checkpoint = (str(tmp_path / n) for n in ("bronze", "silver", "progress"))
+    write_lines(root, "2025-10-04", "a.jsonl.gz", [item(1)])
+    write_lines(root, "2025-10-05", "a.jsonl.gz", [item(2)])
+    jobs.reload_touched_days(jobs.landed_stream(spark, root), root, path, checkpoint).awaitTermination()
+    assert seen == [["ingest_date"]]
+    assert rows(silver.read_items(spark, path), "item_id", "ingest_date") == [(1, "2025-10-04"), (2, "2025-10-05")]
+    paths = spark.createDataFrame([("/a/2025/10/05/x.gz",), ("/a/ingest_date=2025-10-05/x.gz",), ("/a/2025/10/x.gz",), (None,)], "p string")
+    assert [r[0] for r in paths.select(jobs.bronze.day_of_path(F.col("p"))).collect()] == ["2025-10-05", "2025-10-05", None, ""]
