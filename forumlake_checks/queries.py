@@ -428,7 +428,7 @@ def dq_report(spark, sf_dir):
     models["dim_dates"] = dims.dim_dates(spark)  # begins after the first orders, which the report shows
     models["daily_story_metrics"] = marts.daily_story_metrics(stories)
     models["daily_active_authors"] = marts.daily_active_authors(stories)
-    models["story_analytics"] = stored(facts.story_analytics(stories, items, users))
+    models["story_analytics"] = stored(facts.story_analytics(stories, items.filter("item_type = 'story'"), users))
     # The parsed items before deduplication, against checks that do find something.
     models["parsed_items"] = silver_items
     raw_checks = {
