@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from forumlake.constants import ITEM_TYPES
+from forumlake.session import small_splits, stored
 
 # Checks per model and column: "not_null", "unique", ("accepted", values), ("in", model, column), or one of these
 # for some rows only: ("where", condition, check).
@@ -92,53 +93,96 @@ def _declared(checks: dict) -> list[tuple[str, str, str, tuple, str | None]]:
     return found
 
 
+def _packed(df: DataFrame, column: str) -> Column:
+    """A value as a whole number, as the 16 bytes of a surrogate key or as text; two are equal where their texts are.
+
+    A number that another column holds as text is the same value, so both are given as the number, unless the text is
+    not how the number is written ("05"). The hex text of a key is twice as long as its bytes.
+    """
+    value = F.col(column)
+
+    def packed(whole: Column = F.lit(None), key: Column = F.lit(None), text: Column = F.lit(None)) -> Column:
+        return F.struct(whole.cast("bigint").alias("whole"), key.cast("binary").alias("key"), text.cast("string").alias("text"))
+
+    if df.select(value).dtypes[0][1] in ("tinyint", "smallint", "int", "bigint"):
+        return packed(whole=value)
+    text = value.cast("string")
+    # Only texts of digits are cast: one that is no number costs an exception. Those of 19 digits may be too large.
+    number = F.when(text.rlike(r"\A(0|-?[1-9][0-9]{0,18})\z"), text.try_cast("bigint"))
+    is_key = text.rlike(r"\A[0-9a-f]{32}\z")
+    return F.when(number.isNotNull(), packed(whole=number)).when(is_key, packed(key=F.unhex(text))).otherwise(packed(text=text))
+
+
+def _groups(declared: list) -> dict[tuple[str, str, str | None], tuple[int, int]]:
+    """Columns whose values are counted -> number of their group and place in it.
+
+    A column is one model's column, for all rows or those of a condition. Columns that checks refer from and to share a
+    group, so that their values meet.
+    """
+    groups = []
+    for model, column, _, (name, *arguments), where in declared:
+        if name in ("unique", "in"):
+            joined = [(model, column, where)] + ([(*arguments, None)] if name == "in" else [])
+            for group in [g for g in groups if set(g) & set(joined)]:
+                groups.remove(group)
+                joined = [*group, *joined]
+            groups.append(list(dict.fromkeys(joined)))
+    return {source: (i, place) for i, group in enumerate(groups) for place, source in enumerate(group)}
+
+
 def run_checks(models: dict[str, DataFrame], checks: dict = CHECKS) -> DataFrame:
     """One row per check: model, column, check, failures (offending rows or values).
 
-    Each model is read once for its own checks and once for those of others that refer to it. What a row adds to the
-    checks (a missing value, one outside the list, a value to be unique or to be looked up) and what values the
-    models referred to have is summed up by check and value, map side first: one shuffle for all checks.
+    Each model is read once, for its own checks and those of others that refer to it. A column's values travel once,
+    however many checks need them, as numbers or bytes where they can; missing values and those outside a list are only
+    counted. All is summed up by value, map side first: one shuffle for all checks. It runs here; a few sums are stored.
     """
     declared = _declared(checks)
-    parts, known = [], []
-    for model in checks:
-        df, added = models[model], []  # a check of a model that is not there is an error, not a pass
-        for number, (of, column, _, (name, *arguments), where) in enumerate(declared):
-            if of != model:
-                continue
-            value = F.col(column)
-            if name == "not_null":
-                wanted, shown = value.isNull(), F.lit(None)
-            elif name == "accepted":
-                wanted, shown = ~value.isin(*arguments[0]), F.lit(None)
-            elif name in ("unique", "in"):
-                wanted, shown = value.isNotNull(), value
-            else:
-                raise ValueError(f"no check is called {name}")
-            if where is not None:
-                wanted = F.expr(where) & wanted
-            row = F.struct(F.lit(number).alias("number"), shown.cast("string").alias("value"))
-            added.append(F.when(wanted, row))
+    groups = _groups(declared)
+    n_groups = 1 + max((i for i, _ in groups.values()), default=-1)
+    places = range(1 + max((place for _, place in groups.values()), default=0))
+    added = {model: [] for model in checks}
+
+    def row(group: int, place: int, value: Column) -> Column:
+        return F.struct(F.lit(group).alias("group"), F.lit(place).alias("place"), value.alias("value"))
+
+    def scoped(wanted: Column, where: str | None) -> Column:
+        return wanted if where is None else F.expr(where) & wanted
+
+    for (model, column, where), (group, place) in groups.items():
+        wanted = scoped(F.col(column).isNotNull(), where)
+        added.setdefault(model, []).append(F.when(wanted, row(group, place, _packed(models[model], column))))
+    listed, pairs = [], set()
+    nothing = F.lit(None).cast("struct<whole bigint, key binary, text string>")
+    for number, (model, column, label, (name, *arguments), where) in enumerate(declared):
+        if name in ("unique", "in"):
+            group, place = groups[model, column, where]
+            found = f"repeated_{place}"
             if name == "in":
-                parent = models[arguments[0]].select(F.lit(number).alias("number"), F.col(arguments[1]).cast("string").alias("value"))
-                known.append(parent.select("*", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("known")))
-        rows = df.select(F.inline(F.array_compact(F.array(*added))))
-        parts.append(rows.select("*", F.lit(1).cast("bigint").alias("n"), F.lit(False).alias("known")))
-    values = reduce(DataFrame.unionByName, [*parts, *known]).groupBy("number", "value")
-    values = values.agg(F.sum("n").alias("n"), F.max("known").alias("known"))
-
-    def of_kind(kind: str) -> Column:
-        return F.col("number").isin([i for i, d in enumerate(declared) if d[3][0] == kind])
-
-    failures = (
-        F.when(of_kind("unique"), (F.col("n") > 1).cast("bigint"))
-        .when(of_kind("in"), ((F.col("n") > 0) & ~F.col("known")).cast("bigint"))
-        .otherwise(F.col("n"))
-    )
-    failed = values.groupBy("number").agg(F.sum(failures).alias("failures"))
-    names = [(i, *d[:3]) for i, d in enumerate(declared)]
-    listed = failed.sparkSession.createDataFrame(names, "number int, model string, column string, check string")
-    report = listed.join(failed, "number", "left")
+                parent = groups[(*arguments, None)][1]
+                pairs.add((place, parent))
+                found = f"only_{place}_{parent}"
+        elif name in ("not_null", "accepted"):
+            value = F.col(column)
+            wanted = value.isNull() if name == "not_null" else ~value.isin(*arguments[0])
+            group, found = n_groups + number, "n_0"
+            added[model].append(F.when(scoped(wanted, where), row(group, 0, nothing)))
+        else:
+            raise ValueError(f"no check is called {name}")
+        listed.append((model, column, label, group, found))
+    parts = [models[model].select(F.inline(F.array_compact(F.array(*rows)))) for model, rows in added.items() if rows]
+    values = reduce(DataFrame.unionByName, parts).select("group", "place", "value.*").groupBy("group", "whole", "key", "text")
+    values = values.agg(*[F.count_if(F.col("place") == place).alias(f"n_{place}") for place in places])
+    totals = {f"repeated_{place}": F.count_if(F.col(f"n_{place}") > 1) for place in places}
+    totals |= {f"only_{a}_{b}": F.count_if((F.col(f"n_{a}") > 0) & (F.col(f"n_{b}") == 0)) for a, b in sorted(pairs)}
+    totals["n_0"] = F.sum("n_0")
+    failed = values.groupBy("group").agg(*[total.alias(name) for name, total in totals.items()])
+    by_name = F.create_map(*[x for name in totals for x in (F.lit(name), F.col(name))])
+    spark = failed.sparkSession
+    with small_splits(spark):
+        failed = stored(failed.select("group", F.explode(by_name).alias("found", "failures")))
+    fields = "model string, column string, check string, group int, found string"
+    report = spark.createDataFrame(listed, fields).join(failed, ["group", "found"], "left")
     return report.select("model", "column", "check", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))
 
 

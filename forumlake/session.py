@@ -1,7 +1,9 @@
 """Session settings and the shared scratch folder."""
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Bytes of files read by a task that sorts or groups nearly all of its rows: they take some 15 times as much memory.
+SPLIT_BYTES = 32 << 20
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings to a session somebody else started."""
@@ -65,12 +70,30 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, **options) -> DataFrame:
     """Cut the lineage of a DataFrame: write it to the shared folder and read it back.
 
     Unlike checkpoint() this keeps the true size for later join decisions and starts from
-    a clean plan, which matters in loops.
+    a clean plan, which matters in loops. `options` go to the writer.
     """
     path = new_dir(df.sparkSession, "stored")
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def small_splits(spark: SparkSession):
+    """Has tasks of the jobs run within read at most SPLIT_BYTES, so that what they sort or group needs no spill to disk.
+
+    Spark's default of 128 MB is millions of rows, more than the share of an executor's memory that a task gets. A lower
+    limit of the session is kept.
+    """
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", before.strip().lower()).groups()
+    if int(number) << 10 * " kmgtp".index(unit or " ") > SPLIT_BYTES:
+        spark.conf.set(key, str(SPLIT_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

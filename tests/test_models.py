@@ -8,6 +8,8 @@ from forumlake.functions import surrogate_key
 from forumlake.plans import dashboard, dims, facts, marts, metrics, quality, staging
 from forumlake.plans.pipeline import build_models, check_models, dashboard_queries
 from forumlake.schemas import SILVER
+from forumlake.session import SPLIT_BYTES, small_splits
+from forumlake_checks import queries
 
 T0 = dt.datetime(2025, 10, 5, 12, 0, 0)
 
@@ -192,6 +194,112 @@ def test_checks(spark, staged, silver, rows):
     assert rows(quality.ingestion_volumes(silver)) == [("2025-10-04", 1, 1, 0), ("2025-10-05", 14, 2, 0)]
 
 
+def test_checks_compare_texts(spark):
+    """Numbers and keys travel in other forms than their text; equal are those whose texts are equal, and no others."""
+    key = "0123456789abcdef0123456789abcdef"
+    texts = [
+        "5", "5", "05", " 5", "+5", "-0", "0", "5\n", "9223372036854775807", "9223372036854775808", "99999999999999999999",
+        key, key, key.upper(), key + "\n", key[:30], "30" * 16, "00", "", "", None, None, "\u00a7", "null",
+    ]
+    texts = spark.createDataFrame([(t,) for t in texts], "t string")
+    numbers = spark.createDataFrame([(n,) for n in (5, 0, 9223372036854775807, -1, None)], "n long")
+    small = spark.createDataFrame([(5,), (5,), (7,)], "n int")
+    keys = spark.createDataFrame([(key,), (key.upper(),), ("",), (None,), ("30" * 16,)], "k string")
+    models = {"texts": texts, "numbers": numbers, "small": small, "keys": keys}
+    checks = {
+        "texts": {"t": ["unique", "not_null", ("in", "numbers", "n"), ("in", "keys", "k"), ("where", "t <> '5'", ("in", "numbers", "n"))]},
+        "numbers": {"n": ["unique", "not_null", ("in", "texts", "t"), ("in", "small", "n")]},
+        "small": {"n": ["unique", ("in", "numbers", "n"), ("accepted", [5])]},
+    }
+    found = quality.run_checks(models, checks).collect()
+    assert len(found) == 12
+    for model, column, label, (name, *arguments), where in quality._declared(checks):
+        if name == "unique":
+            expected = quality.unique(models[model], column, where)
+        elif name == "not_null":
+            expected = quality.not_null(models[model], column, where)
+        elif name == "accepted":
+            expected = models[model].filter(~F.col(column).isin(arguments[0]))
+        else:
+            child, parent = (models[m].select(F.col(c).cast("string").alias("v"), "*") for m, c in ((model, column), arguments))
+            expected = quality.relationships(child, "v", parent, "v", where)
+        got = [r.failures for r in found if (r.model, r["column"], r.check) == (model, column, label)]
+        assert expected.count() in got, (model, column, label, got)
+
+
+def _shuffled_bytes(df):
+    """Bytes that the exchanges of a DataFrame wrote when it was collected."""
+    df.collect()
+    total, nodes = 0, [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        elif kind == "ShuffleExchangeExec":
+            total += node.metrics().apply("shuffleBytesWritten").value()
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_values_to_check_travel_once_and_packed(spark, monkeypatch):
+    """A key that is unique and referred to is one value of 16 bytes in the shuffle, not two texts of 32."""
+    n, summed = 20_000, []
+    parent = spark.range(n).select(surrogate_key("id").alias("key"))
+    child = parent.select(F.col("key").alias("of"))
+    checks = {"parent": {"key": ["unique"]}, "child": {"of": ["unique", ("in", "parent", "key")]}}
+    monkeypatch.setattr(quality, "stored", lambda df: summed.append(df) or df, raising=False)
+    report = quality.run_checks({"parent": parent, "child": child}, checks)
+    assert [r.failures for r in report.collect()] == [0, 0, 0]
+    assert _shuffled_bytes(summed[0] if summed else report) < 2 * n * 28
+
+
+def test_report_stores_no_item_twice(spark, monkeypatch, tmp_path):
+    """Items are staging row by row; stored tables are packed, and staging's tasks read a bounded number of bytes."""
+    tables = {
+        "orders": "1L o_orderkey, 2L o_custkey, 'O' o_orderstatus, 9.5D o_totalprice, TIMESTAMP_NTZ '1996-03-13 00:00:00' o_orderdate, '1-URGENT' o_orderpriority",
+        "lineitem": "1L l_orderkey, 3L l_partkey, 4L l_suppkey, 1 l_linenumber, 1D l_quantity, 2D l_extendedprice, TIMESTAMP_NTZ '1996-03-14 00:00:00' l_shipdate, 'A' l_returnflag",
+        "pages": "1L page_id, 'https://a.com/x' url, '<p>' html",
+        "documents": "1L doc_id, 'a b' text, 'en' lang, 'src1' source, 3L n_chars",
+    }
+    for name, row in tables.items():
+        spark.sql(f"SELECT {row}").write.parquet(f"{tmp_path}/{name}.parquet")
+    written = []
+
+    def stored(df, **options):
+        written.append((set(df.columns), options, int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))))
+        return df
+
+    monkeypatch.setattr(queries, "stored", stored)
+    report = queries.QUERIES["dq_report"](spark, str(tmp_path))
+    failing = {(r.model, r["column"], r.check): r.failures for r in report.collect() if r.failures}
+    assert failing == {
+        ("fct_stories", "created_date_key", "relationships"): 3,
+        ("parsed_items", "author", "relationships where item_type = 'comment'"): 1,
+        ("parsed_items", "item_type", "accepted_values"): 1,
+    }
+    assert not [c for c, _, _ in written if {"item_key", "domain", "has_url"} <= c]
+    assert [options for _, options, _ in written] == [{"compression": "zstd"}] * 4
+    assert written[0][2] <= SPLIT_BYTES
+
+
+def test_small_splits(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for given, within in (("134217728b", str(SPLIT_BYTES)), ("1m", "1m"), ("1GB", str(SPLIT_BYTES)), ("4096", "4096")):
+            spark.conf.set(key, given)
+            with pytest.raises(ValueError), small_splits(spark):
+                assert spark.conf.get(key) == within
+                raise ValueError
+            assert spark.conf.get(key) == given
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_build_models(spark, silver, rows):
     models = build_models(silver, "t_silver", "t_gold", buckets=4)
     assert check_models(models).count() == 0
