@@ -2,7 +2,6 @@
 
 import datetime as dt
 from collections.abc import Callable
-from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from forumlake.constants import CALENDAR_END, ITEMS_PER_CHUNK, UNKNOWN_USER_NAME
 from forumlake.plans import dashboard, dims, facts, marts, quality, staging
-from forumlake.session import stored
+from forumlake.session import setting, stored
 from forumlake.sources import bronze, control, releases, silver
 
 
@@ -68,16 +67,6 @@ def _day_files(spark: SparkSession, root: str, day: dt.date) -> DataFrame:
         return spark.createDataFrame([], "path string")
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 class DayRun(NamedTuple):
     """Days a run has parsed, and days that lost files and were left alone."""
 
@@ -95,7 +84,7 @@ def parse_changed_days(
     their number is limited for that job.
     """
     state, files_state = state_path.rstrip("/"), f"{state_path.rstrip('/')}-files"
-    with _setting(spark, "spark.sql.files.maxPartitionNum", "512"):
+    with setting(spark, "spark.sql.files.maxPartitionNum", "512"):
         files = stored(bronze.landed_files(spark, root))
     compared = bronze.compare_files(files, control.read_file_state(spark, files_state))
     status = {r.ingest_date: r.status for r in compared.filter("status <> 'unchanged'").collect()}

@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from forumlake.constants import ITEM_TYPES
-from forumlake.session import small_splits, stored
+from forumlake.session import dropped_shuffles, small_splits, stored
 
 # Checks per model and column: "not_null", "unique", ("accepted", values), ("in", model, column), or one of these
 # for some rows only: ("where", condition, check).
@@ -179,7 +179,7 @@ def run_checks(models: dict[str, DataFrame], checks: dict = CHECKS) -> DataFrame
     failed = values.groupBy("group").agg(*[total.alias(name) for name, total in totals.items()])
     by_name = F.create_map(*[x for name in totals for x in (F.lit(name), F.col(name))])
     spark = failed.sparkSession
-    with small_splits(spark):
+    with small_splits(spark), dropped_shuffles(spark):
         failed = stored(failed.select("group", F.explode(by_name).alias("found", "failures")))
     fields = "model string, column string, check string, group int, found string"
     report = spark.createDataFrame(listed, fields).join(failed, ["group", "found"], "left")

@@ -82,6 +82,16 @@ def stored(df: DataFrame, **options) -> DataFrame:
 
 
 @contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """Another value of a setting for the jobs run within."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def small_splits(spark: SparkSession):
     """Has tasks of the jobs run within read at most SPLIT_BYTES, so that what they sort or group needs no spill to disk.
 
@@ -89,11 +99,16 @@ def small_splits(spark: SparkSession):
     limit of the session is kept.
     """
     key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", before.strip().lower()).groups()
-    if int(number) << 10 * " kmgtp".index(unit or " ") > SPLIT_BYTES:
-        spark.conf.set(key, str(SPLIT_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    given = spark.conf.get(key)
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", given.strip().lower()).groups()
+    lower = int(number) << 10 * " kmgtp".index(unit or " ") <= SPLIT_BYTES
+    return setting(spark, key, given if lower else str(SPLIT_BYTES))
+
+
+def dropped_shuffles(spark: SparkSession):
+    """Has the shuffle files of jobs run within deleted as each job ends.
+
+    Otherwise they stay until the driver's garbage is collected, those of tables stored long ago beside those of the
+    next. For jobs that store what they shuffled.
+    """
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")

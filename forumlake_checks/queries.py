@@ -14,7 +14,7 @@ from forumlake.operators.threads import expand_threads
 from forumlake.operators.versions import latest_version
 from forumlake.plans import dashboard, dims, facts, history, incremental, marts, metrics, quality, sketches, staging
 from forumlake.plans.pipeline import build_models, land_new_items, parse_changed_days, publish_models
-from forumlake.session import configure, new_dir, small_splits, stored
+from forumlake.session import configure, dropped_shuffles, new_dir, small_splits, stored
 from forumlake.sources import bronze, control, layout, releases, silver
 from forumlake.streaming import jobs
 
@@ -420,16 +420,17 @@ def dq_relationships(spark, sf_dir):
 @query
 def dq_report(spark, sf_dir):
     silver_items = feed.feed(spark, sf_dir)
-    with small_splits(spark):
+    with small_splits(spark), dropped_shuffles(spark):
         staged = stored(staging.staged_items(silver_items, ["title", "url"]), compression="zstd")
     items = dims.dim_items(staged, with_text=False)  # row by row from staging, so not stored again
-    users, stories = (stored(df, compression="zstd") for df in (dims.dim_users(staged), facts.fct_stories(staged)))
+    with dropped_shuffles(spark):
+        users, stories = (stored(df, compression="zstd") for df in (dims.dim_users(staged), facts.fct_stories(staged)))
+        view = stored(facts.story_analytics(stories, items.filter("item_type = 'story'"), users), compression="zstd")
     models = {"stg_items": staged, "dim_items": items, "dim_users": users, "fct_stories": stories}
     models["dim_dates"] = dims.dim_dates(spark)  # begins after the first orders, which the report shows
     models["daily_story_metrics"] = marts.daily_story_metrics(stories)
     models["daily_active_authors"] = marts.daily_active_authors(stories)
-    view = facts.story_analytics(stories, items.filter("item_type = 'story'"), users)
-    models["story_analytics"] = stored(view, compression="zstd")
+    models["story_analytics"] = view
     # The parsed items before deduplication, against checks that do find something.
     models["parsed_items"] = silver_items
     raw_checks = {

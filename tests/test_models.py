@@ -1,4 +1,7 @@
 import datetime as dt
+import glob
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +11,7 @@ from forumlake.functions import surrogate_key
 from forumlake.plans import dashboard, dims, facts, marts, metrics, quality, staging
 from forumlake.plans.pipeline import build_models, check_models, dashboard_queries
 from forumlake.schemas import SILVER
-from forumlake.session import SPLIT_BYTES, small_splits
+from forumlake.session import SPLIT_BYTES, dropped_shuffles, small_splits, stored
 from forumlake_checks import queries
 
 T0 = dt.datetime(2025, 10, 5, 12, 0, 0)
@@ -300,6 +303,25 @@ def test_small_splits(spark):
         spark.conf.set(key, before)
 
 
+def test_dropped_shuffles(spark):
+    """Shuffle files are gone when the table is stored, not when the driver's garbage is collected."""
+
+    def files():
+        folder = spark._jvm.org.apache.spark.util.Utils.getConfiguredLocalDirs(spark.sparkContext._jsc.sc().conf())[0]
+        return {f for f in glob.glob(f"{folder}/**/shuffle_*.data", recursive=True) if os.path.getsize(f)}
+
+    grouped = spark.range(100_000).groupBy("id").count()
+    before = files()
+    with dropped_shuffles(spark):
+        kept = stored(grouped)
+    for _ in range(100):  # files are deleted in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert kept.count() == 100_000
+
+
 def test_build_models(spark, silver, rows):
     models = build_models(silver, "t_silver", "t_gold", buckets=4)
     assert check_models(models).count() == 0
